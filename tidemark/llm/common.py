@@ -165,3 +165,20 @@ def bounded_batches(pdf: pd.DataFrame, column: str, most: int = 4_000_000) -> It
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
             yield pdf.iloc[a:b]
+
+
+def id_remainder(doc_id: Column, divisor: int) -> Column:
+    """crc32 of an id's decimal text modulo ``divisor``; a null id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(divisor)).cast("int")
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """About ``most`` rows, chosen by a hash of ``key``, and never more; all of them if there are no more.
+
+    Only for fitting a model: one narrow count, then a filter, so no task and no shuffle sees more.
+    """
+    n = rows.count()
+    if n > most:
+        cut = int(most / n * (1 << 30))
+        rows = rows.where(F.pmod(F.xxhash64(F.col(key), F.lit(77)), F.lit(1 << 30)) < cut)
+    return rows.limit(most)

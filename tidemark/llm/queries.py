@@ -25,6 +25,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.bpe import bpe_digests
+
+    return bpe_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.langid import identify_languages
+
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.sharding import shard_documents
 
