@@ -65,20 +65,16 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
 
-    def features(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(counts)
-        x = np.log1p(counts[at]) * self.idf[at]
-        return at, x / max(float(np.sqrt(x @ x)), 1e-12)
-
-    def logits(self, counts: np.ndarray) -> np.ndarray:
-        at, x = self.features(counts)
-        return x @ self.weights[at] + self.bias
+    def features(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        x = np.log1p(counts) * self.idf[at]
+        return x / max(float(np.sqrt(x @ x)), 1e-12)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = ngram_counts(text) if text else None
         if counts is None or not self.languages:
             return UNDETERMINED, 0.0
-        p = _softmax(self.logits(counts) / self.temperature)
+        at = np.flatnonzero(counts)
+        p = _softmax((self.features(at, counts[at]) @ self.weights[at] + self.bias) / self.temperature)
         best = int(np.argmax(p))
         return self.languages[best], float(p[best])
 
@@ -90,18 +86,23 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], langs: list[str], epochs: int = 3, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, seed: int = 7) -> LanguageModel:
     """FTRL-proximal over shuffled documents, then the temperature of least log loss on every fifth one."""
-    rows = [(c, lang) for t, lang in zip(texts, langs, strict=True) if t and (c := ngram_counts(t)) is not None]
-    languages = sorted({lang for _, lang in rows})
+    rows = []
+    for t, lang in zip(texts, langs, strict=True):
+        if t and (c := ngram_counts(t)) is not None:
+            at = np.flatnonzero(c)
+            rows.append((at.astype(np.int32), c[at].astype(np.int32), lang))
+    languages = sorted({r[2] for r in rows})
     if not rows:
         return LanguageModel([], np.ones(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
-    label = np.array([languages.index(lang) for _, lang in rows])
+    label = np.array([languages.index(r[2]) for r in rows])
     df = np.zeros(BUCKETS)
-    for c, _ in rows:
-        df += c > 0
-    model = LanguageModel(languages, np.log((1 + len(rows)) / (1 + df)) + 1.0, np.zeros((BUCKETS, len(languages))), np.zeros(len(languages)))
-    order = np.random.default_rng(seed).permutation(len(rows))
-    aside = set(order[::5].tolist()) if len(rows) >= 50 else set()
-    features = [model.features(c) for c, _ in rows]
+    for at, _, _ in rows:
+        df[at] += 1
+    model = LanguageModel(languages, np.log((1 + len(label)) / (1 + df)) + 1.0, np.zeros((BUCKETS, len(languages))), np.zeros(len(languages)))
+    order = np.random.default_rng(seed).permutation(len(label))
+    aside = set(order[::5].tolist()) if len(label) >= 50 else set()
+    features = [(at, model.features(at, c).astype(np.float32)) for at, c, _ in rows]
+    del rows
     z, n = np.zeros((BUCKETS + 1, len(languages))), np.zeros((BUCKETS + 1, len(languages)))
 
     def weights(at: np.ndarray) -> np.ndarray:
