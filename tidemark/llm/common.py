@@ -136,25 +136,31 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[ord(c) for c in BLANKS]] = True
 
 
-def word_hashes(data: bytes, separator: np.ndarray = _BLANK) -> np.ndarray:
-    """64-bit hash of each maximal run of non-separator bytes, in order."""
+def word_hashes(data: bytes, separator: np.ndarray = _BLANK, prefixes: tuple[int, ...] = ()) -> np.ndarray:
+    """64-bit hash of each maximal run of non-separator bytes, in order.
+
+    With ``prefixes``, one more column for each: the hash of the word's first so many bytes, 0 for a word
+    that does not go on beyond them.
+    """
     b = np.frombuffer(data, np.uint8)
-    if not len(b):
-        return np.empty(0, np.uint64)
     sep = separator[b]
-    start = ~sep
-    start[1:] &= sep[:-1]
-    starts = np.flatnonzero(start)
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    end = ~sep
-    end[:-1] &= sep[1:]
-    lengths = np.flatnonzero(end) + 1 - starts
     inside = np.flatnonzero(~sep)
-    offset = np.arange(len(inside)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    if not len(inside):
+        return np.empty((0, 1 + len(prefixes)) if prefixes else 0, np.uint64)
+    first = np.flatnonzero(np.concatenate([[True], inside[1:] != inside[:-1] + 1]))
+    lengths = np.diff(first, append=len(inside))
+    offset = np.arange(len(inside)) - np.repeat(first, lengths)
     values = (b[inside].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()) + 1)[offset]
-    sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
-    return mix64(sums + lengths.astype(np.uint64))
+    whole = mix64(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+    if not prefixes:
+        return whole
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+    columns = [whole]
+    for k in prefixes:
+        longer = lengths > k
+        own = total[np.where(longer, first + k, first)] - total[first]
+        columns.append(np.where(longer, mix64(own ^ np.uint64(k << 56)), np.uint64(0)))
+    return np.stack(columns, axis=1)
 
 
 def bounded_batches(pdf: pd.DataFrame, column: str, most: int = 4_000_000) -> Iterator[pd.DataFrame]:
