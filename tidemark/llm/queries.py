@@ -13,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.quality import quality_rules
 
