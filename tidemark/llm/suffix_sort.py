@@ -87,7 +87,8 @@ class SymbolQueue:
         parts, self.parts = self.parts, []
         self.space.held -= self.held
         self.held = 0
-        yield from parts
+        if parts:
+            yield parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def _route(queues: list[SymbolQueue], positions: np.ndarray, symbols: np.ndarray) -> None:
@@ -122,10 +123,10 @@ def _induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, seeds: np.ndarray,
                 own = symbol == c
                 again.append(before[own])
                 _route(queues, before[~own], symbol[~own])
-            again = [a for a in again if len(a)]
-            if not again:
+            joined = np.concatenate(again) if again else again
+            if not len(joined):
                 break
-            pending = iter(again)
+            pending = iter((joined,))
         own = seeds[bounds[c] : bounds[c + 1]]
         before = own[own > 0] - 1
         _route(queues, before, t[before])
@@ -146,10 +147,10 @@ def _induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, seeds: np.ndarray,
                 own = symbol == c
                 again.append(before[own])
                 _route(queues, before[~own], symbol[~own])
-            again = [a for a in again if len(a)]
-            if not again:
+            joined = np.concatenate(again) if again else again
+            if not len(joined):
                 break
-            pending = iter(again)
+            pending = iter((joined,))
         pieces = list(large[c].drain(kind))
         for cur in reversed(pieces):
             cur = cur[::-1]
