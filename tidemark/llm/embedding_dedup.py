@@ -27,7 +27,7 @@ CELL, SHARD, CENTROIDS, OVERLAP = 4096, 1024, 4096, 3
 #: Candidates and neighbours of a node, the prune's slack, and the beam's width.
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 24, 1.15, 40
 #: Members of a cell beyond which it is dealt out as pairs of blocks.
-BLOCK = 8192
+BLOCK = 16384
 #: Vectors per centroid among which centroids are found.
 SAMPLE = 16
 
@@ -264,7 +264,8 @@ def _cells(classes: DataFrame, scratch: Scratch) -> DataFrame:
     sizes = classes.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     target = max(CELL, -(-total // CENTROIDS))
-    large = {r["group"]: r["n"] for r in sizes.where(F.col("n") > target).collect()}  # CENTROIDS at most
+    # a vector joins OVERLAP cells, so a label that fills no more of them is one cell; CENTROIDS rows at most
+    large = {r["group"]: r["n"] for r in sizes.where(F.col("n") > target * OVERLAP).collect()}
     centres: dict[int, np.ndarray] = {}
     if large:
         share = {g: min(1.0, SAMPLE * -(-n // target) / n) for g, n in large.items()}
