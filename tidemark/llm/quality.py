@@ -136,8 +136,8 @@ def calibrate(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) ->
     )
 
 
-def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Every document's counts, ``base_failed`` and ``kept``.
+def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every document's counts, ``base_failed`` and ``kept``, after the ``carry`` columns.
 
     ``documents``: doc_id, text, lang; ``labels``: doc_id, quality. Other columns are ignored. Strata are
     the languages, null being one of its own. Calibration uses the labelled documents whose crc32 of the
@@ -147,8 +147,8 @@ def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, d
     empty table gives an empty result, an empty label table leaves only the base rules.
     """
     scratch = Scratch(documents.sparkSession, "quality")
-    rows = documents.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("stratum"))
-    measured = scratch.table(measures(rows, "doc_id", "stratum"), "measures")
+    rows = documents.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("stratum"), *carry)
+    measured = scratch.table(measures(rows, "doc_id", "stratum", *carry), "measures")
     held = labels.where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = calibrate(measured.where(~F.col("base_failed")).join(held, "doc_id"), risk, delta)
     # one row per language with a map rule -> cutoff, bounded by the number of languages
@@ -159,6 +159,6 @@ def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, d
     for rule in CUTOFFS:
         over = over | F.coalesce(F.col(rule) > F.try_element_at(F.col("cuts"), F.lit(rule)), F.lit(False))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        *carry, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~over).alias("kept"), "symbol_ratio", "upper_ratio", "dup_line_ratio", "mean_word_chars",
     )

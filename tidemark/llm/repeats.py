@@ -208,8 +208,11 @@ def _decide(rows: DataFrame, shards: int) -> DataFrame:
     return dealt.mapInArrow(run, "anchor long, context binary, runs array<struct<begin: int, end: int>>")
 
 
-def _strip(rows: DataFrame) -> DataFrame:
-    """(digest, n_removed, n_spans, kept_sha256) from rows (digest, text, hits)."""
+def _strip(rows: DataFrame, with_text: bool) -> DataFrame:
+    """(digest, n_removed, n_spans, kept_sha256, kept_text) from rows (digest, text, hits).
+
+    Removal may cut a character; the text leaves out its remaining bytes, the digest does not.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,12 +228,13 @@ def _strip(rows: DataFrame) -> DataFrame:
                         np.add.at(edge, at + r["end"] - 1 + WIDTH, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-                out.append((digest, int(gone.sum()), spans, hashlib.sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest(), np.frombuffer(data, np.uint8)[~gone].tobytes()))
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+                out.append((digest, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string())
             columns = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["digest", "n_removed", "n_spans", "kept_sha256", "kept_bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["digest", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    return rows.select("digest", "text", "hits").mapInArrow(run, "digest binary, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
+    return rows.select("digest", "text", "hits").mapInArrow(run, "digest binary, n_removed long, n_spans long, kept_sha256 string, kept_text string")
 
 
 def _by_text(documents: DataFrame, table: DataFrame) -> DataFrame:
@@ -244,8 +248,8 @@ def _by_text(documents: DataFrame, table: DataFrame) -> DataFrame:
     return texts.join(side, (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("rep"))).drop("_id", "_digest", "rep")
 
 
-def find_repeats(documents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(digest, n_removed, n_spans, kept_sha256, kept_bytes) of the texts that lose bytes."""
+def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False) -> DataFrame:
+    """(digest, n_removed, n_spans, kept_sha256, kept_text) of the texts that lose bytes."""
     found = _anchors(documents).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("found").alias("found"))
     texts = scratch.table(found.where(F.size("found") > 0), "texts")
     each = texts.select("digest", "rep", "copies", F.explode("found").alias("c")).select("digest", "rep", F.col("copies") * F.col("c.times").cast("long"), "c.*").toDF("digest", "rep", "n", "anchor", "context", "first", "windows", "times")
@@ -264,7 +268,7 @@ def find_repeats(documents: DataFrame, scratch: Scratch) -> DataFrame:
     )
     decided = scratch.table(_decide(bodies, shards), "decided")
     hits = suspects.join(decided, ["anchor", "context"]).groupBy("digest", "rep").agg(F.collect_list(F.struct("first", "windows", "times", "runs")).alias("hits"))
-    return scratch.table(_strip(_by_text(documents, scratch.table(hits, "hits"))).dropDuplicates(["digest"]), "stripped")
+    return scratch.table(_strip(_by_text(documents, scratch.table(hits, "hits")), with_text).dropDuplicates(["digest"]), "stripped")
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -277,7 +281,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     lose everything. An empty table gives an empty result.
     """
     scratch = Scratch(documents.sparkSession, "repeats")
-    stripped = find_repeats(documents, scratch).drop("kept_bytes").withColumnRenamed("digest", "_digest").withColumnRenamed("kept_sha256", "_sha")
+    stripped = find_repeats(documents, scratch).drop("kept_text").withColumnRenamed("digest", "_digest").withColumnRenamed("kept_sha256", "_sha")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("_whole"))
     joined = rows.withColumn("_d", F.substring(F.unhex("_whole"), 1, 16)).join(stripped, F.col("_d") == F.col("_digest"), "left")
@@ -285,3 +289,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("_sha", "_whole").alias("kept_sha256"),
     )
+
+
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """The documents, all columns in place, with ``text`` less its repeated passages and ``n_chars`` to match."""
+    scratch = Scratch(documents.sparkSession, "repeats")
+    stripped = find_repeats(documents, scratch, with_text=True).select(F.col("digest").alias("_digest"), "kept_text")
+    digest = F.substring(F.unhex(F.sha2("text", 256)), 1, 16)
+    joined = documents.withColumn("_d", digest).join(stripped, F.col("_d") == F.col("_digest"), "left")
+    new = {"text": F.coalesce("kept_text", "text"), "n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long"))}
+    return joined.select(*[F.coalesce(new[c], F.col(c)).alias(c) if c in new else F.col(c) for c in documents.columns])
