@@ -1,7 +1,8 @@
 """A corpus, cleaned and packed: language, quality, near copies, repeated passages, length buckets.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; ``run`` writes each one's result to the
-shared checkpoint folder and reads it again, so a lost executor never costs more than one stage.
+shared checkpoint folder and reads it again, so a lost executor never costs more than one stage. All but
+the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -9,23 +10,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import langid
 from tidemark.llm.common import Scratch
+from tidemark.llm.jaccard_join import one_of_each_group
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_rules
+from tidemark.llm.repeats import without_repeats
+
+#: Least calibrated probability of the predicted language.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those whose language stays in doubt, go."""
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    found = langid.predict(rows, langid.train(docs), "_row")
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("_row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the quality rules go."""
+    """Documents that fail the base rules or a certified cutoff go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality_rules(docs, labels).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(judged, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("_row"))
+    return quality_rules(rows, labels, carry=("_row",)).where("kept").select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return one_of_each_group(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes and more that occur more than once are cut from the texts."""
+    return without_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length buckets and token-budget batches."""
     return pack(docs)
 
 
-STAGES = [("quality rules", quality), ("packing", packing)]
+STAGES = [
+    ("language ID", language),
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeats),
+    ("packing", packing),
+]
 
 #: SQL cannot express the trained and similarity stages; tests compare them with brute force.
 ORACLE_SQL = None
