@@ -61,14 +61,14 @@ def word_array(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t-\r]+"))
 
 
-def gapless_index(df: DataFrame, group: str, key: Column, order: list[Column], out: str, blocks: int = 1024) -> DataFrame:
+def gapless_index(df: DataFrame, group: str, digest: Column, order: list[Column], out: str, blocks: int = 1024) -> DataFrame:
     """``out``: 0, 1, 2, ... inside each value of ``group``, without one task per group.
 
-    Rows are ranked inside (group, block of a hash of ``key``); a running sum over the at most
+    Rows are ranked inside (group, block), a block being ``digest``, a hash as a long, modulo ``blocks``; a running sum over the at most
     ``groups x blocks`` block counts gives each block its offset. That table is bounded by those two
     parameters, so it is broadcast; nothing else moves but the rows of one block.
     """
-    df = df.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
+    df = df.withColumn("_block", F.pmod(digest, F.lit(blocks)).cast("int"))
     offsets = (
         df.groupBy(group, "_block")
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality import CUTOFFS, DELTA, RISK
+
 _SHARDING = """
 WITH RECURSIVE crc_table AS (
-  SELECT list(list_reduce(list_prepend(n, range(8)), (c, i) -> CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS t
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS t
   FROM (SELECT unnest(range(256)) AS n)
 ), docs AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents
 ), crc AS (
-  SELECT rid, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(text)), i -> ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT)),
-           (c, b) -> xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295)::BIGINT AS crc
+  SELECT rid, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(text)), lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT)),
+           lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295)::BIGINT AS crc
   FROM docs, crc_table
 ), walk AS (
   SELECT rid, ('0x' || substr(h, 1, 8))::BIGINT::HUGEINT * 4294967296 + ('0x' || substr(h, 9, 8))::BIGINT AS k, -1::BIGINT AS b, 0::BIGINT AS j FROM docs
@@ -20,9 +22,96 @@ WITH RECURSIVE crc_table AS (
 ), ends AS (
   SELECT rid, b AS shard, CASE WHEN j = 40 THEN 40 ELSE b END AS grown FROM walk WHERE j >= 40
 )
-SELECT doc_id, strlen(text) + 16 AS size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
-       grown::INTEGER AS grown_shard, NULL::BIGINT AS slot
+SELECT doc_id, strlen(text) + 16 AS size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard, grown::INTEGER AS grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY ('0x' || substr(h, 17, 8))::BIGINT % 1024, doc_id NULLS LAST, crc, strlen(text)) - 1 AS slot
 FROM docs JOIN ends USING (rid) JOIN crc USING (rid)
 """
 
-ORACLES: dict[str, str] = {}
+_CUTS = ", ".join(f"('{rule}', {float(cut)!r}::DOUBLE)" for rule, cuts in CUTOFFS.items() for cut in cuts)
+
+_QUALITY = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), windows AS (
+  SELECT rid, i, array_to_string(list_slice(w, i, i + 7), ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM split WHERE len(w) >= 8)
+), repeated AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT rid, sum(least(8, coalesce(next - i, 8)))::BIGINT AS n FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS next FROM repeated) GROUP BY rid
+), counts AS (
+  SELECT rid, doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(length(array_to_string(w, '')), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g'))::BIGINT AS n_upper, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (rid)
+), measured AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, coalesce(n_symbols::DOUBLE / nullif(n_words, 0), 0) AS symbol_ratio, coalesce(n_upper::DOUBLE / nullif(word_chars, 0), 0) AS upper_ratio,
+    coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0) AS dup_line_ratio, coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0) AS mean_word_chars FROM counts
+), held AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL AND {{CRC}} % 2 = 0 GROUP BY doc_id
+), cuts(rule, cutoff) AS (VALUES {_CUTS}
+), tested AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (WHERE quality = 1) AS n, count(*) FILTER (WHERE quality = 1 AND o) AS k, count(*) FILTER (WHERE quality = 0 AND o) AS bad, count(*) OVER () AS tests
+  FROM (SELECT stratum, rule, cutoff, quality, CASE rule WHEN 'symbol_ratio' THEN symbol_ratio WHEN 'upper_ratio' THEN upper_ratio WHEN 'dup_line_ratio' THEN dup_line_ratio ELSE mean_word_chars END > cutoff AS o
+    FROM measured JOIN held USING (doc_id), cuts WHERE NOT base_failed AND quality IN (0, 1)) GROUP BY stratum, rule, cutoff
+), certified AS (
+  SELECT stratum, rule, cutoff, bad - k AS gain FROM tested WHERE bad > k AND k < n * {RISK}
+    AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) <= {DELTA} / tests
+), chosen AS (
+  SELECT stratum, rule, cutoff FROM (SELECT *, row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) AS r FROM certified) WHERE r = 1
+), gates AS (
+  SELECT stratum, {", ".join(f"max(cutoff) FILTER (WHERE rule = '{r}') AS c_{r}" for r in CUTOFFS)} FROM chosen GROUP BY stratum
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({" OR ".join(f"coalesce({r} > c_{r}, FALSE)" for r in CUTOFFS)}) AS kept,
+  symbol_ratio, upper_ratio, dup_line_ratio, mean_word_chars
+FROM measured LEFT JOIN gates USING (stratum)
+"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a short ASCII text in SQL, bit by bit."""
+    step = "lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    eat = f"list_reduce(list_prepend(xor(c, b), range(8)), {step})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({text}) + 1), lambda p: ascii(substr({text}, p, 1))::BIGINT)), lambda c, b: {eat}), 4294967295)"
+
+
+_SHINGLES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+), classes AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a)
+SELECT doc_id, class_id, coalesce(n, 0)::BIGINT AS n_links, doc_id = class_id AS kept
+FROM classes LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM edges GROUP BY a) USING (doc_id)
+"""
+
+_VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), edges AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+), classes AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM classes LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM edges GROUP BY a) USING (vec_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_jaccard_join": _SHINGLES,
+    "op2_quality_rules": _QUALITY.replace("{CRC}", _crc32("doc_id::VARCHAR")),
+    "op8_embedding_dedup": _VECTORS,
+    "op10_sharding": _SHARDING,
+}

@@ -84,7 +84,7 @@ def pack(documents: DataFrame, buckets: int = 16, budget: int = 65536, length: C
     table = F.array(*[F.lit(b).cast("long") for b in bounds])
     bucket = F.size(F.filter(table, lambda b: b < F.col("n_tokens")))
     placed = rows.withColumn("bucket", bucket).withColumn("boundary", F.get(table, F.col("bucket")))
-    slots = gapless_index(placed, "bucket", F.col("doc_id"), [F.col("doc_id").asc_nulls_last(), F.col("n_tokens")], "slot", blocks=4096)
+    slots = gapless_index(placed, "bucket", F.xxhash64("doc_id"), [F.col("doc_id").asc_nulls_last(), F.col("n_tokens")], "slot", blocks=4096)
     per_batch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.greatest(F.col("boundary"), F.lit(1))))
     return slots.select(
         "doc_id", "n_tokens", "bucket", "boundary", "slot",
