@@ -45,7 +45,8 @@ def word_rows(text: str) -> np.ndarray:
 
 
 def _padded(rows: np.ndarray) -> np.ndarray:
-    return np.concatenate([rows, np.zeros((PAD, 1 + len(PREFIXES)), np.int32)])
+    """Rows with padding behind them; a text without words becomes one word of padding alone."""
+    return np.concatenate([rows, np.zeros((PAD + (not len(rows)), 1 + len(PREFIXES)), np.int32)])
 
 
 _GROUPS = {lang: np.unique(word_rows(words)[:, 0]) for lang, words in FUNCTION_WORDS.items()}
@@ -140,15 +141,16 @@ def fit(texts: list[str], labels: list[int], class_weight: tuple[float, float] =
         for a in range(0, len(turn), batch):
             ids = turn[a : a + batch]
             rows = np.concatenate([_padded(docs[i]) for i in ids])
-            ends = np.cumsum([len(docs[i]) + PAD for i in ids])
-            begins = ends - np.array([len(docs[i]) + PAD for i in ids])
+            size = np.array([max(len(docs[i]), 1) + PAD for i in ids])
+            ends = np.cumsum(size)
+            begins = ends - size
             x = e[rows].sum(axis=1)
             pooled, where = np.empty((len(ids), len(WIDTHS) * FILTERS), np.float32), np.empty((len(ids), len(WIDTHS) * FILTERS), np.int64)
             n = len(rows) - PAD
             for k, w in enumerate(filters):
                 out = sum(x[i : i + n] @ w[i] for i in range(len(w)))
                 for d, (b, stop) in enumerate(zip(begins, ends, strict=True)):
-                    own = out[b : max(stop - PAD, b + 1)]
+                    own = out[b : stop - PAD]
                     at = own.argmax(axis=0)
                     where[d, k * FILTERS : (k + 1) * FILTERS] = at + b
                     pooled[d, k * FILTERS : (k + 1) * FILTERS] = own[at, np.arange(FILTERS)]
