@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,6 +43,9 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
             path.getFileSystem(conf).delete(path, True)
+        # shuffle files go once the driver has collected the plans that made them
+        gc.collect()
+        jvm.System.gc()
 
     def _sweep(self) -> None:
         try:

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, keep) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = keep(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, keep) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = keep(down.groupBy("a").agg(F.min("b").alias("m")))
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")).distinct()
 
@@ -39,8 +39,11 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
     state, step = _state(now), 0
     while state[0]:
         step += 1
-        now = scratch.table(_small_star(_large_star(now)), f"{name}-{step}")
-        scratch.drop(f"{name}-{step - 1}")
+        # minima are tables of their own: a join of two plain inputs is one whose hubs Spark can split
+        parts = [f"{name}-{step}-{part}" for part in ("least", "large", "down")]
+        large = scratch.table(_large_star(now, lambda df: scratch.table(df, parts[0])), parts[1])
+        now = scratch.table(_small_star(large, lambda df: scratch.table(df, parts[2])), f"{name}-{step}")
+        scratch.drop(f"{name}-{step - 1}", *parts)
         last, state = state, _state(now)
         if state == last:
             break

@@ -370,6 +370,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         "classes",
     )
     found = scratch.table(_links(_cells(classes, scratch)), "links")
+    scratch.drop("placed")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select("cid", "root"), scratch, "components")
     reps = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node")

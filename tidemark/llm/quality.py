@@ -162,3 +162,21 @@ def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, d
         *carry, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~over).alias("kept"), "symbol_ratio", "upper_ratio", "dup_line_ratio", "mean_word_chars",
     )
+
+
+#: Rejected rows up to which they are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def without_rejected(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents less the rows that the rules reject, all columns in place.
+
+    A row is told by its id and its text's digest, so rows that share an id are judged each for itself.
+    """
+    digest = lambda: F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    rows = documents.select("doc_id", "text", "lang", digest().alias("_digest"))
+    judged = quality_rules(rows, labels, carry=("_digest",))
+    scratch = Scratch(documents.sparkSession, "quality-rejected")
+    rejected = scratch.table(judged.where("NOT kept").select(F.col("doc_id").alias("_id"), "_digest").distinct(), "rejected")
+    side = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
+    return documents.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest() == F.col("_digest")), "left_anti")

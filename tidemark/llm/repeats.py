@@ -25,7 +25,7 @@ from tidemark.llm.common import Scratch, mix64
 from tidemark.llm.suffix_sort import Space, repeated_windows, suffix_array
 
 #: Bytes of a repeated string, bytes of an anchor, bytes of text handled at a time, target bytes of a shard.
-WIDTH, GRAM, SEGMENT, SHARD = 400, 32, 1 << 20, 3 << 20
+WIDTH, GRAM, SEGMENT, SHARD = 400, 32, 1 << 20, 1 << 20
 #: Rows up to which a table keyed by text is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -255,6 +255,7 @@ def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False
     each = texts.select("digest", "rep", "copies", F.explode("found").alias("c")).select("digest", "rep", F.col("copies") * F.col("c.times").cast("long"), "c.*").toDF("digest", "rep", "n", "anchor", "context", "first", "windows", "times")
     shared = each.groupBy("anchor").agg(F.sum("n").alias("t")).where(F.col("t") > 1).select(F.col("anchor").alias("_a"))
     suspects = scratch.table(each.join(shared, F.col("anchor") == F.col("_a")).drop("_a"), "suspects")
+    scratch.drop("texts")
     one = suspects.groupBy("anchor", "context").agg(F.sum("n").alias("n"), F.min(F.struct("digest", "rep", "first", "windows")).alias("at"))
     wanted = one.groupBy("at.digest", "at.rep").agg(F.collect_list(F.struct("anchor", "context", F.col("at.first").alias("first"), F.col("at.windows").alias("windows"), (F.col("n") > 1).alias("again"))).alias("wanted"))
     wanted = scratch.table(wanted, "wanted")
@@ -267,8 +268,13 @@ def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False
         .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
     )
     decided = scratch.table(_decide(bodies, shards), "decided")
+    scratch.drop("wanted")
     hits = suspects.join(decided, ["anchor", "context"]).groupBy("digest", "rep").agg(F.collect_list(F.struct("first", "windows", "times", "runs")).alias("hits"))
-    return scratch.table(_strip(_by_text(documents, scratch.table(hits, "hits")), with_text).dropDuplicates(["digest"]), "stripped")
+    hits = scratch.table(hits, "hits")
+    scratch.drop("suspects", "decided")
+    stripped = scratch.table(_strip(_by_text(documents, hits), with_text).dropDuplicates(["digest"]), "stripped")
+    scratch.drop("hits")
+    return stripped
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
