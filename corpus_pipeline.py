@@ -14,7 +14,7 @@ from tidemark.llm import langid
 from tidemark.llm.common import Scratch
 from tidemark.llm.jaccard_join import one_of_each_group
 from tidemark.llm.packing import pack
-from tidemark.llm.quality import quality_rules
+from tidemark.llm.quality import without_rejected
 from tidemark.llm.repeats import without_repeats
 
 #: Least calibrated probability of the predicted language.
@@ -30,9 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or a certified cutoff go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("_row"))
-    return quality_rules(rows, labels, carry=("_row",)).where("kept").select("_row.*")
+    return without_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
