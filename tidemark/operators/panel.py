@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators.sizes import broadcast_if_small
+
 #: Amounts are summed as decimals, so that no order of summing changes a total.
 MONEY = "decimal(28,6)"
 
@@ -178,10 +180,11 @@ def deflate(observations: DataFrame, deflator: DataFrame, amounts: Sequence[str]
     """Amounts at base-year prices beside the nominal ones: ``amount * (100 / inpc)``.
 
     ``deflator``: anio, trimestre (null for a whole year), inpc, anio_base. Quarters match null-safely,
-    which Catalyst turns into a hash key; a null year never matches, and unmatched amounts stay null.
+    which Catalyst turns into a hash key; a null year never matches, and unmatched amounts stay null. The
+    series is broadcast if small, for its few keys would make a very uneven shuffle of the observations.
     """
     d = deflator.select(F.col("anio").alias("_y"), F.col("trimestre").alias("_q"), "inpc", F.col("anio_base").alias("anio_base_deflactor"))
-    joined = observations.join(d, (F.col(year) == F.col("_y")) & F.col(quarter).eqNullSafe(F.col("_q")), "left")
+    joined = observations.join(broadcast_if_small(d), (F.col(year) == F.col("_y")) & F.col(quarter).eqNullSafe(F.col("_q")), "left")
     real = [(F.col(c) * F.try_divide(F.lit(100.0), F.col("inpc"))).alias(f"{c}_real") for c in amounts]
     return joined.select(*observations.columns, *real, "anio_base_deflactor")
 

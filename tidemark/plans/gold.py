@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.urls import product
 from tidemark.operators.checks import Check, accepted_values, not_null, relationship, unflagged_fall, unique, unstable_counts
+from tidemark.operators.sizes import broadcast_if_small
 from tidemark.operators.panel import canonical_snapshots, collapse_grain, deflate, deltas, life_cycle, pick_first, rank_of, versions
 
 SUMS = ("aprobado", "modificado", "ejercido", "monto_total_inversion", "monto_operacion_mantenimiento", "costo_total_inversion", "ppef", "pef")
@@ -73,11 +74,12 @@ def build_gold(silver: DataFrame, manifest: DataFrame, deflator: DataFrame) -> G
     snapshots = stage_snapshots(manifest)
     canonical = canonical_snapshots(snapshots)
     own = snapshots.select("snapshot_id", F.col("anio").alias("anio_snapshot"), "trimestre", "producto")
-    base = silver.join(own, "snapshot_id")
+    # the snapshots are a catalogue of files; one exchange by the key serves all that follows
+    base = silver.join(broadcast_if_small(own), "snapshot_id").repartition("cve_cartera")
     order = [F.col("modificado").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ("monto_total_inversion", "nombre_ppi", "localizacion", "entidad_federativa")]]
     dedup = collapse_grain(base, ["cve_cartera", "snapshot_id"], order, SUMS, ("avance_fisico",), ("anio", "anio_snapshot", "trimestre", "producto"), ATTRIBUTES)
     cuts = canonical.select("snapshot_id", F.col("anio").alias("_anio"), F.col("trimestre").alias("_trimestre"), "orden_corte", "indice_trimestre", "cobertura_parcial_del_universo")
-    panel = dedup.drop("anio_snapshot").join(cuts, "snapshot_id").withColumns({"anio": F.col("_anio"), "trimestre": F.col("_trimestre")}).drop("_anio", "_trimestre")
+    panel = dedup.drop("anio_snapshot").join(broadcast_if_small(cuts), "snapshot_id").withColumns({"anio": F.col("_anio"), "trimestre": F.col("_trimestre")}).drop("_anio", "_trimestre")
     counts = silver.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n_observaciones"), F.countDistinct("cve_cartera").alias("n_ppi"))
     dim_snapshot = snapshots.join(counts, "snapshot_id", "left").select(
         "snapshot_id", "anio", "trimestre", "origen", "fecha_descarga", "url", "sha256", "bytes",

@@ -82,7 +82,8 @@ _COLLAPSED = (
 
 def collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col("modificado").desc_nulls_last(), F.col("orden").asc_nulls_last()]
-    rows = panel.collapse_grain(raw_panel(spark, sf_dir), ["cve", "snapshot_id"], order, ("modificado", "ejercido"), ("avance",), ("anio", "trimestre", "ramo"), ("nombre", "estatus"), MONEY)
+    # one exchange by the key serves the collapse and whatever compares a key's cuts afterwards
+    rows = panel.collapse_grain(raw_panel(spark, sf_dir).repartition("cve"), ["cve", "snapshot_id"], order, ("modificado", "ejercido"), ("avance",), ("anio", "trimestre", "ramo"), ("nombre", "estatus"), MONEY)
     return rows.select(
         "*", cleaning.order_index(F.col("anio"), F.col("trimestre")).alias("orden_corte"), cleaning.linear_index(F.col("anio"), F.col("trimestre")).alias("indice_trimestre"),
         (F.col("anio") % 3 == 0).alias("parcial"),
@@ -197,8 +198,8 @@ _LIFE = """life AS (
 
 
 def _life(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = collapsed(spark, sf_dir)
-    return panel.life_cycle(p, p.select("orden_corte"), "cve", "orden_corte", "indice_trimestre", "modificado", "avance", "estatus", "nombre", "ramo", "anio", "parcial")
+    cuts = raw_panel(spark, sf_dir).select(cleaning.order_index(F.col("anio"), F.col("trimestre")).alias("orden_corte"))
+    return panel.life_cycle(collapsed(spark, sf_dir), cuts, "cve", "orden_corte", "indice_trimestre", "modificado", "avance", "estatus", "nombre", "ramo", "anio", "parcial")
 
 
 @query(f"WITH {_COLLAPSED}, {_LIFE} SELECT * FROM life")
