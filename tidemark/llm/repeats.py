@@ -13,6 +13,7 @@ All steps are keyed by content (digests of texts, anchors, contexts), so copies
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ from tidemark.llm.suffix_sort import Space, repeated_windows, suffix_array
 
 #: Bytes of a repeated string, bytes of an anchor, bytes of text handled at a time, target bytes of a shard.
 WIDTH, GRAM, SEGMENT, SHARD = 400, 32, 1 << 20, 1 << 20
-#: Rows up to which a table keyed by text is broadcast; beyond, it is joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Bytes of a shard's contexts that a task holds in memory before they go to a file of its own.
+SPOOL = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,63 +147,76 @@ def _segments(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[n
         yield owners, bases, parts
 
 
-def shard_repeats(bodies: list[bytes], twice: list[bool]) -> list[list[tuple[int, int]]]:
-    """Per context, the runs [begin, end) of windows that begin elsewhere in the shard too.
+class ShardText:
+    """A shard's contexts, in memory or beyond SPOOL in a file, and their suffix array.
 
-    ``twice``: the context occurs more than once. Contexts are joined by a symbol that no text holds.
+    A context that occurs more than once is written twice, so that the suffix array finds it repeated.
+    Contexts are joined by a symbol that no text holds.
     """
-    pieces: list[bytes] = []
-    begins: list[int] = []
-    at = 0
-    for body, again in zip(bodies, twice, strict=True):
-        begins.append(at)
-        for _ in range(1 + again):
-            pieces.append(body)
-            at += len(body) + 1
-    with Space() as space:
-        text = space.array(at + 1, np.uint16)
-        k = 0
-        for p in pieces:
-            text[k : k + len(p)] = np.frombuffer(p, np.uint8)
-            text[k : k + len(p)] += 1
-            text[k + len(p)] = 257  # above every byte
-            k += len(p) + 1
-        text[k] = 0
-        suffixes = suffix_array(text, space, symbols=258)
-        windows = np.array([len(b) - WIDTH + 1 for b in bodies])
-        ends = np.cumsum(windows)
-        starts = np.repeat(np.array(begins) - ends + windows, windows) + np.arange(int(ends[-1]) if len(ends) else 0)
-        repeated = repeated_windows(text, suffixes, starts, WIDTH)
-        del text, suffixes
-    out = []
-    for e, w in zip(ends.tolist(), windows.tolist(), strict=True):
-        own = np.concatenate([[False], repeated[e - w : e], [False]])
-        edge = np.flatnonzero(own[1:] != own[:-1]).tolist()
-        out.append(list(zip(edge[::2], edge[1::2], strict=True)))
-    return out
+
+    def __init__(self) -> None:
+        self.spool = tempfile.SpooledTemporaryFile(max_size=SPOOL)
+        self.names: list[tuple[int, bytes]] = []
+        self.lengths: list[int] = []
+        self.again: list[bool] = []
+
+    def add(self, name: tuple[int, bytes], body: bytes, again: bool) -> None:
+        """Contexts come sorted by name; one that came before is left out."""
+        if self.names and self.names[-1] == name:
+            return
+        self.spool.write(body)
+        self.names.append(name)
+        self.lengths.append(len(body))
+        self.again.append(again)
+
+    def repeats(self) -> Iterator[tuple[tuple[int, bytes], list[tuple[int, int]]]]:
+        """Per context, the runs [begin, end) of windows that begin elsewhere in the shard too, if any."""
+        lengths, again = np.array(self.lengths, np.int64), np.array(self.again, bool)
+        room = (lengths + 1) * (1 + again)
+        begins = np.cumsum(room) - room
+        with self.spool, Space() as space:
+            text = space.array(int(room.sum()) + 1, np.uint16)
+            self.spool.seek(0)
+            for k, n, twice in zip(begins.tolist(), self.lengths, self.again, strict=True):
+                body = np.frombuffer(self.spool.read(n), np.uint8)
+                for at in (k, k + n + 1) if twice else (k,):
+                    text[at : at + n] = body
+                    text[at : at + n] += 1
+                    text[at + n] = 257  # above every byte
+            text[-1] = 0
+            suffixes = suffix_array(text, space, symbols=258)
+            windows = lengths - WIDTH + 1
+            ends = np.cumsum(windows)
+            starts = np.repeat(begins - ends + windows, windows) + np.arange(int(ends[-1]) if len(ends) else 0)
+            repeated = repeated_windows(text, suffixes, starts, WIDTH)
+            del text, suffixes
+        for name, e, w in zip(self.names, ends.tolist(), windows.tolist(), strict=True):
+            own = np.concatenate([[False], repeated[e - w : e], [False]])
+            edge = np.flatnonzero(own[1:] != own[:-1]).tolist()
+            if edge:
+                yield name, list(zip(edge[::2], edge[1::2], strict=True))
 
 
 def _decide(rows: DataFrame, shards: int) -> DataFrame:
     """(anchor, context, runs) from rows (shard, anchor, context, body, again), by one suffix array a shard."""
 
-    def judge(held: list[tuple]) -> pa.RecordBatch:
-        unique = list({(r[1], r[2]): r for r in held}.values())
-        runs = shard_repeats([r[3] for r in unique], [r[4] for r in unique])
-        hit = [(r[1], r[2], [{"begin": a, "end": b} for a, b in own]) for r, own in zip(unique, runs, strict=True) if own]
+    def judge(shard: ShardText) -> pa.RecordBatch:
+        hit = [(anchor, context, [{"begin": a, "end": b} for a, b in runs]) for (anchor, context), runs in shard.repeats()]
         kinds = (pa.int64(), pa.binary(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))
         columns = list(zip(*hit, strict=True)) if hit else [(), (), ()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["anchor", "context", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        number, shard = None, ShardText()
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and row[0] != held[0][0]:
-                    yield judge(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield judge(held)
+                if row[0] != number:
+                    if number is not None:
+                        yield judge(shard)
+                    number, shard = row[0], ShardText()
+                shard.add((row[1], row[2]), row[3], row[4])
+        if number is not None:
+            yield judge(shard)
 
     dealt = rows.select("shard", "anchor", "context", "body", "again").repartition(shards, "shard").sortWithinPartitions("shard", "anchor", "context")
     return dealt.mapInArrow(run, "anchor long, context binary, runs array<struct<begin: int, end: int>>")
@@ -240,12 +254,12 @@ def _strip(rows: DataFrame, with_text: bool) -> DataFrame:
 def _by_text(documents: DataFrame, table: DataFrame) -> DataFrame:
     """Documents' texts joined to ``table`` (digest, rep, ...), once per digest at best.
 
-    The join is on the id too, so only the representative's rows carry text; a small table is broadcast.
+    The join is on the id too, so only the representative's rows match and copies of a text spread over many
+    tasks. Both sides are shuffled: ``table`` holds lists of contexts, which grow with the texts.
     """
-    side = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
     digest = F.substring(F.unhex(F.sha2("text", 256)), 1, 16)
     texts = documents.select(F.col("doc_id").alias("_id"), "text").where(F.octet_length("text") >= WIDTH).withColumn("_digest", digest)
-    return texts.join(side, (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("rep"))).drop("_id", "_digest", "rep")
+    return texts.join(table, (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("rep"))).drop("_id", "_digest", "rep")
 
 
 def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False) -> DataFrame:
