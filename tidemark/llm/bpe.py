@@ -25,7 +25,7 @@ _WS = "\t-\r \x85\xa0  -     　"
 #: pattern crosses a unit's border, so a unit's ids depend on its spelling alone.
 UNIT = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 #: Spellings remembered between batches, and characters handled together; both bound memory only.
-REMEMBERED, CHUNK = 200_000, 8_000_000
+REMEMBERED, CHUNK = 400_000, 16_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
