@@ -184,7 +184,7 @@ def test_publication_names_all_problems(spark, tmp_path):
     with pytest.raises(package.PublishError, match="dim_a, dim_b"):
         package.write_tables({}, {"dim_b": ("x",), "dim_a": ("x",)}, tmp_path)
     (tmp_path / "c.yml").write_text("catalogo: {titulo: t, licencia: {nombre: n}}")
-    with pytest.raises(package.PublishError, match="descripcion, licencia.url, cadencia.valor, temas"):
+    with pytest.raises(package.PublishError, match="descripcion, licencia.url, cadencia.valor, fuente_primaria.url"):
         package.load_catalogue_config(tmp_path / "c.yml")
     df = spark.createDataFrame([(1, "a")], "id INT, nombre STRING")
     with pytest.raises(package.PublishError, match="t.nombre: no description; t.other: described but not there"):
@@ -202,6 +202,17 @@ def test_spreadsheet_cells(spark, tmp_path):
     assert xlsx.header_of((tmp_path / "a.xlsx").read_bytes()) == ["A", "B", "A.1", "F"]
 
 
+def test_archive_captures_become_probes(spark):
+    captures = spark.createDataFrame([("20200101", "https://h/OPA/2019/reporteOPA4toTrimestre.xlsx")], "timestamp STRING, original STRING")
+    r = discovery.archive_probes(captures).first()
+    assert (r["fuente"], r["anio"], r["trimestre"], r["url"]) == ("wayback", 2019, 4, "https://web.archive.org/web/20200101id_/https://h/OPA/2019/reporteOPA4toTrimestre.xlsx")
+
+
+def test_descriptions_come_from_models(tmp_path):
+    (tmp_path / "s.yml").write_text("models: [{name: t, description: 'a  b', columns: [{name: x, description: y}, {name: z}]}]")
+    assert package.load_descriptions(tmp_path / "s.yml") == ({"t": "a b"}, {"t": {"x": "y", "z": ""}})
+
+
 def test_retry_and_limiter():
     waits: list[float] = []
     tries = iter([OSError("x"), OSError("y"), 7])

@@ -43,12 +43,12 @@ def _grid(raw: Mapping) -> UrlGrid:
 
 
 def version_label(snapshots) -> str:
-    """``2024T3`` of the newest quarter; the newest year without one, ``sin-version`` without either."""
+    """``2024T3`` of the newest quarter; the newest year without one, ``sin_version`` without either."""
     newest = snapshots.where("trimestre IS NOT NULL").orderBy(F.col("anio").desc(), F.col("trimestre").desc()).limit(1).first()
     if newest:
         return f"{newest['anio']}T{newest['trimestre']}"
     year = snapshots.agg(F.max("anio")).first()[0]
-    return str(year) if year else "sin-version"
+    return str(year) if year else "sin_version"
 
 
 def _gold(spark, args):
@@ -76,7 +76,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--registry", default="conf/schema_map.yml")
     parser.add_argument("--deflator", default="conf/deflactor_inpc.csv")
     parser.add_argument("--catalogue", default="conf/dcat.yml")
-    parser.add_argument("--descriptions", default="conf/diccionario.yml")
+    parser.add_argument("--descriptions", default="conf/schema.yml")
     parser.add_argument("--seeds", default="seeds")
     parser.add_argument("--version")
     args = parser.parse_args(argv)
@@ -85,7 +85,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     data.mkdir(parents=True, exist_ok=True)
     if args.command == "discover":
         raw = yaml.safe_load(Path(args.sources).read_text(encoding="utf-8"))
-        limiter = discovery.RateLimiter(raw.get("rate_limit_segundos", 2.0))
+        limiter = discovery.RateLimiter(raw.get("red", {}).get("rate_limit_segundos_shcp", 2.0))
         n = discovery.probe_all(http_fetch, candidate_urls(spark, _grid(raw)), "vivo", data / "discovery.jsonl", limiter)
         probes = files.read_probes(spark, str(data / "discovery.jsonl"))
         matrix = coverage.coverage_matrix(probes, raw["anios"]["desde"], raw["anios"]["hasta"])
@@ -113,7 +113,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         for name, severity, n in run_checks(gold_checks(_gold(spark, args))):
             print(f"{severity} {name}: {n}")
     elif args.command == "diccionario":
-        package.write_dictionary(_published(spark, args), yaml.safe_load(Path(args.descriptions).read_text(encoding="utf-8")), data / "diccionario")
+        package.write_dictionary(_published(spark, args), package.load_descriptions(Path(args.descriptions))[1], data / "diccionario")
     elif args.command == "publish":
         tables = _published(spark, args)
         config = package.load_catalogue_config(Path(args.catalogue))
@@ -123,7 +123,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))
         found = feeds.provenance(manifest, F.col("corte_declarado.anio"), "origen", "fecha_descarga", "bytes").first().asDict()
         audit = spark.read.parquet(str(data / "silver/audit")).agg(F.sum("n_rows").alias("filas"), F.sum("n_valid").alias("validas")).first().asDict()
-        package.write_catalogue(folder, config, {}, found, audit)
+        about = package.load_descriptions(Path(args.descriptions))[0] if Path(args.descriptions).exists() else {}
+        package.write_catalogue(folder, config, about, found, audit)
         package.write_note(folder / "NOTA-TECNICA.md", config["titulo"], [("Procedencia", str(found)), ("Calidad", str(audit))], config["licencia"]["nombre"])
         package.write_checksums(folder)
         print(folder)

@@ -22,10 +22,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # Fixed values of the catalogue: media types and vocabulary prefixes.
 MEDIA = {".csv": "text/csv", ".parquet": "application/vnd.apache.parquet", ".geojson": "application/geo+json"}
 CONTEXT = {"dcat": "http://www.w3.org/ns/dcat#", "dct": "http://purl.org/dc/terms/", "foaf": "http://xmlns.com/foaf/0.1/", "spdx": "http://spdx.org/rdf/terms#"}
-CONFIG_KEYS = ("titulo", "descripcion", "licencia.nombre", "licencia.url", "cadencia.valor", "temas")
+CONFIG_KEYS = ("titulo", "descripcion", "licencia.nombre", "licencia.url", "cadencia.valor", "fuente_primaria.url")
 PROPERTIES = (
-    "cve_cartera", "nombre_ppi", "descripcion_ramo", "descripcion_tipo_ppi", "descripcion_ur", "localizacion", "entidad_federativa", "anio_corte",
-    "trimestre_corte", "estatus_operacion", "fase", "avance_fisico", "aprobado", "ppef", "pef", "modificado", "ejercido", "monto_total_inversion",
+    "cve_cartera", "snapshot_id", "anio_corte", "trimestre_corte", "nombre_ppi", "descripcion_ur", "localizacion", "descripcion_ramo", "descripcion_tipo_ppi",
+    "entidad_federativa", "fase", "avance_fisico", "estatus_operacion", "aprobado", "ppef", "pef", "modificado", "ejercido", "monto_total_inversion",
 )
 #: Rows of a Parquet row group and of a fetch to the driver.
 GROUP = 50_000
@@ -187,6 +187,13 @@ def write_catalogue(package: Path, config: Mapping, descriptions: Mapping[str, s
     return out
 
 
+def load_descriptions(path: Path) -> tuple[dict[str, str], dict[str, dict[str, str]]]:
+    """Descriptions of tables and of their columns from ``models: [{name, description, columns: [...]}]``."""
+    models = (yaml.safe_load(path.read_text(encoding="utf-8")) or {}).get("models") or []
+    tables = {m["name"]: " ".join((m.get("description") or "").split()) for m in models}
+    return tables, {m["name"]: {c["name"]: c.get("description") or "" for c in m.get("columns") or []} for m in models}
+
+
 def dictionary_rows(name: str, df: DataFrame, described: Mapping[str, str]) -> list[tuple[str, str, str]]:
     """(column, type, description) of a table; a column without description or the reverse is an error."""
     problems = [f"{name}.{c}: no description" for c in df.columns if not described.get(c, "").strip()]
