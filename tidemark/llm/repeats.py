@@ -26,7 +26,7 @@ from tidemark.llm.common import Scratch, mix64
 from tidemark.llm.suffix_sort import Space, repeated_windows, suffix_array
 
 #: Bytes of a repeated string, bytes of an anchor, bytes of text handled at a time, target bytes of a shard.
-WIDTH, GRAM, SEGMENT, SHARD = 400, 32, 1 << 20, 1 << 20
+WIDTH, GRAM, SEGMENT, SHARD = 400, 32, 1 << 19, 1 << 20
 #: Bytes of a shard's contexts that a task holds in memory before they go to a file of its own.
 SPOOL = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -229,7 +229,7 @@ def _strip(rows: DataFrame, with_text: bool) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, max(len(b), 1), 256)):
             out: list[tuple] = []
             for digest, text, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "replace")

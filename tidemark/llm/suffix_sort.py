@@ -262,7 +262,7 @@ def repeated_windows(text: np.ndarray, suffixes: np.ndarray, starts: np.ndarray,
         cut = np.flatnonzero((a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)) + 1
         begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(a)]])
         size = end - begin + width - 1
-        group = np.cumsum(size) // (1 << 22)
+        group = np.cumsum(size) // (1 << 19)  # compared so many symbols at a time
         for g in np.unique(group):
             own = np.flatnonzero(group == g)
             length = size[own]
