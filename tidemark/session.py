@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,7 +40,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
     if set_by_cluster:
         return set_by_cluster.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _LOCAL_SCRATCH:
         _LOCAL_SCRATCH.append(tempfile.mkdtemp(prefix="tidemark-"))
