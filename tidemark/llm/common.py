@@ -183,12 +183,14 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
 
 
 def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` rows, chosen by a hash of ``key``, and never more; all of them if there are no more.
+    """Up to ``most`` rows, chosen by a hash of ``key``; all of them if there are no more.
 
-    Only for fitting a model: one narrow count, then a filter, so no task and no shuffle sees more.
+    Only for fitting a model: one narrow count, then a filter, so no task and no shuffle sees more. The
+    filter aims a tenth below the bound, so the same rows come every time; the limit is for keys that
+    many rows share.
     """
     n = rows.count()
     if n > most:
-        cut = int(most / n * (1 << 30))
+        cut = int(0.9 * most / n * (1 << 30))
         rows = rows.where(F.pmod(F.xxhash64(F.col(key), F.lit(77)), F.lit(1 << 30)) < cut)
     return rows.limit(most)
