@@ -228,6 +228,32 @@ def test_join_of_groups_with_small_and_large_blocks(spark, monkeypatch, node, bl
     assert got == brute_join(rows)
 
 
+def test_trie_nodes_of_any_size_give_the_same_components(monkeypatch):
+    from tidemark.llm.components import local_roots
+
+    rng = np.random.default_rng(4)
+    base = [np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(3)]
+    sets = [np.unique(np.concatenate([b[rng.random(len(b)) > 0.03], rng.integers(0, 1 << 63, 3, dtype=np.uint64)])) for b in base for _ in range(12)]
+    sig = jaccard_join.signatures(sets)
+    low = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+    labels_ = np.zeros((len(sets), 32), np.uint8)  # one node: all share the whole label
+    parts = []
+    for node in (1024, 8):
+        monkeypatch.setattr(jaccard_join, "NODE", node)
+        parts.append(local_roots(len(sets), *jaccard_join.node_links(labels_, low)))
+    assert parts[0] == parts[1] == [12 * (i // 12) for i in range(36)]
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    for share in (0.5, 0.8, 0.95):
+        k = int(len(base) * 2 * share / (1 + share))
+        a, b = base, np.concatenate([base[:k], rng.integers(0, 1 << 63, len(base) - k, dtype=np.uint64)])
+        s = jaccard_join.signatures([a, np.unique(b)])
+        assert abs((s[0] == s[1]).mean() - share) < 0.15
+
+
 def test_one_of_each_group(odd):
     kept = collections.Counter(r["doc_id"] for r in jaccard_join.one_of_each_group(odd).collect())
     assert kept[1] == 1 and kept[2] == 0 and kept[3] == 0 and kept[7] == 1 and kept[8] == 1
@@ -281,9 +307,47 @@ def brute_repeats(rows: list[tuple]) -> list[tuple]:
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("segment", [1 << 20, 700])
-def test_repeats_against_brute_force(spark, monkeypatch, segment):
-    monkeypatch.setattr(repeats, "SEGMENT", segment)
+def test_contexts_do_not_depend_on_segments(monkeypatch):
+    rng = random.Random(2)
+    texts = [("".join(rng.choice("abc ") for _ in range(n))).encode() for n in (0, 399, 400, 401, 5000)] + [b"ab" * 3000, b"x" * 900]
+
+    def anchors() -> list[dict[int, int]]:
+        out = [{} for _ in texts]
+        for owners, bases, parts in repeats._segments(texts):
+            for part, anchor, first, windows, times in repeats.contexts(parts):
+                for i in range(windows * times):
+                    at = first + bases[part] + i
+                    assert at not in out[owners[part]]
+                    out[owners[part]][at] = anchor
+        return out
+
+    whole = anchors()
+    assert [len(w) for w in whole] == [max(0, len(t) - 399) for t in texts]
+    monkeypatch.setattr(repeats, "SEGMENT", 700)
+    assert anchors() == whole
+    for t, w in zip(texts, whole, strict=True):  # equal windows have equal anchors
+        by_window = {}
+        for at, anchor in w.items():
+            assert by_window.setdefault(t[at : at + 400], anchor) == anchor
+
+
+def test_shards_spool_to_disk(monkeypatch):
+    rng = random.Random(3)
+    shared = bytes(rng.randrange(97, 123) for _ in range(450))
+    bodies = [shared, shared[20:] + b"tail" * 5, bytes(rng.randrange(97, 123) for _ in range(420)), b"once" * 110]
+    want = [[(20, 51)], [(0, 31)], None]
+    for room in (1 << 20, 16):
+        monkeypatch.setattr(repeats, "SPOOL", room)
+        shard = repeats.ShardText()
+        for i, b in enumerate(bodies):
+            shard.add((i, b"k"), b, False)
+            shard.add((i, b"k"), b, False)  # a repeated row
+        found = dict(shard.repeats())
+        assert [found.get((i, b"k")) for i in range(3)] == want
+        assert found[3, b"k"] == [(0, len(bodies[3]) - 399)]
+
+
+def test_repeats_against_brute_force(spark):
     rng = random.Random(8)
     text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
     shared, other = text(600), text(420)
@@ -362,6 +426,30 @@ def test_vectors_against_brute_force(spark, monkeypatch, cell, block):
     assert all(r["n_links"] <= want[r["vec_id"]] for r in got.collect())
 
 
+def test_search_finds_links_and_more_effort_no_fewer():
+    rows = vectors(3, 600)
+    x = embedding_dedup._unit(np.array([v for _, v, _ in rows]))
+    want = {(int(i), int(j)) for i, j in np.argwhere(np.triu(x @ x.T >= 0.98, 1))}
+    for effort in (1, 2):
+        got = set(zip(*(v.tolist() for v in embedding_dedup.cell_pairs(x, effort)), strict=True))
+        assert got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_audit_widens_a_search_that_finds_too_little(spark, monkeypatch):
+    rows = vectors(2, 120)
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<FLOAT>, label INT")
+    seen = []
+    real = embedding_dedup._links
+
+    def poor(placed, effort):
+        seen.append(effort)
+        return real(placed, effort) if effort > 1 else real(placed, effort).where("false")
+
+    monkeypatch.setattr(embedding_dedup, "_links", poor)
+    got = embedding_dedup.near_duplicates(df)
+    assert seen == [1, 2] and sum(r["n_links"] for r in got.collect()) > 0
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [1.0, 0.0], 0), (4, [1.0, 0.0], 1), (5, [1.0, 0.0], None), (6, None, 0), (7, [0.0, 0.0], 0), (8, [nan, 1.0], 0), (9, [inf, 1.0], 0), (10, [None, 1.0], 0), (11, [1.0, 0.0, 0.0], 0), (12, [], 0), (13, [0.0, 1.0], 0), (13, [0.0, 1.0], 0)]

@@ -30,6 +30,8 @@ CANDIDATES, DEGREE, ALPHA, BEAM = 48, 24, 1.15, 40
 BLOCK = 16384
 #: Vectors per centroid among which centroids are found.
 SAMPLE = 16
+#: Queries of an audit, the recall that it must find, and how often the search may be widened for it.
+AUDIT, RECALL, WIDENED = 256, 0.95, 2
 
 
 def usable(vector: Column) -> Column:
@@ -97,8 +99,11 @@ class Graph:
     medoids: np.ndarray
 
 
-def build_graph(x: np.ndarray, shard: int = SHARD, seed: int = 2) -> Graph:
-    """United, pruned neighbour lists of overlapping cluster shards of unit vectors, and the shards' medoids."""
+def build_graph(x: np.ndarray, shard: int = SHARD, seed: int = 2, effort: int = 1) -> Graph:
+    """United, pruned neighbour lists of overlapping cluster shards of unit vectors, and the shards' medoids.
+
+    ``effort`` multiplies the candidates and neighbours of a node.
+    """
     n = len(x)
     x = x.astype(np.float32)
     shards = max(1, -(-n // shard))
@@ -113,7 +118,7 @@ def build_graph(x: np.ndarray, shard: int = SHARD, seed: int = 2) -> Graph:
         if not len(own):
             continue
         medoids.append(own[int(np.argmax(x[own] @ centres[s]))])
-        k = min(CANDIDATES, len(own) - 1)
+        k = min(CANDIDATES * effort, len(own) - 1)
         if k < 1:
             continue
         for a in range(0, len(own), 1024):
@@ -125,13 +130,13 @@ def build_graph(x: np.ndarray, shard: int = SHARD, seed: int = 2) -> Graph:
         return Graph(np.full((n, 1), -1, np.int64), np.array(medoids or [0]))
     src = np.concatenate([np.repeat(o, p.shape[1]) for o, p in zip(owners, lists, strict=True)])
     dst = np.concatenate([p.ravel() for p in lists])
-    once = _prune_all(x, src, dst, n)
+    once = _prune_all(x, src, dst, n, DEGREE * effort)
     a, b = np.nonzero(once >= 0)
     b = once[a, b]
     far = rng.integers(0, n, (n, 2))  # a few long edges keep every part in reach
     src = np.concatenate([a, b])
     dst = np.concatenate([b, a])
-    both = _prune_all(x, src, dst, n)
+    both = _prune_all(x, src, dst, n, DEGREE * effort)
     # a node that no list kept after the prune is hung on its nearest neighbour, so all can be reached
     orphan = np.flatnonzero((np.bincount(both[both >= 0], minlength=n) == 0) & (both[:, 0] >= 0))
     host = both[orphan, 0]
@@ -143,13 +148,13 @@ def build_graph(x: np.ndarray, shard: int = SHARD, seed: int = 2) -> Graph:
     return Graph(np.concatenate([both, far, hung], axis=1), np.unique(medoids))
 
 
-def _prune_all(x: np.ndarray, src: np.ndarray, dst: np.ndarray, n: int) -> np.ndarray:
+def _prune_all(x: np.ndarray, src: np.ndarray, dst: np.ndarray, n: int, degree: int) -> np.ndarray:
     """The pruned list of every node, of the union of all edges given."""
     code = np.unique(src * n + dst)
     src, dst = code // n, code % n
     count = np.bincount(src, minlength=n)
     begin = np.cumsum(count) - count
-    out = np.full((n, DEGREE), -1, np.int64)
+    out = np.full((n, degree), -1, np.int64)
     order = np.argsort(count, kind="stable")  # nodes of like degree are pruned together
     a = 0
     while a < n:
@@ -162,7 +167,7 @@ def _prune_all(x: np.ndarray, src: np.ndarray, dst: np.ndarray, n: int) -> np.nd
         if wide:
             slot = np.arange(wide)
             cand = np.where(slot < count[own][:, None], dst[np.minimum(begin[own][:, None] + slot, len(dst) - 1)], -1)
-            out[own] = robust_prune(x, own, cand, DEGREE)
+            out[own] = robust_prune(x, own, cand, degree)
         a = b
     return out
 
@@ -249,11 +254,11 @@ def search(x: np.ndarray, graph: Graph, queries: np.ndarray, cosine: float = COS
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def cell_pairs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cell_pairs(x: np.ndarray, effort: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """All found pairs of a cell, each once, as indices left < right."""
     if len(x) < 2:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = search(x, build_graph(x), np.arange(len(x)))
+    a, b = search(x, build_graph(x, effort=effort), np.arange(len(x)), beam=BEAM * effort)
     code = np.unique(np.minimum(a, b) * len(x) + np.maximum(a, b))
     return code // len(x), code % len(x)
 
@@ -297,7 +302,7 @@ def _cells(classes: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(placed, "placed").withColumn("cell", F.explode("cells"))
 
 
-def _links(placed: DataFrame) -> DataFrame:
+def _links(placed: DataFrame, effort: int) -> DataFrame:
     """(cid, root, links) per cell and block pair."""
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("g"))
     own = F.pmod(F.xxhash64("cid"), F.col("g")).cast("int")
@@ -311,7 +316,7 @@ def _links(placed: DataFrame) -> DataFrame:
     def judge(held: list[tuple]) -> pa.RecordBatch:
         cell, bi, bj = held[0][:3]
         unique = list({r[4]: r for r in held}.values())
-        a, b = cell_pairs(_unit(np.array([r[5] for r in unique], np.float64)))
+        a, b = cell_pairs(_unit(np.array([r[5] for r in unique], np.float64)), effort)
         block = np.array([r[3] for r in unique])
         cells = np.full((len(unique), OVERLAP), -1, np.int64)
         for i, r in enumerate(unique):
@@ -354,8 +359,9 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     are linked if their cosine is at least 0.98; null labels, null or zero vectors and such with null or
     non-finite components link with nothing. ``component_id`` is the least vec_id that links lead to, itself
     included. Equal vectors of a label are one class throughout, so copies cost one node; repeated rows are
-    copies. An empty table gives an empty result. The search is approximate: ``audit_recall`` measures the
-    share of links found, and no link below the cosine is ever returned.
+    copies. An empty table gives an empty result. The search is approximate: an audit of AUDIT queries
+    against all rows must find RECALL of their links, else the search is widened. No link below the cosine
+    is ever returned.
     """
     scratch = Scratch(embeddings.sparkSession, "embeddings")
     h = [F.lpad(F.hex(F.xxhash64(F.lit(k), "label", "embedding")), 16, "0") for k in (1, 2)]
@@ -369,9 +375,14 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    found = scratch.table(_links(_cells(classes, scratch)), "links")
+    placed = _cells(classes, scratch)
+    for widened in range(WIDENED + 1):
+        found = scratch.table(_links(placed, 1 << widened), f"links-{widened}")
+        links = found.groupBy("cid").agg(F.sum("links").alias("links"))
+        got, there = _audit(classes, links)
+        if got >= RECALL * there:
+            break
     scratch.drop("placed")
-    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select("cid", "root"), scratch, "components")
     reps = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
     least = reps.groupBy("root").agg(F.min("rep").alias("least"))
@@ -387,33 +398,58 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def _brute_counts(rows: DataFrame, vectors: list, labels: list, weight: str | None = None) -> dict[int, int]:
+    """For each query, the rows of its label with a cosine of at least COSINE, itself included.
+
+    ``rows``: embedding, label and the weight; all of them meet the few queries, which are broadcast. Tasks
+    return one count per query.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((vectors, np.array(labels)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, labels = shared.value
+        total = np.zeros(len(vectors), np.int64)
+        size = np.array([len(v) for v in vectors])
+        for batch in batches:
+            own = batch.column(0).to_pylist()
+            own_size, own_label, own_weight = np.array([len(v) for v in own]), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for d in set(own_size.tolist()) & set(size.tolist()):
+                i, j = np.flatnonzero(size == d), np.flatnonzero(own_size == d)
+                near = _unit(np.array([vectors[k] for k in i])) @ _unit(np.array([own[k] for k in j])).T >= COSINE
+                total[i] += (near & (labels[i][:, None] == own_label[j][None, :])) @ own_weight[j]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(vectors))), pa.array(total)], names=["i", "n"])
+
+    w = F.col(weight) if weight else F.lit(1).cast("long")
+    counts = rows.select("embedding", "label", w.alias("w")).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    return {r["i"]: r["n"] for r in counts.collect()}
+
+
+def _audit(classes: DataFrame, links: DataFrame) -> tuple[int, int]:
+    """Links found and links there are, between the classes of at most AUDIT queries and all others."""
+    n = classes.count()
+    cut = int(min(1.0, 0.9 * AUDIT / max(n, 1)) * (1 << 30))
+    drawn = classes.where(F.pmod(F.xxhash64(F.col("cid"), F.lit(5)), F.lit(1 << 30)) < cut).limit(AUDIT).select("cid", "group", "embedding", "copies").collect()
+    if not drawn:
+        return 0, 0
+    counts = _brute_counts(classes.select("embedding", F.col("group").alias("label"), "copies"), [r["embedding"] for r in drawn], [r["group"] for r in drawn], "copies")
+    got = {bytes(r["cid"]): r["links"] for r in links.where(F.col("cid").isin([F.lit(bytes(r["cid"])) for r in drawn])).collect()}
+    want = [counts.get(i, r["copies"]) - r["copies"] for i, r in enumerate(drawn)]
+    return sum(min(got.get(bytes(r["cid"]), 0), w) for r, w in zip(drawn, want, strict=True)), sum(want)
+
+
 def audit_recall(embeddings: DataFrame, result: DataFrame, divisor: int = 100, block: int = 512) -> tuple[int, int]:
     """Links found and links there are, of the vectors whose id is divisible by ``divisor``.
 
-    Those queries meet all rows in blocks of ``block``, which are broadcast one after the other; only counts
-    per query come back.
+    Those queries meet all rows, ``block`` of them at a time; only counts per query come back.
     """
     ok = embeddings.where(usable(F.col("embedding")) & F.col("label").isNotNull())
-    queries = ok.where(F.col("vec_id") % divisor == 0).select("vec_id", "label", "embedding").toArrow().to_pylist()
-    got = dict(result.where(F.col("vec_id") % divisor == 0).select("vec_id", "n_links").toPandas().itertuples(index=False))
+    queries = ok.where(F.col("vec_id") % divisor == 0).select("vec_id", "label", "embedding").collect()
+    got = {r["vec_id"]: r["n_links"] for r in result.where(F.col("vec_id") % divisor == 0).collect()}
     there = found = 0
     for a in range(0, len(queries), block):
         part = queries[a : a + block]
-        q = _unit(np.array([r["embedding"] for r in part], np.float64))
-        labels = np.array([r["label"] for r in part])
-        shared = embeddings.sparkSession.sparkContext.broadcast((q, labels))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            q, labels = shared.value
-            total = np.zeros(len(q), np.int64)
-            for batch in batches:
-                if len(batch):
-                    x = _unit(np.array(batch.column(0).to_pylist(), np.float64))
-                    total += ((q @ x.T >= COSINE) & (labels[:, None] == batch.column(1).to_numpy()[None, :])).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(q))), pa.array(total)], names=["i", "n"])
-
-        counts = ok.select("embedding", "label").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-        for r in counts:
-            there += r["n"] - 1  # itself
-            found += min(got[part[r["i"]]["vec_id"]], r["n"] - 1)
+        counts = _brute_counts(ok, [r["embedding"] for r in part], [r["label"] for r in part])
+        for i, r in enumerate(part):
+            want = counts.get(i, 1) - 1  # itself
+            there, found = there + want, found + min(got[r["vec_id"]], want)
     return found, there
