@@ -197,8 +197,11 @@ class ShardText:
                 yield name, list(zip(edge[::2], edge[1::2], strict=True))
 
 
-def _decide(rows: DataFrame, shards: int) -> DataFrame:
-    """(anchor, context, runs) from rows (shard, anchor, context, body, again), by one suffix array a shard."""
+def _decide(rows: DataFrame) -> DataFrame:
+    """(anchor, context, runs) from rows (shard, anchor, context, body, again), by one suffix array a shard.
+
+    A task takes as many shards as fit a partition, one after the other.
+    """
 
     def judge(shard: ShardText) -> pa.RecordBatch:
         hit = [(anchor, context, [{"begin": a, "end": b} for a, b in runs]) for (anchor, context), runs in shard.repeats()]
@@ -218,7 +221,7 @@ def _decide(rows: DataFrame, shards: int) -> DataFrame:
         if number is not None:
             yield judge(shard)
 
-    dealt = rows.select("shard", "anchor", "context", "body", "again").repartition(shards, "shard").sortWithinPartitions("shard", "anchor", "context")
+    dealt = rows.select("shard", "anchor", "context", "body", "again").repartition("shard").sortWithinPartitions("shard", "anchor", "context")
     return dealt.mapInArrow(run, "anchor long, context binary, runs array<struct<begin: int, end: int>>")
 
 
@@ -281,7 +284,7 @@ def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False
         .select("w.*", F.substring(F.col("text").cast("binary"), F.col("w.first").cast("int") + 1, F.col("w.windows") + (WIDTH - 1)).alias("body"))
         .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
     )
-    decided = scratch.table(_decide(bodies, shards), "decided")
+    decided = scratch.table(_decide(bodies), "decided")
     scratch.drop("wanted")
     hits = suspects.join(decided, ["anchor", "context"]).groupBy("digest", "rep").agg(F.collect_list(F.struct("first", "windows", "times", "runs")).alias("hits"))
     hits = scratch.table(hits, "hits")
