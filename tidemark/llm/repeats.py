@@ -225,33 +225,54 @@ def _decide(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "anchor long, context binary, runs array<struct<begin: int, end: int>>")
 
 
-def _strip(rows: DataFrame, with_text: bool) -> DataFrame:
-    """(digest, n_removed, n_spans, kept_sha256, kept_text) from rows (digest, text, hits).
+def cut(data: bytes, hits: list[dict]) -> tuple[bytes, int, int]:
+    """The bytes that no repeated window covers, how many go, and in how many runs."""
+    edge = np.zeros(len(data) + 1, np.int32)
+    for hit in hits:
+        # repetitions stand at a stride of the context's windows, so their runs may touch
+        at = hit["first"] + hit["windows"] * np.arange(hit["times"])
+        for r in hit["runs"]:
+            np.add.at(edge, at + r["begin"], 1)
+            np.add.at(edge, at + r["end"] - 1 + WIDTH, -1)
+    gone = np.cumsum(edge[:-1]) > 0
+    spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+    return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), spans
 
-    Removal may cut a character; the text leaves out its remaining bytes, the digest does not.
-    """
+
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
+def _strip(rows: DataFrame) -> DataFrame:
+    """(digest, n_removed, n_spans, kept_sha256) from rows (digest, text, hits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, 256) for b in batches for at in range(0, max(len(b), 1), 256)):
+        for batch in _pieces(batches):
             out: list[tuple] = []
             for digest, text, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = text.encode("utf-8", "replace")
-                edge = np.zeros(len(data) + 1, np.int32)
-                for hit in hits:
-                    for r in hit["runs"]:
-                        # repetitions stand at a stride of the context's windows, so their runs may touch
-                        at = hit["first"] + hit["windows"] * np.arange(hit["times"])
-                        np.add.at(edge, at + r["begin"], 1)
-                        np.add.at(edge, at + r["end"] - 1 + WIDTH, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                out.append((digest, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None))
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["digest", "n_removed", "n_spans", "kept_sha256", "kept_text"])
-
-    return rows.select("digest", "text", "hits").mapInArrow(run, "digest binary, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+                kept, removed, spans = cut(text.encode("utf-8", "replace"), hits)
+                out.append((digest, removed, spans, hashlib.sha256(kept).hexdigest()))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["digest", "n_removed", "n_spans", "kept_sha256"])
+
+    return rows.select("digest", "text", "hits").mapInArrow(run, "digest binary, n_removed long, n_spans long, kept_sha256 string")
+
+
+def _cut_rows(rows: DataFrame) -> DataFrame:
+    """(row, text) from rows (row, text, hits); where there are hits, the text less its repeated passages.
+
+    Removal may cut a character, whose remaining bytes then go too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            texts = [t if not h else cut(t.encode("utf-8", "replace"), h)[0].decode("utf-8", "ignore") for t, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
+    return rows.select("row", "text", "hits").mapInArrow(run, schema)
 
 
 def _by_text(documents: DataFrame, table: DataFrame) -> DataFrame:
@@ -265,8 +286,8 @@ def _by_text(documents: DataFrame, table: DataFrame) -> DataFrame:
     return texts.join(table, (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("rep"))).drop("_id", "_digest", "rep")
 
 
-def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False) -> DataFrame:
-    """(digest, n_removed, n_spans, kept_sha256, kept_text) of the texts that lose bytes."""
+def find_repeats(documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """(digest, rep, hits) of the texts that lose bytes: the runs of repeated windows in their contexts."""
     found = _anchors(documents).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("found").alias("found"))
     texts = scratch.table(found.where(F.size("found") > 0), "texts")
     each = texts.select("digest", "rep", "copies", F.explode("found").alias("c")).select("digest", "rep", F.col("copies") * F.col("c.times").cast("long"), "c.*").toDF("digest", "rep", "n", "anchor", "context", "first", "windows", "times")
@@ -289,9 +310,7 @@ def find_repeats(documents: DataFrame, scratch: Scratch, with_text: bool = False
     hits = suspects.join(decided, ["anchor", "context"]).groupBy("digest", "rep").agg(F.collect_list(F.struct("first", "windows", "times", "runs")).alias("hits"))
     hits = scratch.table(hits, "hits")
     scratch.drop("suspects", "decided")
-    stripped = scratch.table(_strip(_by_text(documents, hits), with_text).dropDuplicates(["digest"]), "stripped")
-    scratch.drop("hits")
-    return stripped
+    return hits
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -304,7 +323,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     lose everything. An empty table gives an empty result.
     """
     scratch = Scratch(documents.sparkSession, "repeats")
-    stripped = find_repeats(documents, scratch).drop("kept_text").withColumnRenamed("digest", "_digest").withColumnRenamed("kept_sha256", "_sha")
+    stripped = scratch.table(_strip(_by_text(documents, find_repeats(documents, scratch))).dropDuplicates(["digest"]), "stripped")
+    scratch.drop("hits")
+    stripped = stripped.withColumnsRenamed({"digest": "_digest", "kept_sha256": "_sha"})
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("_whole"))
     joined = rows.withColumn("_d", F.substring(F.unhex("_whole"), 1, 16)).join(stripped, F.col("_d") == F.col("_digest"), "left")
@@ -316,9 +337,10 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
 def without_repeats(documents: DataFrame) -> DataFrame:
     """The documents, all columns in place, with ``text`` less its repeated passages and ``n_chars`` to match."""
-    scratch = Scratch(documents.sparkSession, "repeats")
-    stripped = find_repeats(documents, scratch, with_text=True).select(F.col("digest").alias("_digest"), "kept_text")
+    hits = find_repeats(documents, Scratch(documents.sparkSession, "repeats")).select(F.col("digest").alias("_digest"), "hits")
     digest = F.substring(F.unhex(F.sha2("text", 256)), 1, 16)
-    joined = documents.withColumn("_d", digest).join(stripped, F.col("_d") == F.col("_digest"), "left")
-    new = {"text": F.coalesce("kept_text", "text"), "n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long"))}
-    return joined.select(*[F.coalesce(new[c], F.col(c)).alias(c) if c in new else F.col(c) for c in documents.columns])
+    others = [c for c in documents.columns if c != "text"]
+    keyed = documents.select(F.struct(*others).alias("row"), "text", digest.alias("_d"))
+    rows = _cut_rows(keyed.join(hits, F.col("_d") == F.col("_digest"), "left").select("row", "text", "hits"))
+    size = F.when(F.col("row.n_chars").isNotNull(), F.length("text").cast("long")) if "n_chars" in others else None
+    return rows.select(*["text" if c == "text" else (size if c == "n_chars" else F.col(f"row.{c}")).alias(c) for c in documents.columns])
