@@ -279,11 +279,11 @@ def _by_text(documents: DataFrame, table: DataFrame) -> DataFrame:
     """Documents' texts joined to ``table`` (digest, rep, ...), once per digest at best.
 
     The join is on the id too, so only the representative's rows match and copies of a text spread over many
-    tasks. Both sides are shuffled: ``table`` holds lists of contexts, which grow with the texts.
+    tasks. Both sides are shuffled at any size: ``table`` holds lists of contexts, which grow with the texts.
     """
     digest = F.substring(F.unhex(F.sha2("text", 256)), 1, 16)
     texts = documents.select(F.col("doc_id").alias("_id"), "text").where(F.octet_length("text") >= WIDTH).withColumn("_digest", digest)
-    return texts.join(table, (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("rep"))).drop("_id", "_digest", "rep")
+    return texts.join(table.hint("merge"), (F.col("_digest") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("rep"))).drop("_id", "_digest", "rep")
 
 
 def find_repeats(documents: DataFrame, scratch: Scratch) -> DataFrame:
@@ -341,6 +341,6 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     digest = F.substring(F.unhex(F.sha2("text", 256)), 1, 16)
     others = [c for c in documents.columns if c != "text"]
     keyed = documents.select(F.struct(*others).alias("row"), "text", digest.alias("_d"))
-    rows = _cut_rows(keyed.join(hits, F.col("_d") == F.col("_digest"), "left").select("row", "text", "hits"))
+    rows = _cut_rows(keyed.join(hits.hint("merge"), F.col("_d") == F.col("_digest"), "left").select("row", "text", "hits"))
     size = F.when(F.col("row.n_chars").isNotNull(), F.length("text").cast("long")) if "n_chars" in others else None
     return rows.select(*["text" if c == "text" else (size if c == "n_chars" else F.col(f"row.{c}")).alias(c) for c in documents.columns])
