@@ -244,6 +244,40 @@ def test_trie_nodes_of_any_size_give_the_same_components(monkeypatch):
     assert parts[0] == parts[1] == [12 * (i // 12) for i in range(36)]
 
 
+def crowd(m: int, copies: list[tuple[int, int, int]]) -> np.ndarray:
+    """Hash bytes of m unlike members; (a, b, n) makes b agree with a in n of 128."""
+    low = np.random.default_rng(6).integers(0, 256, (m, 128)).astype(np.uint8)
+    for a, b, n in copies:
+        low[b] = np.where(np.arange(128) < n, low[a], low[a] + 1)
+    return low
+
+
+def test_every_pair_of_a_large_node_is_compared():
+    low = crowd(3000, [(700, 2900, 100), (2900, 5, 100), (10, 11, 80), (20, 2000, 79)])
+    low[100:300] = low[100]  # copies, and one that resembles only the last of them
+    low[299, :28] += 1
+    low[2500] = np.where(np.arange(128) < 90, low[299], low[100] + 2)
+    want = np.arange(3000)
+    want[[700, 2900]], want[11], want[100:300], want[2500] = 5, 10, 100, 100
+    assert (low[2500] == low[100]).sum() < 80 and jaccard_join.node_components(low).tolist() == want.tolist()
+    side = 1 + np.arange(3000) % 2
+    got = jaccard_join.node_components(low, side)
+    assert got[2900] == got[5] == got[700] == 5 and got[2500] == got[299] == 100 and got[2000] == 2000
+
+
+@pytest.mark.parametrize("m", [70, 800])
+def test_members_of_a_hot_node_meet_whatever_their_children(spark, monkeypatch, m):
+    monkeypatch.setattr(jaccard_join, "NODE", 16)
+    rng = np.random.default_rng(7)
+    pairs = [(i, m - 1 - i, 100) for i in range(1, 9)]
+    low = crowd(m, pairs)
+    label = rng.integers(0, 256, (m, 16, 32)).astype(np.uint8)
+    label[:, 0, :20] = 7  # one node in one trie, children all different
+    rows = [(b"%016d" % i, low[i].tobytes(), label[i].tobytes()) for i in range(m)]
+    edges = jaccard_join._candidates(spark.createDataFrame(rows, "cid binary, low binary, label binary"), Scratch(spark, "hot"))
+    assert {tuple(sorted((int(r["a"]), int(r["b"])))) for r in edges.collect()} == {(a, b) for a, b, _ in pairs}
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))

@@ -8,7 +8,7 @@
    clusters, and inside a cluster every pair is verified exactly on the shingles. So a pair missed by the
    forest is still found if any path of similar texts joins it.
 
-Large trie nodes and large clusters are split into blocks; no step emits a row per pair.
+Large trie nodes and large clusters are dealt out as pairs of blocks; no step emits a row per pair.
 """
 
 from __future__ import annotations
@@ -111,35 +111,54 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
+def _alike(low: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether AGREE or more hash bytes of each of ``x`` and each of ``y`` (indices into low) are equal."""
+    lanes = (low[x][:, None, :] == low[y][None, :, :]).view(np.uint64).sum(axis=2)  # eight sums of 16 bits at most
+    return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56) >= AGREE
+
+
+def node_components(low: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+    """Least member of each member's component under the links of all pairs whose min-hashes agree.
+
+    With ``side``, only pairs of different sides are compared. A pair is skipped only if links found before
+    connect it, so a group of near copies costs about one comparison a member.
+    """
+    m = len(low)
+    root, open_ = np.arange(m), np.ones(m, bool)
+    while True:
+        rest = np.flatnonzero(open_)
+        if len(rest) < 2 or (side is not None and (side[rest] == side[rest[0]]).all()):
+            return root
+        count = np.bincount(root[rest], minlength=m)
+        top = int(count.argmax())
+        own, other = (rest[root[rest] == top], rest[root[rest] != top]) if count[top] >= 32 else (rest, rest)
+        if side is not None:
+            own, other = own[side[own] == side[own[0]]], other[side[other] != side[own[0]]]
+        if len(other):
+            own = own[:64]
+        open_[own] = False
+        for at in range(0, len(other), 2048):
+            part = other[at : at + 2048]
+            for i, ok in zip(own, _alike(low, own, part), strict=True):
+                met = np.unique(root[np.append(part[ok], i)])
+                if len(met) > 1:
+                    moved = np.arange(m)
+                    moved[met] = met[0]
+                    root = moved[root]
+
+
 def node_links(labels: np.ndarray, low: np.ndarray) -> tuple[list[int], list[int]]:
     """Links between the members of one trie node.
 
     ``labels``: (m, DEPTH) big-endian hashes as bytes, sorted. Prefixes are shortened from DEPTH to SHORTEST;
     a member takes part until a prefix of the present length finds TARGET of partners as similar as the
-    least similar one that it has. Nodes beyond NODE members are compared piece by piece: each piece with
-    itself and with one member of every component found before.
+    least similar one that it has. In nodes beyond NODE members all are compared.
     """
     left: list[int] = []
     right: list[int] = []
     m = len(labels)
     if m > NODE:
-        kept = np.empty(0, np.int64)
-        for a in range(0, m, NODE):
-            own = np.arange(a, min(a + NODE, m))
-            for p in range(0, len(own), 64):
-                agree = (low[own[p : p + 64], None, :] == low[None, own, :]).sum(axis=2)
-                x, y = np.nonzero(agree >= AGREE)
-                left += own[p : p + 64][x].tolist()
-                right += own[y].tolist()
-            for p in range(0, len(kept), 64):
-                agree = (low[kept[p : p + 64], None, :] == low[None, own, :]).sum(axis=2)
-                x, y = np.nonzero(agree >= AGREE)
-                left += kept[p : p + 64][x].tolist()
-                right += own[y].tolist()
-            roots = np.array(local_roots(m, left, right))
-            left, right = roots[: own[-1] + 1].tolist(), list(range(own[-1] + 1))
-            kept = np.unique(roots[: own[-1] + 1])
-        return left, right
+        return node_components(low).tolist(), list(range(m))
     least = np.full(m, HASHES + 1)
     settled = np.zeros(m, bool)
     for depth in range(DEPTH, SHORTEST - 1, -1):
@@ -170,27 +189,25 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
         "cid", "low", "tree", F.expr(f"substring(label, tree * {step} + 1, {step})").alias("own")
     )
     tries = tries.withColumn("node", F.xxhash64("tree", F.expr(f"substring(own, 1, {width})")))
-    hot = scratch.table(tries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("pivot")).where(F.col("n") > NODE), "hot-nodes")
+    hot = scratch.table(tries.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NODE), "hot-nodes")
     n_hot = hot.count()
+    tries = tries.withColumn("side", F.lit(0).cast("byte"))
     if n_hot:
-        # a large node is dealt out by its children, a large child by its members; the pivot joins every part
-        parts = F.ceil(F.col("n") / F.lit(NODE // 2))
+        # a large node is dealt out as pairs of blocks, so every two of its members meet in one task
         side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-        joined = tries.join(side, "node", "left")
-        child = F.expr(f"substring(own, {width + 1}, {step - width})")
-        part = F.pmod(F.xxhash64(child, F.pmod(F.xxhash64("cid"), F.greatest(F.lit(1).cast("long"), F.floor(parts / 16)))), parts)
-        rows = joined.select(
-            "cid", "low", "own", "node",
-            F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long")))
-            .when(F.col("cid") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), parts - 1))
-            .otherwise(F.array(part)).alias("parts"),
+        g = F.coalesce(F.ceil(F.col("n") / F.lit(NODE)), F.lit(1).cast("long"))
+        rows = tries.join(side, "node", "left").select("cid", "low", "own", "node", g.alias("g"), F.pmod(F.xxhash64("cid"), g).alias("block"))
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
+        pair = F.xxhash64("node", F.least("block", "j"), F.greatest("block", "j"))
+        tries = rows.select(
+            "cid", "low", "own", F.when(F.col("g") == 1, F.col("node")).otherwise(pair).alias("node"),
+            F.when(F.col("block") == F.col("j"), 0).when(F.col("block") < F.col("j"), 1).otherwise(2).cast("byte").alias("side"),
         )
-        tries = rows.select("cid", "low", "own", F.explode("parts").alias("part"), "node").withColumn("node", F.xxhash64("node", "part")).drop("part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def links(node: np.ndarray, cid: np.ndarray, own: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+        def links(node: np.ndarray, cid: np.ndarray, own: np.ndarray, low: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero(node[1:] != node[:-1]) + 1
             begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(node)]])
             two = begin[end - begin == 2]
@@ -198,19 +215,20 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
             a, b = [cid[hit]], [cid[hit + 1]]
             many = np.flatnonzero(end - begin > 2)
             for s, t in zip(begin[many].tolist(), end[many].tolist(), strict=True):
-                x, y = node_links(own[s:t], low[s:t])
-                if x:
-                    roots = np.array(local_roots(t - s, x, y))
-                    moved = np.flatnonzero(roots != np.arange(t - s))
-                    a.append(cid[s + moved])
-                    b.append(cid[s + roots[moved]])
+                if side[s:t].all():
+                    roots = node_components(low[s:t], side[s:t])
+                else:
+                    roots = np.array(local_roots(t - s, *node_links(own[s:t], low[s:t])))
+                moved = np.flatnonzero(roots != np.arange(t - s))
+                a.append(cid[s + moved])
+                b.append(cid[s + roots[moved]])
             return pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in np.concatenate(v)], pa.binary()) for v in (a, b)], names=["a", "b"])
 
         for batch in batches:
             if not len(batch):
                 continue
             node = batch.column(0).to_numpy()
-            part = (node, _fixed(batch.column(1), 16), _fixed(batch.column(2), step), _fixed(batch.column(3), HASHES))
+            part = (node, _fixed(batch.column(1), 16), _fixed(batch.column(2), step), _fixed(batch.column(3), HASHES), batch.column(4).to_numpy())
             last = int(np.searchsorted(node != node[-1], False)) if node[0] == node[-1] else int(np.flatnonzero(node != node[-1])[-1]) + 1
             if last and held:  # the run that was open ends in this batch
                 held.append(tuple(p[:last] for p in part))
@@ -225,7 +243,7 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
         if held:
             yield links(*(np.concatenate(p) for p in zip(*held, strict=True)))
 
-    dealt = tries.select("node", "cid", "own", "low").repartition("node").sortWithinPartitions("node", "own", "cid")
+    dealt = tries.select("node", "cid", "own", "low", "side").repartition("node").sortWithinPartitions("node", "own", "cid")
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
