@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, embedding_dedup, html_text, jaccard_join, langid, packing, quality, repeats, sharding, suffix_sort, toxicity
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import connected_components, local_roots
 from tidemark.llm.common import Scratch, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -265,6 +265,14 @@ def test_every_pair_of_a_large_node_is_compared():
     assert got[2900] == got[5] == got[700] == 5 and got[2500] == got[299] == 100 and got[2000] == 2000
 
 
+def test_a_near_copy_does_not_end_the_search_for_others():
+    low = crowd(4, [(0, 1, 126), (0, 2, 101), (2, 3, 126)])
+    labels_ = np.zeros((4, 32), np.uint8)
+    labels_[2:, 20:] = 1  # each pair shares a whole label, all four the shortest prefix
+    left, right = jaccard_join.node_links(labels_, low)
+    assert local_roots(4, left, right) == [0, 0, 0, 0]
+
+
 @pytest.mark.parametrize("m", [70, 800])
 def test_members_of_a_hot_node_meet_whatever_their_children(spark, monkeypatch, m):
     monkeypatch.setattr(jaccard_join, "NODE", 16)

@@ -2,8 +2,8 @@
 
 1. Every text becomes the set of its 5-word shingles; equal sets are one class from here on.
 2. A class has a label of DEPTH min-hashes in each of TREES prefix tries. Classes whose labels share the
-   SHORTEST prefix in a trie meet in one task, sorted; there prefixes are shortened from the whole label on,
-   class by class, until the share of partners that such a prefix finds reaches TARGET.
+   SHORTEST prefix in a trie meet in one task, and all of them are compared, by all their min-hashes. A
+   similarity of 0.8 shares such a prefix in some trie with probability 0.998.
 3. Pairs whose min-hashes agree like those of similar sets connect their classes; connected classes form
    clusters, and inside a cluster every pair is verified exactly on the shingles. So a pair missed by the
    forest is still found if any path of similar texts joins it.
@@ -28,8 +28,6 @@ from tidemark.llm.components import connected_components, local_roots
 SHINGLE, SIMILAR = 5, (4, 5)
 TREES, DEPTH, SHORTEST = 16, 8, 5
 HASHES = TREES * DEPTH
-#: Share of partners that a prefix must find before it is short enough.
-TARGET = 0.99
 #: Equal hash bytes of 128 that make a candidate: five deviations below what a similarity of 0.8 gives.
 AGREE = 80
 #: Members of a trie node, and of a cluster, that one task compares at a time.
@@ -40,7 +38,6 @@ BROADCAST_ROWS = 200_000
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
-_FOUND = [1.0 - (1.0 - np.linspace(0, 1, HASHES + 1) ** d) ** TREES for d in range(DEPTH + 1)]
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -147,48 +144,27 @@ def node_components(low: np.ndarray, side: np.ndarray | None = None) -> np.ndarr
                     root = moved[root]
 
 
-def node_links(labels: np.ndarray, low: np.ndarray) -> tuple[list[int], list[int]]:
-    """Links between the members of one trie node.
+def node_links(labels: np.ndarray, low: np.ndarray, side: np.ndarray | None = None) -> tuple[list[int], list[int]]:
+    """Links that connect the members of one trie node whose min-hashes agree.
 
-    ``labels``: (m, DEPTH) big-endian hashes as bytes, sorted. Prefixes are shortened from DEPTH to SHORTEST;
-    a member takes part until a prefix of the present length finds TARGET of partners as similar as the
-    least similar one that it has. In nodes beyond NODE members all are compared.
+    ``labels``: (m, SHORTEST or more) big-endian hashes as bytes, sorted. No member is left out for having a
+    partner already: only what links connect is not compared again.
     """
+    prefix = labels[:, : 4 * SHORTEST]
+    change = np.flatnonzero((prefix[1:] != prefix[:-1]).any(axis=1)) + 1
     left: list[int] = []
-    right: list[int] = []
-    m = len(labels)
-    if m > NODE:
-        return node_components(low).tolist(), list(range(m))
-    least = np.full(m, HASHES + 1)
-    settled = np.zeros(m, bool)
-    for depth in range(DEPTH, SHORTEST - 1, -1):
-        prefix = labels[:, : 4 * depth]
-        change = np.flatnonzero((prefix[1:] != prefix[:-1]).any(axis=1)) + 1
-        for a, b in zip([0, *change.tolist()], [*change.tolist(), m], strict=True):
-            if b - a < 2 or settled[a:b].all():
-                continue
-            own = np.arange(a, b)
-            open_ = own[~settled[a:b]]
-            for p in range(0, len(open_), 64):
-                agree = (low[open_[p : p + 64], None, :] == low[None, a:b, :]).sum(axis=2)
-                x, y = np.nonzero(agree >= AGREE)
-                s, t = open_[p : p + 64][x], own[y]
-                other = s != t
-                left += s[other].tolist()
-                right += t[other].tolist()
-                np.minimum.at(least, s[other], agree[x[other], y[other]])
-                np.minimum.at(least, t[other], agree[x[other], y[other]])
-        settled = (least <= HASHES) & (_FOUND[depth][np.minimum(least, HASHES)] >= TARGET)
-    return left, right
+    for a, b in zip([0, *change.tolist()], [*change.tolist(), len(labels)], strict=True):
+        left += (a + node_components(low[a:b], None if side is None else side[a:b])).tolist()
+    return left, list(range(len(labels)))
 
 
 def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (a, b) that connect the classes of a trie node that look similar."""
     step, width = 4 * DEPTH, 4 * SHORTEST
     tries = classes.select("cid", "low", "label", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
-        "cid", "low", "tree", F.expr(f"substring(label, tree * {step} + 1, {step})").alias("own")
+        "cid", "low", "tree", F.expr(f"substring(label, tree * {step} + 1, {width})").alias("own")
     )
-    tries = tries.withColumn("node", F.xxhash64("tree", F.expr(f"substring(own, 1, {width})")))
+    tries = tries.withColumn("node", F.xxhash64("tree", "own"))
     hot = scratch.table(tries.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NODE), "hot-nodes")
     n_hot = hot.count()
     tries = tries.withColumn("side", F.lit(0).cast("byte"))
@@ -215,10 +191,7 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
             a, b = [cid[hit]], [cid[hit + 1]]
             many = np.flatnonzero(end - begin > 2)
             for s, t in zip(begin[many].tolist(), end[many].tolist(), strict=True):
-                if side[s:t].all():
-                    roots = node_components(low[s:t], side[s:t])
-                else:
-                    roots = np.array(local_roots(t - s, *node_links(own[s:t], low[s:t])))
+                roots = np.array(node_links(own[s:t], low[s:t], side[s:t] if side[s:t].all() else None)[0])
                 moved = np.flatnonzero(roots != np.arange(t - s))
                 a.append(cid[s + moved])
                 b.append(cid[s + roots[moved]])
@@ -228,7 +201,7 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
             if not len(batch):
                 continue
             node = batch.column(0).to_numpy()
-            part = (node, _fixed(batch.column(1), 16), _fixed(batch.column(2), step), _fixed(batch.column(3), HASHES), batch.column(4).to_numpy())
+            part = (node, _fixed(batch.column(1), 16), _fixed(batch.column(2), width), _fixed(batch.column(3), HASHES), batch.column(4).to_numpy())
             last = int(np.searchsorted(node != node[-1], False)) if node[0] == node[-1] else int(np.flatnonzero(node != node[-1])[-1]) + 1
             if last and held:  # the run that was open ends in this batch
                 held.append(tuple(p[:last] for p in part))
