@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, mix64, word_hashes
@@ -82,12 +82,16 @@ def signatures(sets: list[np.ndarray], piece: int = 1 << 16) -> np.ndarray:
     return out
 
 
-def _sketch(documents: DataFrame) -> DataFrame:
-    """doc_id, cid (the class), label (the tries' labels) and low (a byte per hash); no class without words."""
+def _digest() -> Column:
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def _sketch(documents: DataFrame, digest: Column) -> DataFrame:
+    """doc_id, digest, cid (the class), label (the tries' labels) and low (a byte per hash); no class without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, digests, texts = batch.columns
             for at in range(0, len(batch), 256):
                 sets = [shingle_set(t) for t in texts.slice(at, 256).to_pylist()]
                 full = [i for i, s in enumerate(sets) if len(s)]
@@ -96,11 +100,11 @@ def _sketch(documents: DataFrame) -> DataFrame:
                 cid, label, byte = ([None] * len(sets) for _ in range(3))
                 for k, i in enumerate(full):
                     cid[i], label[i], byte[i] = set_id(sets[i]), sig[k].astype(">u4").tobytes(), low[k].tobytes()
-                yield pa.RecordBatch.from_arrays([ids.slice(at, 256), pa.array(cid, pa.binary()), pa.array(label, pa.binary()), pa.array(byte, pa.binary())], names=["doc_id", "cid", "label", "low"])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, 256), digests.slice(at, 256), pa.array(cid, pa.binary()), pa.array(label, pa.binary()), pa.array(byte, pa.binary())], names=["doc_id", "digest", "cid", "label", "low"])
 
-    rows = documents.select("doc_id", "text")
+    rows = documents.select("doc_id", digest.alias("digest"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, cid binary, label binary, low binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, cid binary, label binary, low binary")
 
 
 def _fixed(column: pa.Array, width: int) -> np.ndarray:
@@ -325,20 +329,15 @@ def _links_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["cid", "root", "links", "whole"])
 
 
-def jaccard_join(documents: DataFrame) -> DataFrame:
-    """Every document with class_id, n_links and kept.
+def _grouped(documents: DataFrame, digest: Column, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and of each class its class_id, n_links, first row and whether it stays for its group.
 
-    ``documents``: doc_id, text; other columns are ignored. Two documents are linked if the Jaccard
-    similarity of their sets of 5-word shingles is at least 0.8; ``n_links`` counts a document's partners,
-    copies included. ``class_id`` is the least doc_id that links lead to, itself included; ``kept`` marks
-    the document of that id. Words are maximal runs of anything but space, tab, and line, vertical or form
-    breaks, compared as they are. A text of one to four words is one shingle; a null, empty or blank text
-    links with nothing and is its own class. Repeated rows are copies of each other. A null id counts as a
-    document but names a class only if no other id can. An empty table gives an empty result.
+    The first row is the one of least id and, of that, least digest; one class of each group stays.
     """
-    scratch = Scratch(documents.sparkSession, "jaccard")
-    sketched = scratch.table(_sketch(documents), "sketches")
-    classes = sketched.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("label").alias("label"), F.any_value("low").alias("low"))
+    sketched = scratch.table(_sketch(documents, digest), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("first")
+    classes = sketched.where(F.col("cid").isNotNull()).groupBy("cid").agg(first, F.count(F.lit(1)).alias("copies"), F.any_value("label").alias("label"), F.any_value("low").alias("low"))
+    classes = classes.select("cid", F.col("first.doc_id").alias("rep"), F.col("first.digest").alias("digest"), "copies", "label", "low")
     classes = scratch.table(classes, "classes")
     edges = scratch.table(_candidates(classes, scratch), "candidates")
     scratch.drop("hot-nodes")
@@ -350,13 +349,29 @@ def jaccard_join(documents: DataFrame) -> DataFrame:
     split = connected_components(found.where(~F.col("whole")).select("cid", "root"), scratch, "split")
     roots = found.where("whole").select(F.col("cid").alias("node"), "root").union(split)
     named = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
-    least = named.groupBy("root").agg(F.min("rep").alias("least"))
-    linked = named.join(least, "root").select(F.col("node").alias("cid"), "least").join(links, "cid", "left")
-    known = classes.select("cid", "rep", "copies").join(linked, "cid", "left").select(
-        F.col("cid").alias("_cid"), F.coalesce("least", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    least = named.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("nameless"), "rep", "node")).alias("least"))
+    linked = named.join(least, "root").select(F.col("node").alias("cid"), F.col("least.rep").alias("least"), (F.col("node") == F.col("least.node")).alias("stays")).join(links, "cid", "left")
+    known = classes.select("cid", "rep", "digest", "copies").join(linked, "cid", "left").select(
+        F.col("cid").alias("_cid"), F.coalesce("least", "rep").alias("class_id"), "rep", F.col("digest").alias("_digest"), F.coalesce("stays", F.lit(True)).alias("stays"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
     known = scratch.table(known, "known")
     scratch.drop("links", "classes")
+    return sketched, known
+
+
+def jaccard_join(documents: DataFrame) -> DataFrame:
+    """Every document with class_id, n_links and kept.
+
+    ``documents``: doc_id, text; other columns are ignored. Two documents are linked if the Jaccard
+    similarity of their sets of 5-word shingles is at least 0.8; ``n_links`` counts a document's partners,
+    copies included. ``class_id`` is the least doc_id that links lead to, itself included; ``kept`` marks
+    the document of that id. Words are maximal runs of anything but space, tab, and line, vertical or form
+    breaks, compared as they are. A text of one to four words is one shingle; a null, empty or blank text
+    links with nothing and is its own class. Repeated rows are copies of each other. A null id counts as a
+    document but names a class only if no other id can. An empty table gives an empty result.
+    """
+    scratch = Scratch(documents.sparkSession, "jaccard")
+    sketched, known = _grouped(documents, F.lit(None).cast("binary"), scratch)
     joined = sketched.select("doc_id", "cid").join(known, F.col("cid") == F.col("_cid"), "left")
     class_id = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return joined.select(
@@ -366,17 +381,26 @@ def jaccard_join(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(documents: DataFrame) -> DataFrame:
-    """The documents less all but the one of least id of each group of near-duplicates.
+    """The documents less all but one row of each group of near-duplicates, a row of the group's least id.
 
-    The id is a document's identity here: of rows that share one, at most one stays.
+    A row is told by its id and its text's digest, so rows that share an id, or have none, are judged each for
+    itself. Of equal rows of a group one stays; texts without words are no one's copies and all stay.
     """
     scratch = Scratch(documents.sparkSession, "jaccard-keep")
-    judged = scratch.table(jaccard_join(documents), "judged")
-    # the ids that go are fewer than those that stay
-    gone = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    gone = scratch.table(gone.where("NOT kept OR n > 1"), "gone")
-    sizes = gone.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("kept"), 1)).alias("twice")).first()
-    ids = gone.where("NOT kept").select(F.col("doc_id").alias("_id"))
-    side = F.broadcast(ids) if sizes["n"] <= BROADCAST_ROWS else ids
-    kept = documents.join(side, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    return kept.dropDuplicates(["doc_id"]) if sizes["twice"] else kept
+    sketched, known = _grouped(documents, _digest(), scratch)
+    first = F.col("stays") & F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("digest") == F.col("_digest"))
+    rows = sketched.select("doc_id", "digest", "cid").join(known, F.col("cid") == F.col("_cid")).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_text"), first.alias("first"))
+    # the rows that go are fewer than those that stay
+    marked = rows.groupBy("_id", "_text").agg(F.bool_or("first").alias("first"), F.count(F.lit(1)).alias("n")).where("NOT first OR n > 1")
+    marked = scratch.table(marked, "marked")
+    sizes = marked.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("first"), 1)).alias("twice")).first()
+
+    def matched(marked: DataFrame, how: str) -> DataFrame:
+        side = F.broadcast(marked) if sizes["n"] <= BROADCAST_ROWS else marked
+        return documents.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (_digest() == F.col("_text")), how)
+
+    kept = matched(marked.select("_id", "_text"), "left_anti")
+    if not sizes["twice"]:
+        return kept
+    once = matched(marked.where("first").select("_id", "_text"), "left_semi").withColumn("_text", _digest()).dropDuplicates(["doc_id", "_text"])
+    return kept.union(once.drop("_text"))
