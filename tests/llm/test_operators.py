@@ -345,15 +345,22 @@ def test_components(spark):
 # --- repeated passages --------------------------------------------------------------------------------
 
 
-def brute_repeats(rows: list[tuple]) -> list[tuple]:
+def digests(result) -> list[tuple]:
+    """The contract's columns, after a look at the text that is left."""
+    rows = result.collect()
+    assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["kept_sha256"] for r in rows if r["text"].isascii())
+    return sorted([tuple(r)[:5] for r in rows], key=str)
+
+
+def brute_repeats(rows: list[tuple], width: int = 400) -> list[tuple]:
     data = [(t or "").encode() for _, t in rows]
-    count = collections.Counter(b[i : i + 400] for b in data for i in range(len(b) - 399))
+    count = collections.Counter(b[i : i + width] for b in data for i in range(len(b) - width + 1))
     out = []
     for (doc_id, _), b in zip(rows, data, strict=True):
         gone = bytearray(len(b))
-        for i in range(len(b) - 399):
-            if count[b[i : i + 400]] > 1:
-                gone[i : i + 400] = b"\1" * 400
+        for i in range(len(b) - width + 1):
+            if count[b[i : i + width]] > 1:
+                gone[i : i + width] = b"\1" * width
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         out.append((doc_id, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
@@ -367,7 +374,9 @@ def test_contexts_do_not_depend_on_segments(monkeypatch):
     def anchors() -> list[dict[int, int]]:
         out = [{} for _ in texts]
         for owners, bases, parts in repeats._segments(texts):
-            for part, anchor, first, windows, times in repeats.contexts(parts):
+            for part, anchor, first, windows, times, off in repeats.contexts(parts):
+                body = texts[owners[part]][first + bases[part] :]
+                assert repeats.gram_hashes(np.frombuffer(body[off : off + repeats.GRAM], np.uint8)).view(np.int64)[0] == anchor
                 for i in range(windows * times):
                     at = first + bases[part] + i
                     assert at not in out[owners[part]]
@@ -409,29 +418,99 @@ def test_repeats_against_brute_force(spark):
         (8, "ab" * 700), (9, "x" * 401), (10, "x" * 400), (11, text(900)), (None, shared[:450] + other[:401]), (12, "y" * 400), (13, "z" * 399 + "z"), (14, shared), (14, shared),
     ]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id LONG, text STRING, digest STRING").repartition(3)
-    assert sorted(rows_of(repeats.remove_repeats(df)), key=str) == brute_repeats(rows)
+    assert digests(repeats.remove_repeats(df)) == brute_repeats(rows)
     texts = {r["doc_id"]: r["text"] for r in repeats.without_repeats(df).collect()}
     assert texts[2] == "" and texts[11] == dict(rows)[11] and repeats.without_repeats(df).columns == df.columns
 
 
 def test_repeats_of_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect() if len(r["text"] or "") < 50_000]
-    got = [r for r in rows_of(repeats.remove_repeats(odd.where("doc_id IS NULL OR doc_id != 8"))) if r[0] != 8]
-    assert sorted(got, key=str) == brute_repeats(rows)
+    assert digests(repeats.remove_repeats(odd.where("doc_id IS NULL OR doc_id != 8"))) == brute_repeats(rows)
+
+
+@pytest.mark.parametrize(("width", "hot"), [(44, 1), (200, 8000)])
+def test_hot_anchors_are_split_without_parting_equal_windows(spark, monkeypatch, width, hot):
+    """A passage in many documents, each with its own surroundings, and shards far too small for its anchors."""
+    rng = random.Random(width)
+    text = lambda n: "".join(rng.choice("abcde ") for _ in range(n))
+    passage, longer = text(width + 30), text(3 * width)
+    rows = [(i, text(rng.randrange(80)) + (passage if i % 3 else longer[: width + i] + "|") + text(rng.randrange(300))) for i in range(60)]
+    rows += [(60, passage), (61, passage), (62, passage[: width - 1]), (63, rows[4][1]), (64, longer + longer)]
+    monkeypatch.setattr(repeats, "HOT", hot)
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    assert digests(repeats.remove_repeats(df, width)) == brute_repeats(rows, width)
+
+
+def test_no_filter_gives_the_same_rows(spark, monkeypatch):
+    from tidemark.llm import common
+
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abc ") for _ in range(500))
+    rows = [(i, ("".join(rng.choice("abc ") for _ in range(300)) + shared * (i % 2))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    want = brute_repeats(rows)
+    assert digests(repeats.remove_repeats(df)) == want
+    monkeypatch.setattr(common, "FILTERED", -1)
+    assert digests(repeats.remove_repeats(df)) == want
+
+
+def brute_suffixes(s: list[int]) -> tuple[list[int], list[int]]:
+    order = sorted(range(len(s)), key=lambda i: s[i:])
+    common = [0]
+    for a, b in itertools.pairwise(order):
+        k = 0
+        while max(a, b) + k < len(s) and s[a + k] == s[b + k]:
+            k += 1
+        common.append(k)
+    return order, common
+
+
+#: Memory for queues, for arrays, elements at a time, and names up to which recursion ends: plenty, next to none, and no end in memory.
+SPACES = [(1 << 20, 1 << 20), (64, 64, 5, 2), (1 << 20, 1 << 20, 1 << 20, 0), (64, 64, 1 << 20, 1 << 20)]
 
 
-def test_suffix_array_spilling_or_not():
+@pytest.mark.parametrize("space", SPACES)
+def test_suffixes_and_common_prefixes(space):
     rng = np.random.default_rng(0)
-    for trial in range(200):
-        n, k = int(rng.integers(0, 60)), int(rng.integers(1, 5))
-        t = np.concatenate([np.tile(rng.integers(1, 1 + k, 3), n)[:n] if trial % 3 == 0 else rng.integers(1, 1 + k, n), [0]]).astype(np.uint16)
+    for trial in range(150):
+        n, k = int(rng.integers(0, 200)), int(rng.integers(1, 6))
+        t = rng.integers(1, 1 + k, n)
+        if trial % 4 == 0:
+            t = np.tile(t[:9], n)[:n]
+        elif trial % 4 == 1:
+            t = np.concatenate([t, t, t[: n // 2]])
+        elif trial % 4 == 2:
+            t = np.repeat(t, rng.integers(1, 6, n))
+        t = np.concatenate([t, [0]]).astype(np.uint16)
+        order, common = brute_suffixes(t.tolist())
+        with suffix_sort.Space(*space) as held:
+            got, shared = suffix_sort.suffix_array(t, held, 5000 if trial % 5 == 0 else 300)
+            assert got.tolist() == order and shared.tolist() == common
+            found = suffix_sort.repeated_windows(got, shared, 4, held).tolist()
+            got, shared = suffix_sort.suffix_array(t, held, 300, 7)
+            assert shared.tolist() == [min(c, 7) for c in common]
         s = t.tolist()
-        with suffix_sort.Space(*((64, 64) if trial % 2 else (1 << 20, 1 << 20))) as space:
-            got = np.array(suffix_sort.suffix_array(t, space))
-        assert got.tolist() == sorted(range(len(s)), key=lambda i: s[i:])  # noqa: B023
-        starts = np.arange(max(0, n - 4))
-        want = [any(s[i : i + 4] == s[j : j + 4] for j in range(n - 2) if j != i) for i in starts]
-        assert suffix_sort.repeated_windows(t, got, starts, 4).tolist() == want
+        count = collections.Counter(tuple(s[i : i + 4]) for i in range(len(s) - 3))
+        assert found == [count[tuple(s[i : i + 4])] > 1 for i in range(len(s))]
+
+
+def test_a_shard_many_times_its_memory_goes_through_disk(tmp_path, monkeypatch):
+    """Queues of 8 kB, arrays of 16 kB and 4096 elements at a time, over a text of 300,000: the result is the same."""
+    rng = np.random.default_rng(3)
+    part = rng.integers(1, 30, 60_000)
+    t = np.concatenate([part, rng.integers(1, 30, 120_000), part, rng.integers(1, 4, 60_000), [0]]).astype(np.uint16)
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    with suffix_sort.Space() as plenty:
+        want, want_common = suffix_sort.suffix_array(t, plenty, 258, 400)
+        want_found = suffix_sort.repeated_windows(want, want_common, 400, plenty)
+        assert not plenty.files
+    with suffix_sort.Space(8 << 10, 16 << 10, 4096, 2000) as space:
+        got, common = suffix_sort.suffix_array(t, space, 258, 400)
+        assert isinstance(got, np.memmap) and space.files > 50
+        assert (common == want_common).all()
+        found = suffix_sort.repeated_windows(got, common, 400, space)
+    assert (found == want_found).all() and found[:59_600].all() and not found[60_000:170_000].any()
+    assert not list(tmp_path.iterdir())
 
 
 # --- embeddings ---------------------------------------------------------------------------------------

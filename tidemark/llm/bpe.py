@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.common import small_batches
+
 #: White space as Unicode defines it (Python's own class also holds four control characters).
 _WS = "\t-\r \x85\xa0  -     　"
 #: A text in units: a word with at most one space before it, or white space. No match of the tokenizer's
@@ -211,6 +213,7 @@ def bpe_digests(documents: DataFrame, ranks_path: str, pattern: str) -> DataFram
     task replays merges over its own distinct spellings, a bounded number of characters at a time, and a
     lost task is simply run again.
     """
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast((ranks_path, read_ranks(ranks_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

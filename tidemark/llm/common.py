@@ -20,6 +20,17 @@ from tidemark.session import checkpoint_root
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+#: Files of a scratch table for each core at most, and rows of an Arrow batch, whose texts may be long.
+FILES_A_CORE, BATCH_ROWS = 8, 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the rows of the session's Arrow batches: a worker holds a batch of texts several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Scratch:
     """Parquet tables in the shared checkpoint folder, used to cut lineage.
 
@@ -28,12 +39,14 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        small_batches(spark)
         self.spark, self.root = spark, f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
         atexit.register(self._sweep)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, written and read again; many small partitions become a few files for each core."""
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.coalesce(max(FILES_A_CORE * self.spark.sparkContext.defaultParallelism, 32)).write.parquet(path)
         # a written column is nullable, whatever the frame said
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
         return self.spark.read.schema(schema).parquet(path)
@@ -65,6 +78,38 @@ def word_array(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t-\r]+"))
 
 
+#: Digests up to which a filter is made, 16 bits for each: 64 MB at most to broadcast.
+FILTERED = 1 << 25
+
+
+def members(table: DataFrame, key: str) -> tuple[DataFrame, int] | None:
+    """A filter of the values of a binary column: bitmaps by bucket, and its size in bits.
+
+    None where ``table``, counted here, has too many rows; then nothing is filtered out, and a join that
+    follows gives the same rows.
+    """
+    n = table.count()
+    if n > FILTERED:
+        return None
+    bits = max(1 << 15, 1 << (16 * n).bit_length())
+    at = F.pmod(F.xxhash64(key, F.lit(3)), F.lit(bits))
+    marks = table.select(F.shiftright(at, 15).cast("int").alias("_bucket"), (at.bitwiseAND(F.lit(32767))).alias("_bit"))
+    return marks.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_marks")), bits
+
+
+def holds(rows: DataFrame, key: str, found: tuple[DataFrame, int] | None) -> DataFrame:
+    """``rows`` with ``_held``: false where ``key`` is null or surely not among the filter's values."""
+    if found is None:
+        return rows.withColumn("_held", F.col(key).isNotNull())
+    marks, bits = found
+    at = F.pmod(F.xxhash64(key, F.lit(3)), F.lit(bits))
+    placed = rows.withColumn("_at", F.when(F.col(key).isNotNull(), at)).withColumn("_b", F.shiftright("_at", 15).cast("int"))
+    joined = placed.join(F.broadcast(marks), F.col("_b") == F.col("_bucket"), "left")
+    byte = F.conv(F.hex(F.expr("substring(_marks, cast(shiftright(_at & 32767, 3) AS int) + 1, 1)")), 16, 10).cast("int")
+    joined = joined.withColumn("_byte", F.when(F.col("_marks").isNotNull(), byte).otherwise(F.lit(0)))
+    return joined.withColumn("_held", F.coalesce(F.expr("shiftright(_byte, cast(_at & 7 AS int)) & 1") == 1, F.lit(False))).drop("_at", "_b", "_bucket", "_marks", "_byte")
+
+
 def gapless_index(df: DataFrame, group: str, digest: Column, order: list[Column], out: str, blocks: int = 1024) -> DataFrame:
     """``out``: 0, 1, 2, ... inside each value of ``group``, without one task per group.
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, id_remainder
+from tidemark.llm.common import bounded_sample, id_remainder, small_batches
 
 #: Rows a model is fitted on at most, and the longest text among them; prediction has no such bound.
 TRAINING_ROWS, TRAINING_CHARS = 3000, 50_000
@@ -144,6 +144,7 @@ def train(documents: DataFrame) -> LanguageModel:
 
 def predict(documents: DataFrame, model: LanguageModel, *keep: str) -> DataFrame:
     """``keep`` columns with held_out, lang_pred and score for every whole text, in one pass, no shuffle."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +161,28 @@ def predict(documents: DataFrame, model: LanguageModel, *keep: str) -> DataFrame
     return rows.mapInArrow(run, schema)
 
 
+def in_known_language(documents: DataFrame, least: float) -> DataFrame:
+    """The documents, all columns in place, whose predicted language has a score of at least ``least``.
+
+    Each text goes to Python once and comes back once if its row stays. A null, empty or letterless text goes;
+    equal texts are judged alike, whatever their ids.
+    """
+    small_batches(documents.sparkSession)
+    shared = documents.sparkSession.sparkContext.broadcast(train(documents))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                found = (model.predict(t) for t in part.column(1).to_pylist())
+                yield part.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found], pa.bool_()))
+
+    others = F.struct(*[c for c in documents.columns if c != "text"]).alias("row")
+    rows = documents.select(others, "text")
+    return rows.mapInArrow(run, rows.schema).select(*["text" if c == "text" else F.col(f"row.{c}").alias(c) for c in documents.columns])
+
+
 def identify_languages(documents: DataFrame) -> DataFrame:
     """Every document with held_out, lang_pred and score.
 

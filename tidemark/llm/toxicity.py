@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, id_remainder, word_hashes
+from tidemark.llm.common import bounded_sample, id_remainder, small_batches, word_hashes
 
 #: Rows of each class the model is fitted on at most, and the longest text among them.
 TRAINING_ROWS, TRAINING_CHARS = 2000, 50_000
@@ -226,6 +226,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     no label of one class every score is that of the other. Repeated rows are scored alike; an empty table
     gives an empty result. Scoring is one pass over the texts without a shuffle.
     """
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
