@@ -29,6 +29,9 @@ FROM docs JOIN ends USING (rid) JOIN crc USING (rid)
 
 _CUTS = ", ".join(f"('{rule}', {float(cut)!r}::DOUBLE)" for rule, cuts in CUTOFFS.items() for cut in cuts)
 
+#: Each rule's share of the risk.
+SHARE = RISK / len(CUTOFFS)
+
 _QUALITY = rf"""
 WITH split AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -54,8 +57,8 @@ WITH split AS (
   FROM (SELECT stratum, rule, cutoff, quality, CASE rule WHEN 'symbol_ratio' THEN symbol_ratio WHEN 'upper_ratio' THEN upper_ratio WHEN 'dup_line_ratio' THEN dup_line_ratio ELSE mean_word_chars END > cutoff AS o
     FROM measured JOIN held USING (doc_id), cuts WHERE NOT base_failed AND quality IN (0, 1)) GROUP BY stratum, rule, cutoff
 ), certified AS (
-  SELECT stratum, rule, cutoff, bad - k AS gain FROM tested WHERE bad > k AND k < n * {RISK}
-    AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) <= {DELTA} / tests
+  SELECT stratum, rule, cutoff, bad - k AS gain FROM tested WHERE bad > k AND k < n * {SHARE}
+    AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({SHARE}) + (n - i) * ln(1 - {SHARE})))) <= {DELTA} / tests
 ), chosen AS (
   SELECT stratum, rule, cutoff FROM (SELECT *, row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) AS r FROM certified) WHERE r = 1
 ), gates AS (

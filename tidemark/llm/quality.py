@@ -2,9 +2,11 @@
 
 Four measures of a text are compared with cutoffs. A cutoff is not chosen by hand: labelled documents
 held out for the purpose are counted per stratum (language), and a cutoff may be used there only if an
-exact binomial test shows that it rejects at most a fraction ``risk`` of the good documents. The tests'
-level is divided by their number (Bonferroni), so all chosen cutoffs hold together with probability
-``1 - delta``. A stratum with too few good documents proves nothing and so rejects nothing.
+exact binomial test shows that it rejects at most its share of ``risk``, which is divided by the number of
+measures, of the good documents. So all cutoffs of a stratum together reject at most a fraction ``risk`` of
+them. The tests' level is divided by their number (Bonferroni), so this holds in all strata at once with
+probability ``1 - delta``. A stratum with too few good documents proves nothing and so rejects nothing. The
+other half of the labels takes no part in the choice and serves ``audit_rejections``.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ CUTOFFS: dict[str, tuple[float, ...]] = {
     "dup_line_ratio": (0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9),
     "mean_word_chars": (8.0, 9.0, 10.0, 12.0, 15.0, 20.0),
 }
-#: Most false rejections that one measure may cause in a stratum, and the chance that any bound fails.
-RISK, DELTA = 0.02, 0.05
+#: Most false rejections that all measures together may cause in a stratum, as a share of its good documents
+#: that pass the base rules, and the chance that any stratum's bound fails.
+RISK, DELTA = 0.04, 0.05
 
 
 def repeated_words(words: Column) -> Column:
@@ -106,7 +109,7 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def calibrate(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """One row (stratum, rule, cutoff) for each rule that may be used in a stratum.
+    """One row (stratum, rule, cutoff) for each rule that may be used in a stratum, at ``risk`` / number of rules.
 
     ``labelled``: stratum, quality (0 or 1) and the measures of documents that passed the base rules; rows
     with another label or none are ignored. Of the certified cutoffs the one with the most bad less good
@@ -128,7 +131,7 @@ def calibrate(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) ->
     best = Window.partitionBy("stratum", "rule").orderBy((F.col("bad_out") - F.col("good_out")).desc(), F.col("cutoff").desc())
     return (
         counted.withColumn("n_tests", tests)
-        .withColumn("p_value", binomial_tail(F.col("good_out"), F.col("n_good"), risk))
+        .withColumn("p_value", binomial_tail(F.col("good_out"), F.col("n_good"), risk / len(CUTOFFS)))
         .where((F.col("p_value") <= F.lit(delta) / F.col("n_tests")) & (F.col("bad_out") > F.col("good_out")))
         .withColumn("_r", F.row_number().over(best))
         .where("_r = 1")
@@ -136,6 +139,25 @@ def calibrate(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) ->
     )
 
 
+def _half(labels: DataFrame, remainder: int) -> DataFrame:
+    """doc_id and quality of the half of the labels whose crc32 of the id has this remainder."""
+    own = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == remainder) & F.col("quality").isNotNull()
+    return labels.where(own).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def audit_rejections(judged: DataFrame, labels: DataFrame, risk: float = RISK) -> DataFrame:
+    """Per stratum, on the half of the labels that chose no cutoff: good documents, those rejected, and a p-value.
+
+    ``judged``: doc_id, stratum, base_failed, kept. ``p_value`` is the chance of as many rejections or more
+    if a fraction ``risk`` of the good documents that pass the base rules were rejected; a small one speaks
+    against the bound.
+    """
+    rows = judged.where(~F.col("base_failed")).join(_half(labels, 1).where("quality = 1"), "doc_id")
+    counted = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), F.sum(F.when(F.col("kept"), 0).otherwise(1)).alias("good_out"))
+    # as many or more out of n is n - k or fewer of the kept, which a fraction 1 - risk would be
+    return counted.withColumn("p_value", F.when(F.col("good_out") == 0, F.lit(1.0)).otherwise(binomial_tail(F.col("n_good") - F.col("good_out"), F.col("n_good"), 1 - risk)))
+
+
 def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every document's counts, ``base_failed`` and ``kept``, after the ``carry`` columns.
 
@@ -149,7 +171,7 @@ def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, d
     scratch = Scratch(documents.sparkSession, "quality")
     rows = documents.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("stratum"), *carry)
     measured = scratch.table(measures(rows, "doc_id", "stratum", *carry), "measures")
-    held = labels.where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    held = _half(labels, 0)
     chosen = calibrate(measured.where(~F.col("base_failed")).join(held, "doc_id"), risk, delta)
     # one row per language with a map rule -> cutoff, bounded by the number of languages
     cuts = chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
