@@ -8,17 +8,35 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch
 
 
+#: Nodes of most edges whose rows are joined by a broadcast, and the edges from which a node can be one.
+HUBS, HUB_EDGES = 1000, 256
+
+
+def _with_least(rows: DataFrame, neighbours: DataFrame) -> DataFrame:
+    """``rows`` (a, b) with m, the least of a's ``neighbours``.
+
+    The minima are found with a partial one in each task. Those of the HUBS largest nodes, a table of bounded
+    size, are broadcast, so the edges of a hub are joined where they lie; a node among the others has less
+    than one in HUBS of all edges.
+    """
+    least = neighbours.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    hubs = least.where(F.col("n") > HUB_EDGES).orderBy(F.col("n").desc(), "a").limit(HUBS).select(F.col("a").alias("_a"), F.col("m").alias("_m"))
+    marked = rows.join(F.broadcast(hubs), F.col("a") == F.col("_a"), "left")
+    own = marked.where(F.col("_a").isNotNull()).select("a", "b", F.col("_m").alias("m"))
+    return own.union(marked.where(F.col("_a").isNull()).select("a", "b").join(least.select("a", "m"), "a"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
+    moved = _with_least(both.where(F.col("b") > F.col("a")), both)
+    return moved.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")).distinct()
+    moved = _with_least(down, down)
+    # the least neighbour itself would become a loop; its edge to the node stays
+    return moved.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:

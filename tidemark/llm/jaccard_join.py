@@ -372,12 +372,10 @@ def jaccard_join(documents: DataFrame) -> DataFrame:
     """
     scratch = Scratch(documents.sparkSession, "jaccard")
     sketched, known = _grouped(documents, F.lit(None).cast("binary"), scratch)
-    joined = sketched.select("doc_id", "cid").join(known, F.col("cid") == F.col("_cid"), "left")
-    class_id = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return joined.select(
-        "doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.col("doc_id").eqNullSafe(class_id).alias("kept"),
-    )
+    joined = sketched.select("doc_id", "cid").join(known, F.col("cid") == F.col("_cid"))
+    # texts without words meet no join: as one null key they would meet in one task
+    alone = sketched.where(F.col("cid").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
+    return joined.select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"), F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")).union(alone)
 
 
 def one_of_each_group(documents: DataFrame) -> DataFrame:
