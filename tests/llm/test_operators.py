@@ -148,6 +148,31 @@ def test_cutoffs_reject_bad_and_keep_good(spark):
     assert quality.quality_rules(spark.createDataFrame(docs, "doc_id LONG, text STRING, lang STRING"), few).where("not kept").count() == 0
 
 
+def test_a_stratum_s_rejections_stay_within_the_risk(spark):
+    """Cutoffs of all measures together, judged on the half of the labels that chose none."""
+    rng = random.Random(17)
+    docs, marks = [], []
+    for i in range(6000):
+        good = i % 3 > 0
+        w = words(rng, 40)
+        if not good or rng.random() < 0.003:  # a few good texts look bad, each in one way
+            kind = rng.randrange(3) if good else 0
+            w = [x + "##" for x in w] if kind == 0 else [x.upper() for x in w] if kind == 1 else [x * 5 for x in w]
+        docs.append((i, " ".join(w), ("en", "de")[i % 2]))
+        marks.append((i, int(good)))
+    df = spark.createDataFrame(docs, "doc_id LONG, text STRING, lang STRING")
+    labelled = spark.createDataFrame(marks, "doc_id LONG, quality INT")
+    judged = quality.quality_rules(df.withColumn("stratum2", F.col("lang")), labelled, carry=("lang",)).withColumnRenamed("lang", "stratum")
+    found = quality.audit_rejections(judged, labelled).collect()
+    assert {r["stratum"] for r in found} == {"en", "de"}
+    for r in found:
+        assert r["n_good"] > 500 and r["good_out"] <= quality.RISK * r["n_good"] and r["p_value"] > quality.DELTA
+    bad = judged.join(labelled.where("quality = 0"), "doc_id")
+    assert bad.where("NOT kept").count() > 0.9 * bad.count()
+    spoiled = quality.audit_rejections(judged.withColumn("kept", F.lit(False)), labelled).collect()
+    assert all(r["p_value"] < 1e-6 for r in spoiled)
+
+
 # --- packing ------------------------------------------------------------------------------------------
 
 
@@ -342,6 +367,16 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_of_hubs(spark, tmp_path):
+    """Stars whose centres have far more edges than a task should join, and chains through them."""
+    rng = random.Random(6)
+    edges = [(0, i) for i in range(1, 1500)] + [(5000, i) for i in range(4000, 4900)] + [(1499, 4000), (9000, 9001)] + [(i, i + 1) for i in range(9100, 9140)]
+    rng.shuffle(edges)
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a LONG, b LONG"), Scratch(spark, "hubs"), "hubs").collect()}
+    assert {got[i] for i in [*range(1500), *range(4000, 4900), 5000]} == {0}
+    assert got[9001] == 9000 and {got[i] for i in range(9100, 9141)} == {9100}
+
+
 # --- repeated passages --------------------------------------------------------------------------------
 
 
@@ -570,16 +605,66 @@ def test_search_finds_links_and_more_effort_no_fewer():
 def test_audit_widens_a_search_that_finds_too_little(spark, monkeypatch):
     rows = vectors(2, 120)
     df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<FLOAT>, label INT")
-    seen = []
     real = embedding_dedup._links
-
-    def poor(placed, effort):
-        seen.append(effort)
-        return real(placed, effort) if effort > 1 else real(placed, effort).where("false")
-
-    monkeypatch.setattr(embedding_dedup, "_links", poor)
-    got = embedding_dedup.near_duplicates(df)
-    assert seen == [1, 2] and sum(r["n_links"] for r in got.collect()) > 0
+    for enough, steps in ((2, [1, 2]), (99, [1, 2, 4, "exact"])):
+        seen = []
+
+        def poor(placed, effort, exact=False, enough=enough, seen=seen):
+            seen.append("exact" if exact else effort)
+            return real(placed, effort, exact) if exact or effort >= enough else real(placed, effort).where("false")
+
+        monkeypatch.setattr(embedding_dedup, "_links", poor)
+        got = embedding_dedup.near_duplicates(df)
+        rows_got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got.collect())
+        assert seen == steps
+        assert rows_got == brute_vectors(rows) if "exact" in steps else sum(r[1] for r in rows_got) > 0
+
+
+def test_audit_draws_more_where_links_are_rare(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 1, 16).tolist(), 0) for i in range(600)]
+    rows += [(600 + i, rows[i][1][:15] + [rows[i][1][15] + 0.01], 0) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>, label INT")
+    monkeypatch.setattr(embedding_dedup, "AUDIT", 16)
+    classes = df.select(F.unhex(F.md5(F.col("vec_id").cast("string"))).alias("cid"), F.lit(0).cast("long").alias("group"), "embedding", F.lit(1).cast("long").alias("copies"))
+    drawn, want = embedding_dedup._audit(classes, None)
+    assert len(drawn) > 500 and sum(want) >= 4
+
+
+def test_many_vectors_with_a_dense_cluster(spark, monkeypatch):
+    """Over 10,000 vectors of four labels, links planted in each, and a cluster in which all are linked."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (9000, 24))
+    near = x[:900] + rng.normal(0, 0.03, (900, 24))
+    dense = rng.normal(0, 1, 24) + rng.normal(0, 0.02, (400, 24))
+    x = np.concatenate([x, near, dense]).astype(np.float32)
+    label = np.concatenate([np.arange(9000) % 4, np.arange(900) % 4, np.zeros(400, int)])
+    df = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, label, strict=True))], "vec_id LONG, embedding ARRAY<FLOAT>, label INT")
+    monkeypatch.setattr(embedding_dedup, "CELL", 512)
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = embedding_dedup._unit(x)
+    there = found = 0
+    for c in range(4):
+        own = np.flatnonzero(label == c)
+        want = (unit[own] @ unit[own].T >= 0.98).sum(axis=1) - 1
+        n = np.array([got[int(i)]["n_links"] for i in own])
+        assert (n <= want).all()
+        there, found = there + want.sum(), found + n.sum()
+    assert there > 400 * 399 and found >= 0.95 * there
+    assert len({got[i]["component_id"] for i in range(9900, 10300)}) == 1
+
+
+def test_bits_hold_pairs_and_components():
+    rng = np.random.default_rng(1)
+    for n in (2, 7, 8, 9, 130):
+        pairs = rng.integers(0, n, (n // 2, 2))
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        bits = np.zeros((n, -(-n // 8)), np.uint8)
+        for i, j in np.concatenate([pairs, pairs[:, ::-1]]).tolist():
+            bits[i, j >> 3] |= 1 << (j & 7)
+        got = {(int(i), int(j)) for a, b in embedding_dedup.pairs_of(bits) for i, j in zip(a, b, strict=True)}
+        assert got == {tuple(p) for p in np.concatenate([pairs, pairs[:, ::-1]]).tolist()}
+        assert embedding_dedup.roots_of(bits).tolist() == local_roots(n, pairs[:, 0], pairs[:, 1])
 
 
 def test_odd_vectors(spark):

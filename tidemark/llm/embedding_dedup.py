@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch
-from tidemark.llm.components import connected_components, local_roots
+from tidemark.llm.components import connected_components
 
 #: Least cosine of a link, and how far below it the search still expands.
 COSINE, SLACK = 0.98, 0.01
@@ -27,11 +27,12 @@ CELL, SHARD, CENTROIDS, OVERLAP = 4096, 1024, 4096, 3
 #: Candidates and neighbours of a node, the prune's slack, and the beam's width.
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 24, 1.15, 40
 #: Members of a cell beyond which it is dealt out as pairs of blocks.
-BLOCK = 16384
+BLOCK = 8192
 #: Vectors per centroid among which centroids are found.
 SAMPLE = 16
-#: Queries of an audit, the recall that it must find, and how often the search may be widened for it.
-AUDIT, RECALL, WIDENED = 256, 0.95, 2
+#: Queries of an audit at first and at most, the links it wants to see, the recall that it must find, and how
+#: often the search may be widened for it before labels that lose links are compared exactly.
+AUDIT, MOST_AUDIT, SEEN, RECALL, WIDENED = 256, 4096, 200, 0.95, 2
 
 
 def usable(vector: Column) -> Column:
@@ -46,12 +47,19 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of lists of one length, without nulls, as a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
+
+
 def centroids_of(x: np.ndarray, k: int, rounds: int = 6, seed: int = 1) -> np.ndarray:
     """Spherical k-means of unit vectors."""
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(rounds):
-        near = np.argmax(x @ c.T, axis=1)
+        near = np.concatenate([np.argmax(x[a : a + 2048] @ c.T, axis=1) for a in range(0, len(x), 2048)])
         total = np.zeros_like(c)
         np.add.at(total, near, x)
         size = np.sqrt((total * total).sum(axis=1, keepdims=True))
@@ -172,17 +180,15 @@ def _prune_all(x: np.ndarray, src: np.ndarray, dst: np.ndarray, n: int, degree:
     return out
 
 
-def search(x: np.ndarray, graph: Graph, queries: np.ndarray, cosine: float = COSINE, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, other) with a cosine of at least ``cosine`` that the graph search finds.
+def search(x: np.ndarray, graph: Graph, queries: np.ndarray, cosine: float = COSINE, beam: int = BEAM) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, other) with a cosine of at least ``cosine`` that the graph search finds, a block of queries at a time.
 
     Queries are members, so each enters at the medoids and at its own node. All of a block walk in step. The beam keeps the ``beam`` most similar nodes seen and expands the
     best not yet expanded; when none is left, all nodes in range are expanded, over and over.
     """
     n, width = graph.neighbours.shape
     small = x.astype(np.float32)
-    left: list[np.ndarray] = []
-    right: list[np.ndarray] = []
-    block = max(1, min(256, 40_000_000 // max(n, 1)))
+    block = max(1, min(256, 4_000_000 // max(n, 1)))
     for at in range(0, len(queries), block):
         q = queries[at : at + block]
         m, row = len(q), np.arange(len(q))
@@ -247,20 +253,62 @@ def search(x: np.ndarray, graph: Graph, queries: np.ndarray, cosine: float = COS
         a, b = q[np.concatenate(near_q)], np.concatenate(near_n)
         ok = a != b
         a, b = a[ok], b[ok]
+        exact = np.zeros(len(a), bool)
         for s in range(0, len(a), 200_000):
-            exact = np.einsum("id,id->i", x[a[s : s + 200_000]], x[b[s : s + 200_000]]) >= cosine
-            left.append(a[s : s + 200_000][exact])
-            right.append(b[s : s + 200_000][exact])
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, np.int64), np.empty(0, np.int64))
+            exact[s : s + 200_000] = np.einsum("id,id->i", x[a[s : s + 200_000]], x[b[s : s + 200_000]]) >= cosine
+        yield a[exact], b[exact]
+
+
+def all_pairs(x: np.ndarray, cosine: float = COSINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs like those of ``search``, by comparing every two."""
+    block = max(1, min(256, 4_000_000 // max(len(x), 1)))
+    for at in range(0, len(x), block):
+        a, b = np.nonzero(x[at : at + block] @ x.T >= cosine)
+        other = a + at != b
+        yield a[other] + at, b[other]
+
+
+def found_bits(x: np.ndarray, effort: int = 1, exact: bool = False) -> np.ndarray:
+    """A bit for each two members of a cell, set if either found the other: n * n / 8 bytes, however dense."""
+    n = len(x)
+    bits = np.zeros((n, -(-n // 8)), np.uint8)
+    if n < 2:
+        return bits
+    for a, b in all_pairs(x) if exact else search(x, build_graph(x, effort=effort), np.arange(n), beam=BEAM * effort):
+        for i, j in ((a, b), (b, a)):
+            np.bitwise_or.at(bits, (i, j >> 3), (1 << (j & 7)).astype(np.uint8))
+    return bits
+
+
+def pairs_of(bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs set in ``bits``, both ways round, some rows at a time."""
+    n = len(bits)
+    block = max(1, 4_000_000 // max(n, 1))
+    for at in range(0, n, block):
+        a, b = np.nonzero(np.unpackbits(bits[at : at + block], axis=1, count=n, bitorder="little"))
+        yield a + at, b
 
 
 def cell_pairs(x: np.ndarray, effort: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """All found pairs of a cell, each once, as indices left < right."""
-    if len(x) < 2:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = search(x, build_graph(x, effort=effort), np.arange(len(x)), beam=BEAM * effort)
-    code = np.unique(np.minimum(a, b) * len(x) + np.maximum(a, b))
-    return code // len(x), code % len(x)
+    """All found pairs of a cell, each once, as indices left < right; for small cells."""
+    a, b = (np.concatenate(v) for v in zip((np.empty(0, np.int64),) * 2, *pairs_of(found_bits(x, effort)), strict=True))
+    return a[a < b], b[a < b]
+
+
+def roots_of(bits: np.ndarray) -> np.ndarray:
+    """Least member of each member's component: unseen members are reached row by row, each row read once."""
+    n = len(bits)
+    root = np.full(n, -1, np.int64)
+    for i in range(n):
+        if root[i] >= 0:
+            continue
+        root[i], front = i, [i]
+        while front:
+            near = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(bits[front[:512]], axis=0), count=n, bitorder="little"))
+            new = near[root[near] < 0]
+            root[new] = i
+            front = front[512:] + new.tolist()
+    return root
 
 
 def _cells(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -271,18 +319,22 @@ def _cells(classes: DataFrame, scratch: Scratch) -> DataFrame:
     target = max(CELL, -(-total // CENTROIDS))
     # a vector joins OVERLAP cells, so a label that fills no more of them is one cell; CENTROIDS rows at most
     large = {r["group"]: r["n"] for r in sizes.where(F.col("n") > target * OVERLAP).collect()}
-    centres: dict[int, np.ndarray] = {}
+    centres: dict = {}
     if large:
         share = {g: min(1.0, SAMPLE * -(-n // target) / n) for g, n in large.items()}
         cut = F.create_map(*[F.lit(v) for g, s in share.items() for v in (g, int(s * (1 << 30)))])
         drawn = classes.where(F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) < F.coalesce(F.try_element_at(cut, F.col("group")), F.lit(0)))
-        sample = drawn.select("group", "embedding").limit(4 * SAMPLE * CENTROIDS).toArrow()
-        group = sample["group"].to_numpy()
-        vectors = sample["embedding"].to_pylist()
-        for g, n in large.items():
-            own = [vectors[i] for i in np.flatnonzero(group == g)]
-            if own:
-                centres[g] = centroids_of(_unit(np.array(own)), -(-n // target)).astype(np.float32)
+        wanted = {g: -(-n // target) for g, n in large.items()}
+
+        def centroids(key: tuple, rows: pa.Table) -> pa.Table:
+            x = _unit(_matrix(rows["embedding"]))
+            c = centroids_of(x, wanted[key[0].as_py()]).astype(np.float32)
+            return pa.table({"group": pa.array([key[0].as_py()] * len(c), pa.int64()), "centroid": pa.array(list(c), pa.list_(pa.float32()))})
+
+        # a label's bounded sample is clustered in one task; CENTROIDS vectors come back in all, about
+        for r in drawn.where(F.col("group").isin(list(large))).select("group", "embedding").groupBy("group").applyInArrow(centroids, "group long, centroid array<float>").collect():
+            centres.setdefault(r["group"], []).append(r["centroid"])
+        centres = {g: np.array(c, np.float32) for g, c in centres.items()}
     shared = spark.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +344,7 @@ def _cells(classes: DataFrame, scratch: Scratch) -> DataFrame:
             cells: list[list[int]] = [[int(g)] for g in group]
             for g in set(np.unique(group).tolist()) & known.keys():
                 own = np.flatnonzero(group == g)
-                near = _nearest(_unit(np.array(batch.column(2).take(pa.array(own)).to_pylist())).astype(np.float32), known[g], OVERLAP)
+                near = _nearest(_unit(_matrix(batch.column(2).take(pa.array(own)))).astype(np.float32), known[g], OVERLAP)
                 for i, cs in zip(own.tolist(), near.tolist(), strict=True):
                     cells[i] = sorted((int(g) + 1 + c * 0x9E3779B97F4A7C15) % (1 << 63) for c in cs)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int64()))], names=["cid", "group", "embedding", "copies", "cells"])
@@ -302,8 +354,8 @@ def _cells(classes: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(placed, "placed").withColumn("cell", F.explode("cells"))
 
 
-def _links(placed: DataFrame, effort: int) -> DataFrame:
-    """(cid, root, links) per cell and block pair."""
+def _links(placed: DataFrame, effort: int, exact: bool = False) -> DataFrame:
+    """(cid, root, links) per cell and block pair; with ``exact``, of all pairs of a cell."""
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("g"))
     own = F.pmod(F.xxhash64("cid"), F.col("g")).cast("int")
     rows = (
@@ -316,22 +368,22 @@ def _links(placed: DataFrame, effort: int) -> DataFrame:
     def judge(held: list[tuple]) -> pa.RecordBatch:
         cell, bi, bj = held[0][:3]
         unique = list({r[4]: r for r in held}.values())
-        a, b = cell_pairs(_unit(np.array([r[5] for r in unique], np.float64)), effort)
+        bits = found_bits(_unit(np.array([r[5] for r in unique], np.float64)), effort, exact)
         block = np.array([r[3] for r in unique])
         cells = np.full((len(unique), OVERLAP), -1, np.int64)
         for i, r in enumerate(unique):
             cells[i, : len(r[7])] = r[7]
-        # a pair that shares several cells counts in the least of them; in a pair of blocks, across them
-        common = np.full(len(a), np.iinfo(np.int64).max)
-        for i in range(OVERLAP):
-            same = (cells[a] == cells[b][:, i : i + 1]).any(axis=1) & (cells[b][:, i] >= 0)
-            common = np.where(same, np.minimum(common, cells[b][:, i]), common)
-        mine = (common == cell) & ((bi == bj) | (block[a] != block[b]))
         copies = np.array([r[6] for r in unique], np.int64)
         links = np.zeros(len(unique), np.int64)
-        np.add.at(links, a[mine], copies[b[mine]])
-        np.add.at(links, b[mine], copies[a[mine]])
-        roots = local_roots(len(unique), a, b)
+        for a, b in pairs_of(bits):
+            # a pair that shares several cells counts in the least of them; in a pair of blocks, across them
+            common = np.full(len(a), np.iinfo(np.int64).max)
+            for i in range(OVERLAP):
+                same = (cells[a] == cells[b][:, i : i + 1]).any(axis=1) & (cells[b][:, i] >= 0)
+                common = np.where(same, np.minimum(common, cells[b][:, i]), common)
+            mine = (common == cell) & ((bi == bj) | (block[a] != block[b]))
+            np.add.at(links, a[mine], copies[b[mine]])
+        roots = roots_of(bits)
         size = np.bincount(roots, minlength=len(unique))
         out = [(unique[i][4], unique[roots[i]][4], int(links[i])) for i in range(len(unique)) if size[roots[i]] > 1]
         columns = list(zip(*out, strict=True)) if out else [(), (), ()]
@@ -359,9 +411,10 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     are linked if their cosine is at least 0.98; null labels, null or zero vectors and such with null or
     non-finite components link with nothing. ``component_id`` is the least vec_id that links lead to, itself
     included. Equal vectors of a label are one class throughout, so copies cost one node; repeated rows are
-    copies. An empty table gives an empty result. The search is approximate: an audit of AUDIT queries
-    against all rows must find RECALL of their links, else the search is widened. No link below the cosine
-    is ever returned.
+    copies. An empty table gives an empty result. The search is approximate: an audit compares AUDIT queries, or
+    more up to MOST_AUDIT until they have SEEN links, with all rows; the search must find RECALL of their links,
+    else it is widened, and after that the labels that lose links are compared exactly, in blocks. No link
+    below the cosine is ever returned.
     """
     scratch = Scratch(embeddings.sparkSession, "embeddings")
     h = [F.lpad(F.hex(F.xxhash64(F.lit(k), "label", "embedding")), 16, "0") for k in (1, 2)]
@@ -376,12 +429,20 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         "classes",
     )
     placed = _cells(classes, scratch)
+    drawn, want = _audit(classes, scratch)
     for widened in range(WIDENED + 1):
         found = scratch.table(_links(placed, 1 << widened), f"links-{widened}")
         links = found.groupBy("cid").agg(F.sum("links").alias("links"))
-        got, there = _audit(classes, links)
-        if got >= RECALL * there:
+        got = _found(drawn, links)
+        if sum(min(g, w) for g, w in zip(got, want, strict=True)) >= RECALL * sum(want):
             break
+    else:
+        # what the graphs still miss is compared in blocks: exact, and quadratic in the labels concerned alone
+        short = sorted({r["group"] for r, g, w in zip(drawn, got, want, strict=True) if g < w})
+        again = classes.where(F.col("group").isin(short)).select("cid", "group", "embedding", "copies", F.array("group").alias("cells"), F.col("group").alias("cell"))
+        others = found.join(classes.where(F.col("group").isin(short)).select("cid"), "cid", "left_anti")
+        found = scratch.table(others.union(_links(again, 1, exact=True)), "links-exact")
+        links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     scratch.drop("placed")
     roots = connected_components(found.select("cid", "root"), scratch, "components")
     reps = roots.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
@@ -390,12 +451,10 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     known = classes.select("cid", "rep", "copies").join(links, "cid", "left").join(component, "cid", "left").select(
         F.col("cid").alias("_cid"), F.coalesce("least", "rep").alias("_component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("_links")
     )
-    joined = named.select("vec_id", "cid").join(scratch.table(known, "known"), F.col("cid") == F.col("_cid"), "left")
-    component_id = F.when(F.col("cid").isNull(), F.col("vec_id")).otherwise(F.col("_component"))
-    return joined.select(
-        "vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), component_id.alias("component_id"),
-        F.col("vec_id").eqNullSafe(component_id).alias("kept"),
-    )
+    joined = named.select("vec_id", "cid").join(scratch.table(known, "known"), F.col("cid") == F.col("_cid"))
+    # unusable vectors meet no join: as one null key they would meet in one task
+    alone = named.where(F.col("cid").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    return joined.select("vec_id", F.col("_links").cast("long").alias("n_links"), F.col("_component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("_component")).alias("kept")).union(alone)
 
 
 def _brute_counts(rows: DataFrame, vectors: list, labels: list, weight: str | None = None) -> dict[int, int]:
@@ -424,17 +483,31 @@ def _brute_counts(rows: DataFrame, vectors: list, labels: list, weight: str | No
     return {r["i"]: r["n"] for r in counts.collect()}
 
 
-def _audit(classes: DataFrame, links: DataFrame) -> tuple[int, int]:
-    """Links found and links there are, between the classes of at most AUDIT queries and all others."""
-    n = classes.count()
-    cut = int(min(1.0, 0.9 * AUDIT / max(n, 1)) * (1 << 30))
-    drawn = classes.where(F.pmod(F.xxhash64(F.col("cid"), F.lit(5)), F.lit(1 << 30)) < cut).limit(AUDIT).select("cid", "group", "embedding", "copies").collect()
+def _audit(classes: DataFrame, scratch: Scratch) -> tuple[list, list[int]]:
+    """Queries and the links that each has with all other classes, by brute force.
+
+    More queries are drawn until they have SEEN links or are MOST_AUDIT, so that links that are rare show.
+    """
+    n, size = classes.count(), AUDIT
+    while True:
+        cut = int(min(1.0, 0.9 * size / max(n, 1)) * (1 << 30))
+        drawn = classes.where(F.pmod(F.xxhash64(F.col("cid"), F.lit(5)), F.lit(1 << 30)) < cut).limit(size).select("cid", "group", "embedding", "copies").collect()
+        if not drawn:
+            return [], []
+        counts = _brute_counts(classes.select("embedding", F.col("group").alias("label"), "copies"), [r["embedding"] for r in drawn], [r["group"] for r in drawn], "copies")
+        want = [counts.get(i, r["copies"]) - r["copies"] for i, r in enumerate(drawn)]
+        if sum(want) >= SEEN or size >= min(MOST_AUDIT, n):
+            return drawn, want
+        size *= 4
+
+
+def _found(drawn: list, links: DataFrame) -> list[int]:
+    """The links found of each query."""
     if not drawn:
-        return 0, 0
-    counts = _brute_counts(classes.select("embedding", F.col("group").alias("label"), "copies"), [r["embedding"] for r in drawn], [r["group"] for r in drawn], "copies")
-    got = {bytes(r["cid"]): r["links"] for r in links.where(F.col("cid").isin([F.lit(bytes(r["cid"])) for r in drawn])).collect()}
-    want = [counts.get(i, r["copies"]) - r["copies"] for i, r in enumerate(drawn)]
-    return sum(min(got.get(bytes(r["cid"]), 0), w) for r, w in zip(drawn, want, strict=True)), sum(want)
+        return []
+    queries = links.sparkSession.createDataFrame([(bytes(r["cid"]),) for r in drawn], "cid binary")
+    got = {bytes(r["cid"]): r["links"] for r in links.join(F.broadcast(queries), "cid", "left_semi").collect()}  # MOST_AUDIT rows at most
+    return [got.get(bytes(r["cid"]), 0) for r in drawn]
 
 
 def audit_recall(embeddings: DataFrame, result: DataFrame, divisor: int = 100, block: int = 512) -> tuple[int, int]:
