@@ -2,24 +2,27 @@
 
 Words and their beginnings are hashed into an embedding table, whose rows add up to a word's vector, filters of several widths slide over the whole text, max pooling
 keeps each filter's best answer and a logistic layer reads these. The decision threshold is calibrated by
-language, which is guessed from the text's own function words, so a score depends on the text alone.
+language, which is guessed from the text's own function words, so a score depends on the text alone, and on
+all labelled documents outside the fitting sample and the held-out fifth.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, id_remainder, small_batches, word_hashes
+from tidemark.llm.common import Scratch, id_remainder, small_batches, word_hashes
 
-#: Rows of each class the model is fitted on at most, and the longest text among them.
+#: Rows of each class the weights are fitted on at most, and the longest text among them.
 TRAINING_ROWS, TRAINING_CHARS = 2000, 50_000
+#: Histogram bins of a logit's unit, and the labels of each class that a language needs for its own threshold.
+BINS, LEAST = 100, 10
 #: A word's beginnings of so many bytes have embeddings too, if it goes on beyond them.
 PREFIXES = (4, 5, 6, 7, 8)
 #: Embedding rows (0 pads), their width, filter widths, filters of each width, words handled at a time.
@@ -66,8 +69,6 @@ class ToxicityModel:
     shifts: list[np.ndarray]
     top: np.ndarray
     bias: float = 0.0
-    thresholds: dict[str, float] = field(default_factory=dict)
-    threshold: float = 0.0
 
     def pooled(self, rows: np.ndarray) -> np.ndarray:
         """Each filter's largest answer over a whole text, in segments that overlap by PAD words."""
@@ -85,26 +86,37 @@ class ToxicityModel:
     def logit(self, rows: np.ndarray) -> float:
         return float(self.pooled(rows) @ self.top + self.bias)
 
-    def score(self, text: str) -> float:
-        rows = word_rows(text)
-        z = self.logit(rows) - self.thresholds.get(language_group(rows), self.threshold)
-        return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
+def best_threshold(counts: dict[int, tuple[int, int]]) -> float:
+    """The cut of largest F1 through a histogram, bin -> (clean, toxic); midway to the next bin below."""
+    bins = np.array(sorted(counts, reverse=True))
+    clean, toxic = (np.array([counts[b][c] for b in bins.tolist()], np.float64) for c in (0, 1))
+    hit = np.cumsum(toxic)
+    best = int(np.argmax(2 * hit / (np.cumsum(clean + toxic) + toxic.sum())))
+    below = bins[best + 1] + 1 if best + 1 < len(bins) else bins[best] - BINS
+    return float((bins[best] + below) / 2 / BINS)
 
-def _best_threshold(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """Middle of the gap between scores where F1 is largest, each class weighing as in all labels."""
-    order = np.argsort(-z, kind="stable")
-    z, y, weight = z[order], y[order], weight[order]
-    hit = np.cumsum(weight * y)
-    f1 = 2 * hit / (np.cumsum(weight) + (weight * y).sum())
-    f1[:-1][z[:-1] == z[1:]] = -1.0  # a cut can't pass between equal scores
-    best = int(np.argmax(f1))
-    below = z[best + 1] if best + 1 < len(z) else z[best] - 1.0
-    return float((z[best] + below) / 2)
 
+def thresholds(histogram: list[tuple[str, int, int, int]]) -> dict[str | None, float]:
+    """Threshold of each language group with LEAST labels of both classes, and under None that of all others.
 
-def fit(texts: list[str], labels: list[int], class_weight: tuple[float, float] = (1.0, 1.0), epochs: int = 12, batch: int = 32, rate: float = 0.08, seed: int = 11) -> ToxicityModel:
-    """Adagrad on the log loss; every fifth document is kept apart for the thresholds.
+    ``histogram``: (group, toxic, bin, documents).
+    """
+    by: dict[str | None, dict[int, tuple[int, int]]] = {None: {}}
+    for group, toxic, b, n in histogram:
+        for g in (group, None):
+            clean, bad = by.setdefault(g, {}).get(b, (0, 0))
+            by[g][b] = (clean + n * (not toxic), bad + n * bool(toxic))
+    out = {}
+    for g, counts in by.items():
+        total = np.array(list(counts.values()) or [(0, 0)]).sum(axis=0)
+        if total.min() >= (1 if g is None else LEAST):
+            out[g] = best_threshold(counts)
+    return out
+
+
+def fit(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 32, rate: float = 0.08, seed: int = 11) -> ToxicityModel:
+    """Adagrad on the log loss.
 
     Words of fewer than three training documents stay at the zero embedding. One embedding column starts
     at the words' smoothed log odds, so few labels suffice to point the filters at telling words.
@@ -112,9 +124,7 @@ def fit(texts: list[str], labels: list[int], class_weight: tuple[float, float] =
     rng = np.random.default_rng(seed)
     docs = [word_rows(t) for t in texts]
     y = np.array(labels, np.float32)
-    order = rng.permutation(len(docs))
-    held = order[::5] if len(docs) >= 50 else order
-    used = np.setdiff1d(order, held) if len(docs) >= 50 else order
+    used = rng.permutation(len(docs))
     df = np.zeros((2, ROWS))
     for i in used:
         df[int(y[i]), np.unique(docs[i])] += 1
@@ -185,25 +195,30 @@ def fit(texts: list[str], labels: list[int], class_weight: tuple[float, float] =
             model.top -= rate * d_top / np.sqrt(g_top)
             g_bias += float(dz.sum()) ** 2
             model.bias -= rate * float(dz.sum()) / g_bias**0.5
-    z = np.array([model.logit(docs[i]) for i in held])
-    weight = np.where(y[held] == 1, class_weight[1], class_weight[0])
-    group = np.array([language_group(docs[i]) for i in held])
-    if 0 < y[held].sum() < len(held):
-        model.threshold = _best_threshold(z, y[held], weight)
-        for lang in np.unique(group):
-            own = group == lang
-            if y[held][own].sum() >= 10 and (1 - y[held][own]).sum() >= 10:
-                model.thresholds[str(lang)] = _best_threshold(z[own], y[held][own], weight[own])
     return model
 
 
-def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """A model of ``text`` and ``toxic`` of labelled documents outside the held-out fifth."""
-    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), 5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _usable(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of the labels outside the held-out fifth."""
+    own = F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), 5) != 0)
+    return labels.where(own).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def _fitted(cuts: dict[int, int]) -> Column:
+    """Whether a labelled document's weights are fitted on it; all others serve the thresholds."""
+    cut = F.coalesce(*[F.when(F.col("toxic") == c, F.lit(cut)) for c, cut in cuts.items()], F.lit(0))
+    drawn = lambda seed, n: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(n))
+    return (drawn(77, 1 << 30) < cut) & (drawn(78, 5) != 0)
+
+
+def train(documents: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, dict[int, int]]:
+    """A model of ``text`` and ``toxic`` of at most TRAINING_ROWS labelled documents a class, and the draw's cuts."""
+    usable = _usable(labels)
+    sizes = {int(r["toxic"]): r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cuts = {c: int(min(1.0, 0.9 * TRAINING_ROWS / n if n > TRAINING_ROWS else 1.0) * (1 << 30)) for c, n in sizes.items()}
     texts, own = [], []
     for toxic in sorted(sizes):
-        ids = bounded_sample(usable.where(F.col("toxic") == toxic).select("doc_id"), "doc_id", TRAINING_ROWS)
+        ids = usable.where((F.col("toxic") == toxic) & _fitted(cuts)).select("doc_id").limit(TRAINING_ROWS)
         found = (
             documents.where(F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS))
             .select("doc_id", "text")
@@ -213,9 +228,8 @@ def train(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
         )
         rows = sorted(zip(found["doc_id"].to_pylist(), found["text"].to_pylist(), strict=True))
         texts += [t for _, t in rows]
-        own += [int(toxic)] * len(rows)
-    weight = tuple(sizes.get(c, 0) / max(own.count(c), 1) for c in (0, 1))
-    return fit(texts, own, weight)
+        own += [toxic] * len(rows)
+    return fit(texts, own), cuts
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -224,17 +238,27 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     ``documents``: doc_id, text; ``labels``: doc_id, toxic; other columns are ignored. A null or empty text
     is scored as a text without words; an id labelled twice counts as toxic if either label says so; with
     no label of one class every score is that of the other. Repeated rows are scored alike; an empty table
-    gives an empty result. Scoring is one pass over the texts without a shuffle.
+    gives an empty result. One pass over the texts gives each a logit and the language group that its words
+    suggest, in a narrow scratch table; the thresholds come from a histogram of the logits of all labelled
+    documents on which no weight was fitted, held-out ones excepted.
     """
     small_batches(documents.sparkSession)
-    shared = documents.sparkSession.sparkContext.broadcast(train(documents, labels))
+    model, cuts = train(documents, labels)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            score = np.array([model.score(t or "") for t in batch.column(2).to_pylist()], np.float64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            rows = [word_rows(t or "") for t in batch.column(2).to_pylist()]
+            logit = np.array([model.logit(r) for r in rows], np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.clip(logit, -30, 30)), pa.array([language_group(r) for r in rows], pa.string())], names=["doc_id", "held_out", "logit", "group"])
 
     rows = documents.select("doc_id", (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "text")
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(run, schema)
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("logit", T.DoubleType()), T.StructField("group", T.StringType())])
+    scored = Scratch(documents.sparkSession, "toxicity").table(rows.mapInArrow(run, schema), "logits")
+    apart = scored.join(_usable(labels).where(~_fitted(cuts)), "doc_id")
+    bins = apart.groupBy("group", "toxic", F.floor(F.col("logit") * BINS).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    at = thresholds([(r["group"], int(r["toxic"]), r["bin"], r["n"]) for r in bins.collect()])  # 60 * BINS bins a group and class at most
+    cut = F.coalesce(*[F.when(F.col("group") == g, F.lit(t)) for g, t in at.items() if g is not None], F.lit(at.get(None, 0.0)))
+    score = 1 / (1 + F.exp(cut - F.col("logit")))
+    return scored.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
