@@ -99,6 +99,7 @@ def world(spark, site, tmp_path_factory):
     old = {"CVE_PPI": "cve_cartera", "CVE_PPI.1": "nombre_ppi", "ANIO": "anio", "LATITUD_INICIAL": "latitud", "LONGITUD_INICIAL": "longitud", "TOTAL": "monto_total_inversion"}
     layouts = {files.header_hash(MODERN): {"columnas": rename}, files.header_hash(files.distinct_names(OLD)): {"columnas": old}}
     (d / "registry.yml").write_text(yaml.safe_dump({"esquemas": layouts, "snapshots_conocidos_corruptos": []}, sort_keys=False))
+    assert {m for m, u in calls if u.endswith("xlsx")} == {"HEAD", "GET_RANGE", "GET"}
     return d, found, added, probes, manifest, load_registry(d / "registry.yml")
 
 
@@ -119,7 +120,7 @@ def gold(spark, world, silver):
 def test_discovery_and_idempotent_ingest(world):
     _, found, added, probes, manifest, _ = world
     assert found == 7 and added == [6, 0]
-    assert {r["metodo"] for r in probes.where("existe").collect()} == {"HEAD", "GET"}
+    assert {r["metodo"] for r in probes.where("existe").collect()} == {"HEAD", "GET_RANGE"}
     ids = {r["snapshot_id"][:6] for r in manifest().collect()}
     assert ids == {"2020Q1", "2020Q2", "2019Q4", "2018Q1", "2017Q1"}
 
@@ -202,6 +203,101 @@ def test_spreadsheet_cells(spark, tmp_path):
     assert xlsx.header_of((tmp_path / "a.xlsx").read_bytes()) == ["A", "B", "A.1", "F"]
 
 
+def test_quoted_separators_in_headers_and_many_files_of_a_layout(spark, tmp_path):
+    """A header with a quoted separator and line break, in files that one scan reads, each row with its snapshot."""
+    names = ["CVE, CARTERA", "AN\nIO", "AVANCE", "LATITUD", "LONGITUD", "TOTAL"]
+    head = '"CVE, CARTERA","AN\nIO",AVANCE,LATITUD,LONGITUD,TOTAL\n'
+    (tmp_path / "bronze").mkdir()
+    records = []
+    for i in range(3):
+        (tmp_path / f"bronze/f{i}.csv").write_text(head + f"0411211000{i},202{i},1{i},20,-99,10{i}\n")
+        records.append({"snapshot_id": f"202{i}Q1_x", "archivo_bronze": f"f{i}.csv", "header_hash": files.header_hash(names), "encoding_detectado": "utf-8", "corte_declarado": {"anio": 2020 + i, "trimestre": 1}})
+    (tmp_path / "m.jsonl").write_text("".join(json.dumps(r) + "\n" for r in records))
+    rename = dict(zip(names, ("cve_cartera", "anio", "avance_fisico", "latitud", "longitud", "monto_total_inversion"), strict=True))
+    (tmp_path / "r.yml").write_text(yaml.safe_dump({"esquemas": {files.header_hash(names): {"columnas": rename}}, "snapshots_conocidos_corruptos": []}, sort_keys=False))
+    run = normalise(spark, load_registry(tmp_path / "r.yml"), files.read_manifest(spark, str(tmp_path / "m.jsonl")), str(tmp_path / "bronze"))
+    got = sorted((r["cve_cartera"], r["anio"], r["avance_fisico"], r["snapshot_id"], r["monto_total_inversion"]) for r in run.valid.collect())
+    assert got == [(f"0411211000{i}", 2020.0 + i, 10.0 + i, f"202{i}Q1_x", 100.0 + i) for i in range(3)] and run.failed == []
+    assert run.judged._jdf.queryExecution().optimizedPlan().toString().count("csv") == 1
+
+
+def test_probes_fall_back_and_tell_lengths():
+    def fetch(method, url):
+        if url == "chain":
+            raise OSError("[SSL: CERTIFICATE_VERIFY_FAILED] unable to get local issuer certificate")
+        return (200, {}, b"") if method == "HEAD" else (206, {"Content-Range": "bytes 0-2047/99999", "Content-Length": "2048"}, b"x")
+
+    p = discovery.probe(fetch, "vivo", "u", 2020, 1, "x", sleep=lambda s: None)
+    assert (p.metodo, p.existe, p.content_length) == ("GET_RANGE", True, 99999)
+    p = discovery.probe(fetch, "vivo", "chain", 2020, 1, "x", sleep=lambda s: None, fallback=lambda m, u: (200, {"content-length": "7"}, b""))
+    assert (p.metodo, p.existe, p.content_length, p.error) == ("GET_RANGE+CURL", True, 7, None)
+    assert not discovery.probe(fetch, "vivo", "chain", 2020, 1, "x", sleep=lambda s: None).existe
+
+
+def test_mirror_and_archive_reach_bronze(spark, tmp_path):
+    from tidemark.functions.urls import classify_text
+
+    file = "https://m/OPA/2019/reporteOPA3erTrimestre.xlsx"
+    shown = {"success": True, "result": {"resources": [{"url": file, "name": "n", "format": "XLSX"}, {"url": "https://m/other.csv"}]}}
+    searched = {"result": {"count": 2, "results": [{"name": "obra-vieja"}, {"name": "obra-publica", "title": "Obra abierta"}]}}
+    captures = [["timestamp", "original", "statuscode", "length"], ["20200101", "https://h/OPA/2018/proyectos_opa_01t2018.csv", "200", "12"]]
+    content = (";".join(OLD) + "\n").encode("latin-1")
+
+    def fetch(method, url):
+        if "package_show" in url:
+            return 200, {}, json.dumps(shown).encode()
+        if "package_search" in url:
+            return 200, {}, json.dumps(searched).encode()
+        if url.startswith("https://cdx"):
+            return (200, {}, json.dumps(captures).encode()) if "good" in url else (200, {}, b"<html>busy") if "blocked" in url else (200, {}, b"")
+        return (200, {}, content) if url.startswith("https://web.archive.org/web/20200101id_/https://h/") else (404, {}, b"")
+
+    limiter, still = discovery.RateLimiter(0.0), lambda s: None
+    mirror = list(discovery.mirror_probes(fetch, classify_text, "https://m/api", "opa", "obra", "https://page", limiter, sleep=still))
+    assert [(p.existe, p.anio, p.trimestre, p.patron) for p in mirror] == [(True, None, None, None), (True, 2019, 3, "trimestral_ordinal"), (True, None, None, "recurso_ckan"), (True, None, None, None), (False, None, None, None)]
+    assert mirror[3].extra["coincidencia_real"] == "obra-publica"
+    archive = list(discovery.archive_index_probes(fetch, classify_text, "https://cdx", ["good", "blocked", "none"], {"matchType": "prefix"}, limiter, sleep=still))
+    asked = [(p.existe, p.error is None, p.extra["n_capturas"]) for p in archive if p.metodo == "CDX_QUERY"]
+    assert asked == [(True, True, 1), (False, False, None), (False, True, 0)]
+    assert discovery.append([*mirror, *archive], tmp_path / "p.jsonl") == 6
+    (tmp_path / "m.jsonl").touch()
+    pending = discovery.to_ingest(files.read_probes(spark, str(tmp_path / "p.jsonl")), files.read_manifest(spark, str(tmp_path / "m.jsonl")))
+    assert discovery.ingest(fetch, pending, tmp_path / "b", tmp_path / "m.jsonl", "2026-01-01", limiter) == 1
+    r = files.read_manifest(spark, str(tmp_path / "m.jsonl")).first()
+    assert (r["origen"], r["wayback_timestamp"], r["snapshot_id"][:6]) == ("wayback", "20200101", "2018Q1")
+
+
+def test_commands_end_to_end(spark, world, silver, tmp_path, capsys):
+    """Normalised files to marts, checks, reports, figures and the package, with their exit codes."""
+    import shutil
+
+    from tidemark import cli
+
+    d = tmp_path / "data"
+    shutil.copytree(world[0], d)
+    conf, seeds = tmp_path / "conf", tmp_path / "seeds"
+    conf.mkdir()
+    seeds.mkdir()
+    (conf / "inpc.csv").write_text("anio,trimestre,inpc,anio_base\n2020,1,50.0,2018\n")
+    (conf / "dcat.yml").write_text(yaml.safe_dump({"catalogo": {"titulo": "T", "descripcion": "D", "licencia": {"nombre": "L", "url": "u"}, "cadencia": {"valor": "Q"}, "fuente_primaria": {"url": "u"}, "nota": {"privacidad": "Revisado."}}}))
+    (seeds / "dim_ramo_seed.csv").write_text("id_ramo,descripcion_ramo,en_catalogo_oficial\n4,Gobernación,true\n5,Relaciones,true\n9,Nueve,true\n")
+    (seeds / "dim_entidad_seed.csv").write_text("id_entidad_federativa,entidad_federativa,en_catalogo_oficial\n1,A,true\n")
+    (seeds / "dim_tipo_ppi_seed.csv").write_text("id_tipo_ppi,descripcion_tipo_ppi\n1,B\n")
+    base = ["--data", str(d), "--registry", str(d / "registry.yml"), "--deflator", str(conf / "inpc.csv"), "--catalogue", str(conf / "dcat.yml"), "--seeds", str(seeds)]
+    assert cli.main(["publish", *base]) == 1 and "run gold first" in capsys.readouterr().err
+    assert cli.main(["normalize", *base]) == 1  # one layout is unknown
+    assert cli.main(["gold", *base]) == 0
+    assert "error observation_id_ramo_exists: 0" in capsys.readouterr().out
+    assert cli.main(["inspect", *base]) == 0 and "| `ANIO` |" in (d / "esquemas.md").read_text()
+    assert cli.main(["publish", *base]) == 0
+    note = (d / "publish/2020T2/NOTA-TECNICA.md").read_text()
+    assert note.count("\n## ") == 7 and "Revisado." in note
+    assert len((d / "publish/2020T2/checksums.sha256").read_text().splitlines()) > 18
+    assert cli.main(["figuras", *base]) in (0, 1) and len(list((d / "figuras").iterdir())) == 8
+    (seeds / "dim_ramo_seed.csv").write_text("id_ramo,descripcion_ramo,en_catalogo_oficial\n5,Relaciones,true\n")
+    assert cli.main(["gold", *base]) == 1 and "observation_id_ramo_exists" in capsys.readouterr().err
+
+
 def test_archive_captures_become_probes(spark):
     captures = spark.createDataFrame([("20200101", "https://h/OPA/2019/reporteOPA4toTrimestre.xlsx")], "timestamp STRING, original STRING")
     r = discovery.archive_probes(captures).first()

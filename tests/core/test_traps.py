@@ -51,7 +51,7 @@ def test_version_zero_when_nothing_is_known_at_first(spark):
 
 def test_collapse_sums_and_represents(spark):
     df = spark.createDataFrame([("k", "s", 1.1, 5.0, "a"), ("k", "s", 2.2, 5.0, "b"), ("k", "s", None, None, "c"), (None, "s", 9.0, 9.0, "z")], "k STRING, s STRING, m DOUBLE, p DOUBLE, n STRING")
-    got = panel.collapse_grain(df, ["k", "s"], [F.col("m").desc_nulls_last()], ("m",), ("p",), (), ("n",)).collect()
+    got = panel.collapse_grain(df, ["k", "s"], [panel.descending("m")], ("m",), ("p",), (), ("n",)).collect()
     assert [(r["n_registros_agregados"], r["m"], r["p"], r["n"]) for r in got] == [(3, 3.3, 5.0, "b")]
 
 

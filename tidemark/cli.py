@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import subprocess
 import sys
+import tempfile
 import urllib.error
 import urllib.request
 from collections.abc import Mapping, Sequence
@@ -15,24 +17,43 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import coverage, feeds
 from tidemark.operators.checks import run_checks
-from tidemark.plans.gold import PUBLISHED, build_gold, gold_checks
+from tidemark.plans.gold import PUBLISHED, catalogues, gold_checks, read_gold, write_gold
 from tidemark.plans.silver import normalise, silver_schema, write_silver
 from tidemark.publish import package
 from tidemark.session import build_session
-from tidemark.sources import discovery, files
-from tidemark.sources.registry import load_registry
-from tidemark.functions.urls import UrlGrid, candidate_urls
+from tidemark.functions.urls import UrlGrid, candidate_urls, classify_text
+from tidemark.sources import discovery, files, report
+from tidemark.sources.registry import UnknownSchema, load_registry
 
 
 def http_fetch(method: str, url: str, timeout: float = 20.0) -> tuple[int | None, Mapping[str, str], bytes]:
-    request = urllib.request.Request(url, method=method)
+    """GET_RANGE asks for the first bytes and reads no more of the answer, even of a server that sends all."""
+    ranged = {"Range": f"bytes=0-{discovery.RANGE - 1}"} if method == "GET_RANGE" else {}
+    request = urllib.request.Request(url, method=method.partition("_")[0], headers=ranged)
     try:
         with urllib.request.urlopen(request, timeout=timeout) as answer:
-            return answer.status, dict(answer.headers), answer.read() if method == "GET" else b""
+            body = b"" if method == "HEAD" else answer.read(discovery.RANGE) if ranged else answer.read()
+            return answer.status, dict(answer.headers), body
     except urllib.error.HTTPError as e:
         return e.code, dict(e.headers or {}), b""
 
 
+def curl_fetch(method: str, url: str, timeout: float = 20.0) -> tuple[int | None, Mapping[str, str], bytes]:
+    """The system's own client, which completes certificate chains and verifies them; None if it gets no answer."""
+    with tempfile.TemporaryDirectory() as folder:
+        head, body = Path(folder) / "head", Path(folder) / "body"
+        call = ["curl", "-s", "-L", "--max-time", str(int(timeout)), "-D", str(head), "-o", str(body), *(["-I"] if method == "HEAD" else []), url]
+        try:
+            subprocess.run(call, capture_output=True, timeout=timeout + 5, check=False)
+        except (OSError, subprocess.TimeoutExpired):
+            return None, {}, b""
+        blocks = head.read_text("latin-1").strip().split("\n\n" if b"\r" not in head.read_bytes() else "\r\n\r\n") if head.exists() else [""]
+        first, *rest = blocks[-1].splitlines() or [""]
+        code = first.split()[1:2]
+        headers = {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in rest)}
+        return int(code[0]) if code and code[0].isdigit() else None, headers, body.read_bytes() if body.exists() else b""
+
+
 def _grid(raw: Mapping) -> UrlGrid:
     live = raw["fuente_viva"]
     return UrlGrid(
@@ -51,21 +72,109 @@ def version_label(snapshots) -> str:
     return str(year) if year else "sin_version"
 
 
-def _gold(spark, args):
+def _inputs(spark, args):
     registry = load_registry(args.registry)
     silver = files.read_silver(spark, f"{args.data}/silver/valid", silver_schema(registry.canonical_columns()))
-    return build_gold(silver, files.read_manifest(spark, f"{args.data}/manifest.jsonl"), files.read_deflator(spark, args.deflator))
+    return silver, files.read_manifest(spark, f"{args.data}/manifest.jsonl"), files.read_deflator(spark, args.deflator)
+
+
+SEEDS = {
+    "dim_ramo": ("dim_ramo_seed.csv", "id_ramo LONG, descripcion_ramo STRING, en_catalogo_oficial BOOLEAN"),
+    "dim_entidad": ("dim_entidad_seed.csv", "id_entidad_federativa LONG, entidad_federativa STRING, en_catalogo_oficial BOOLEAN"),
+    "dim_tipo_ppi": ("dim_tipo_ppi_seed.csv", "id_tipo_ppi LONG, descripcion_tipo_ppi STRING"),
+}
+
+
+def _dimensions(spark, args) -> dict:
+    return catalogues({k: files.read_seed(spark, f"{args.seeds}/{f}", schema) for k, (f, schema) in SEEDS.items()})
 
 
 def _published(spark, args) -> dict:
-    gold = _gold(spark, args)
-    tables = {k: getattr(gold, k) for k in PUBLISHED if hasattr(gold, k)}
-    seeds = {
-        "dim_ramo": ("dim_ramo_seed.csv", "id_ramo LONG, descripcion_ramo STRING, en_catalogo_oficial BOOLEAN"),
-        "dim_entidad": ("dim_entidad_seed.csv", "id_entidad_federativa LONG, entidad_federativa STRING, en_catalogo_oficial BOOLEAN"),
-        "dim_tipo_ppi": ("dim_tipo_ppi_seed.csv", "id_tipo_ppi LONG, descripcion_tipo_ppi STRING"),
+    """The written marts; ``gold`` writes them."""
+    if not (Path(args.data) / "gold" / "fct_ppi_observacion").exists():
+        raise package.PublishError(f"no marts below {args.data}/gold: run gold first")
+    gold = read_gold(spark, f"{args.data}/gold")
+    return {k: getattr(gold, k) for k in PUBLISHED if hasattr(gold, k)} | _dimensions(spark, args)
+
+
+def discover(spark, args, fetch=http_fetch, fallback=curl_fetch) -> int:
+    """Live files, the mirror and the archive, each if the sources name it; then the coverage report."""
+    data, raw = Path(args.data), yaml.safe_load(Path(args.sources).read_text(encoding="utf-8"))
+    out, pace = data / "discovery.jsonl", raw.get("red", {})
+    limiter = discovery.RateLimiter(pace.get("rate_limit_segundos_shcp", 2.0))
+    n = discovery.probe_all(fetch, candidate_urls(spark, _grid(raw)), "vivo", out, limiter, fallback)
+    if mirror := raw.get("fuente_espejo"):
+        n += discovery.append(discovery.mirror_probes(fetch, classify_text, mirror["ckan_base"], mirror["ckan_package_id"], mirror["ckan_busqueda_respaldo"], mirror.get("datamx_io"), limiter), out)
+    if archive := raw.get("fuente_wayback"):
+        options = {"matchType": archive["match_type"], "collapse": archive["collapse"], "fl": ",".join(archive["campos"]), "filter": [archive["filtro_status"], archive["filtro_mimetype_excluir"]]}
+        slow = discovery.RateLimiter(pace.get("rate_limit_segundos_wayback", 2.0))
+        n += discovery.append(discovery.archive_index_probes(fetch, classify_text, archive["cdx_base"], archive["prefijos"], options, slow), out)
+    probes = files.read_probes(spark, str(out))
+    first, last = raw["anios"]["desde"], raw["anios"]["hasta"]
+    matrix = coverage.coverage_matrix(probes, first, last)
+    report = package.markdown_table(matrix.groupBy("anio").pivot("trimestre", [1, 2, 3, 4]).agg(F.min("categoria")).orderBy("anio"))
+    yearly = coverage.yearly_coverage(probes, first, last)
+    parts = [report, package.markdown_table(coverage.recoverable(matrix, first, last)), package.markdown_table(yearly.orderBy("anio")), package.markdown_table(coverage.trailing_gap(yearly))]
+    (data / "cobertura.md").write_text("# Cobertura\n\n" + "\n\n".join(parts) + "\n", encoding="utf-8")
+    return n
+
+
+#: Figures: name, title, and what to bear in mind.
+FIGURES = {
+    "cobertura_cortes": ("Cobertura por corte", "Un corte futuro no es un hueco."),
+    "universo_por_corte": ("Universo por corte", "Los huecos del panel quedan nulos."),
+    "caida_estacional": ("Cambio de T4 a T1", "Solo años con ambos cortes."),
+    "inversion_por_ramo": ("Monto modificado por ramo", "Pesos corrientes; siete ramos y los demás juntos."),
+    "mapa_ppi": ("Última posición conocida", "Solo proyectos con coordenadas."),
+    "estatus_terminal": ("Estatus terminal inferido", "Es una inferencia, no un dato de la fuente."),
+    "sobrecosto_distribucion": ("Distribución del sobrecosto", "Fuera de -100 % a 300 % todo va a una clase."),
+}
+
+
+def figures(spark, gold, out: Path) -> list[str]:
+    """The data behind every figure as Parquet, and a gallery; returns the names of those without rows."""
+    panel = gold.int_ppi_observaciones_canonicas
+    cells = coverage.coverage_feed(gold.stg_snapshots, gold.dim_snapshot, gold.int_snapshot_canonico, panel)
+    counts = feeds.universe(panel, cells, "cve_cartera")
+    frames = {
+        "cobertura_cortes": cells.orderBy("anio", "trimestre"),
+        "universo_por_corte": counts.orderBy("anio", "trimestre"),
+        "caida_estacional": feeds.seasonal_drops(counts).orderBy("anio"),
+        "inversion_por_ramo": feeds.top_with_rest(panel, "descripcion_ramo", "modificado", 7, ("anio", "trimestre")).orderBy("anio", "trimestre", F.col("descripcion_ramo").asc_nulls_last()),
+        "mapa_ppi": feeds.latest_points(gold.fct_ppi_observacion, "cve_cartera", "monto_total_inversion").orderBy("cve_cartera"),
+        "estatus_terminal": feeds.status_counts(gold.fct_ppi_ciclo_vida, "estatus_terminal_inferido").orderBy("estatus_terminal_inferido"),
+        "sobrecosto_distribucion": feeds.histogram(gold.fct_ppi_ciclo_vida, "sobrecosto_pct", -100, 300, 20).orderBy("bin"),
     }
-    return tables | {k: files.read_seed(spark, f"{args.seeds}/{f}", schema) for k, (f, schema) in seeds.items()}
+    lines, empty = ["# Galería", "", f"Corte más reciente: {version_label(gold.dim_snapshot)}", ""], []
+    for name, df in frames.items():
+        df.coalesce(1).write.mode("overwrite").parquet(str(out / name))
+        n = spark.read.parquet(str(out / name)).count()
+        empty += [name] if not n and name != "caida_estacional" else []
+        title, note = FIGURES[name]
+        lines += [f"## {title}", "", f"`{name}`, {n} filas. {note}", ""]
+    (out / "GALERIA.md").write_text("\n".join(lines), encoding="utf-8")
+    return empty
+
+
+def publish(spark, args) -> Path:
+    """The package of one version; checksums come last, so they cover all of it."""
+    data, tables = Path(args.data), _published(spark, args)
+    config = package.load_catalogue_config(Path(args.catalogue))
+    folder = data / "publish" / (args.version or version_label(tables["dim_snapshot"]))
+    package.write_tables(tables, PUBLISHED, folder / "tabular")
+    package.write_geojson(package.features(tables["fct_ppi_observacion"], tables["dim_snapshot"], tables["dim_ppi"]), folder / "geojson")
+    manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))
+    found = feeds.provenance(manifest, F.col("corte_declarado.anio"), "origen", "fecha_descarga", "bytes").first().asDict()
+    # the audit table serves where a printed report would have to be parsed again
+    audit = spark.read.parquet(str(data / "silver/audit")).agg(F.sum("n_rows").alias("filas"), F.sum("n_valid").alias("validas")).first().asDict()
+    about = package.load_descriptions(Path(args.descriptions))[0] if Path(args.descriptions).exists() else {}
+    package.write_catalogue(folder, config, about, found, audit)
+    gold = read_gold(spark, f"{args.data}/gold")
+    left_out = [r["snapshot_id"] for r in gold.dim_snapshot.where("estado = 'excluido_de_silver'").orderBy("snapshot_id").collect()]
+    footer = f"Descarga más reciente: {found['ultima_descarga']}. Años: {found['anio_min']} a {found['anio_max']}. Licencia: {config['licencia']['nombre']}."
+    package.write_note(folder / "NOTA-TECNICA.md", config["titulo"], package.note_sections(gold, audit, left_out, config.get("nota") or {}), footer)
+    package.write_checksums(folder)
+    return folder
 
 
 def main(argv: Sequence[str] | None = None) -> int:
@@ -83,62 +192,53 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = build_session("tidemark-cli")
     data = Path(args.data)
     data.mkdir(parents=True, exist_ok=True)
+    try:
+        return run(spark, args, data)
+    except (package.PublishError, UnknownSchema, AssertionError) as e:
+        print(e, file=sys.stderr)
+        return 1
+
+
+def run(spark, args, data: Path) -> int:
+    """The command's exit code: 1 if something that it needs is missing or a check fails."""
     if args.command == "discover":
-        raw = yaml.safe_load(Path(args.sources).read_text(encoding="utf-8"))
-        limiter = discovery.RateLimiter(raw.get("red", {}).get("rate_limit_segundos_shcp", 2.0))
-        n = discovery.probe_all(http_fetch, candidate_urls(spark, _grid(raw)), "vivo", data / "discovery.jsonl", limiter)
-        probes = files.read_probes(spark, str(data / "discovery.jsonl"))
-        matrix = coverage.coverage_matrix(probes, raw["anios"]["desde"], raw["anios"]["hasta"])
-        report = package.markdown_table(matrix.groupBy("anio").pivot("trimestre", [1, 2, 3, 4]).agg(F.min("categoria")).orderBy("anio"))
-        gate = coverage.recoverable(matrix, raw["anios"]["desde"], raw["anios"]["hasta"])
-        (data / "cobertura.md").write_text(f"# Cobertura\n\n{report}\n\n{package.markdown_table(gate)}\n", encoding="utf-8")
-        print(f"{n} files exist")
+        print(discover(spark, args), "files exist")
     elif args.command == "bronze":
         (data / "manifest.jsonl").touch()
         pending = discovery.to_ingest(files.read_probes(spark, str(data / "discovery.jsonl")), files.read_manifest(spark, str(data / "manifest.jsonl")))
         print(discovery.ingest(http_fetch, pending, data / "bronze", data / "manifest.jsonl", date.today().isoformat(), discovery.RateLimiter(2.0)), "files added")
     elif args.command == "normalize":
-        run = normalise(spark, load_registry(args.registry), files.read_manifest(spark, str(data / "manifest.jsonl")), str(data / "bronze"))
-        write_silver(run, str(data / "silver"))
+        done = write_silver(normalise(spark, load_registry(args.registry), files.read_manifest(spark, str(data / "manifest.jsonl")), str(data / "bronze")), str(data / "silver"))
         audit = spark.read.parquet(str(data / "silver/audit")).orderBy("snapshot_id")
-        (data / "calidad_silver.md").write_text("# Calidad\n\n" + package.markdown_table(audit.withColumn("motivos", F.to_json("motivos"))) + "\n", encoding="utf-8")
-        for snapshot, file, state in run.failed:
+        lines = ["# Calidad", "", package.markdown_table(audit.withColumn("motivos", F.to_json("motivos"))), "", *[f"- {state}: {snapshot} ({file})" for snapshot, file, state in done.failed], ""]
+        (data / "calidad_silver.md").write_text("\n".join(lines), encoding="utf-8")
+        for snapshot, file, state in done.failed:
             print(f"{state}: {snapshot} ({file})", file=sys.stderr)
-        return int(any(state != "corrupto_conocido" for *_, state in run.failed))
+        return int(any(state != "corrupto_conocido" for *_, state in done.failed))
     elif args.command == "inspect":
-        for path in sorted((data / "bronze").iterdir()):
-            columns, encoding = files.inspect_columns(path.read_bytes(), path.suffix)
-            print(path.name, files.header_hash(columns), len(columns or ()), encoding)
+        manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))
+        chosen = report.samples(manifest.select("archivo_bronze", "corte_declarado.anio", "corte_declarado.trimestre"))
+        if not chosen:
+            print("no file of a known year", file=sys.stderr)
+            return 1
+        found = {label: report.inspect_file(spark, str(data / "bronze" / r["archivo_bronze"])) for label, r in chosen.items()}
+        (data / "esquemas.md").write_text(report.schema_report(found), encoding="utf-8")
+        for r in manifest.select("archivo_bronze", "header_hash", "n_columnas", "encoding_detectado").orderBy("archivo_bronze").toLocalIterator():
+            print(*r)
     elif args.command == "gold":
-        for name, severity, n in run_checks(gold_checks(_gold(spark, args))):
+        gold = write_gold(spark, *_inputs(spark, args), f"{args.data}/gold")
+        dimensions = _dimensions(spark, args) if Path(args.seeds).is_dir() else {}
+        for name, severity, n in run_checks(gold_checks(gold, dimensions)):
             print(f"{severity} {name}: {n}")
     elif args.command == "diccionario":
         package.write_dictionary(_published(spark, args), package.load_descriptions(Path(args.descriptions))[1], data / "diccionario")
     elif args.command == "publish":
-        tables = _published(spark, args)
-        config = package.load_catalogue_config(Path(args.catalogue))
-        folder = data / "publish" / (args.version or version_label(tables["dim_snapshot"]))
-        package.write_tables(tables, PUBLISHED, folder / "tabular")
-        package.write_geojson(package.features(tables["fct_ppi_observacion"], tables["dim_snapshot"], tables["dim_ppi"]), folder / "geojson")
-        manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))
-        found = feeds.provenance(manifest, F.col("corte_declarado.anio"), "origen", "fecha_descarga", "bytes").first().asDict()
-        audit = spark.read.parquet(str(data / "silver/audit")).agg(F.sum("n_rows").alias("filas"), F.sum("n_valid").alias("validas")).first().asDict()
-        about = package.load_descriptions(Path(args.descriptions))[0] if Path(args.descriptions).exists() else {}
-        package.write_catalogue(folder, config, about, found, audit)
-        package.write_note(folder / "NOTA-TECNICA.md", config["titulo"], [("Procedencia", str(found)), ("Calidad", str(audit))], config["licencia"]["nombre"])
-        package.write_checksums(folder)
-        print(folder)
+        print(publish(spark, args))
     else:
-        gold = _gold(spark, args)
-        out = data / "figuras"
-        frames = {
-            "cobertura": coverage.coverage_feed(gold.stg_snapshots, gold.dim_snapshot, gold.int_snapshot_canonico, gold.int_ppi_observaciones_canonicas),
-            "estatus": feeds.status_counts(gold.fct_ppi_ciclo_vida, "estatus_terminal_inferido"),
-            "sobrecosto": feeds.histogram(gold.fct_ppi_ciclo_vida, "sobrecosto_pct", -100, 300, 20),
-            "montos": feeds.top_with_rest(gold.int_ppi_observaciones_canonicas, "descripcion_ramo", "modificado", 7, ("anio", "trimestre")),
-        }
-        for name, df in frames.items():
-            df.coalesce(1).write.mode("overwrite").parquet(str(out / name))
+        _published(spark, args)
+        if empty := figures(spark, read_gold(spark, f"{args.data}/gold"), data / "figuras"):
+            print("without rows:", ", ".join(empty), file=sys.stderr)
+            return 1
     return 0
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,6 +61,7 @@ def parse_month(c: Column) -> Column:
     text = F.lower(F.trim(c.cast("string")))
     names = F.create_map(*[F.lit(v) for i, pair in enumerate(MONTHS) for name in dict.fromkeys(pair) for v in (name, i + 1)])
     part = lambda pattern, g: F.regexp_extract(text, pattern, g)
+    # The four dialects' formats.
     iso, dmy = r"^(\d{4})-(\d{1,2})-\d{1,2}", r"^\d{1,2}/(\d{1,2})/(\d{4})$"
     short, full = r"^([a-záéíóúñ]{3})-(\d{2})$", r"^([a-záéíóúñ]+)/(\d{4})$"
     two = part(short, 2).try_cast("int")
@@ -118,22 +117,6 @@ def linear_index(year: Column, quarter: Column) -> Column:
     return year * 4 + quarter
 
 
-def one_line(c: Column) -> Column:
-    """White space collapsed and pipes escaped, fit for a cell of a Markdown table."""
-    return F.replace(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit("|"), F.lit("\\|"))
-
-
-def wrap_label(text: str, width: int = 18) -> str:
-    """A label broken at word borders with ``<br>``."""
-    lines: list[str] = []
-    for word in re.split(r"\s+", text.strip()):
-        if lines and len(lines[-1]) + 1 + len(word) <= width:
-            lines[-1] += f" {word}"
-        else:
-            lines.append(word)
-    return "<br>".join(lines)
-
-
 def bronze_name(year: Column, quarter: Column, sha256: Column, ext: Column, url: Column) -> Column:
     """A content-addressed file name: the same bytes for the same cut always have the same one."""
     cut = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -39,6 +40,15 @@ def classify_url(url: Column, layouts: Iterable[tuple[str, str, int | None]] = L
     return out
 
 
+def classify_text(url: str) -> tuple[int | None, int | None, str]:
+    """Year, quarter and layout of one URL, on the driver, by the same layouts."""
+    for pattern, name, quarter in LAYOUTS:
+        if found := re.search(f"(?i){pattern}", url):
+            spelled = found[quarter].lower() if quarter else None
+            return int(found[1]), int(spelled) if spelled and spelled.isdigit() else ORDINALS.get(spelled or ""), name
+    return None, None, "no_reconocido"
+
+
 def product(url: Column, quarter: Column) -> Column:
     """Which of a quarter's complementary files a URL names; the first that fits."""
     return (

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.urls import YEARLY
 
@@ -107,10 +106,3 @@ def coverage_feed(snapshots: DataFrame, dim_snapshot: DataFrame, canonical: Data
         .otherwise(GAP)
     )
     return cells.select("anio", "trimestre", category.alias("categoria"), (has & F.coalesce("parcial", F.lit(False)) & ~F.coalesce(future, F.lit(False))).alias("parcial"))
-
-
-def running_gap(matrix: DataFrame) -> DataFrame:
-    """The matrix with, per year, how many gaps have followed each other up to each quarter."""
-    w = Window.partitionBy("anio").orderBy("trimestre")
-    hit = F.max(F.when(F.col("categoria") != GAP, F.col("trimestre"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return matrix.select("*", (F.col("trimestre") - F.coalesce(hit, F.lit(0))).alias("huecos_seguidos"))

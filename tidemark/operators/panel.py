@@ -50,6 +50,16 @@ def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def ascending(column: str) -> Column:
+    """A part of a struct that sorts a column upwards, nulls last."""
+    return F.struct(F.col(column).isNull().alias("unknown"), F.col(column).alias("value"))
+
+
+def descending(column: str) -> Column:
+    """A part of a struct that sorts a number downwards, nulls last."""
+    return F.struct(F.col(column).isNull().alias("unknown"), (-F.col(column)).alias("value"))
+
+
 def collapse_grain(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,21 +72,41 @@ def collapse_grain(
 ) -> DataFrame:
     """One row per key: amounts summed, levels at their maximum, attributes of the representative row.
 
-    The representative is first in ``order``; ``shared`` columns are the same in all rows of a key, and the
+    The representative is least in ``order``, made of ``ascending`` and ``descending``; rows that tie in it
+    are settled by the attributes themselves. ``shared`` columns are the same in all rows of a key, and the
     least non-null value stands for them. ``n_registros_agregados`` counts the rows. Rows with a null key
-    column do not belong to the panel and are left out.
+    column do not belong to the panel and are left out. All of it is one aggregate, so tasks combine their
+    rows of a key before any exchange; a frame that is dealt out by a key column already needs none.
     """
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    return ranked.groupBy(*keys).agg(
+    row = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(representative)])
+    first = [F.min(row).alias("_first")] if representative else []
+    found = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_registros_agregados"),
         *[exact_sum(c, kind).alias(c) for c in sums],
         *[F.max(c).alias(c) for c in maxima],
         *[F.min(c).alias(c) for c in shared],
-        *[F.max(F.when(F.col("_rn") == 1, F.col(c))).alias(c) for c in representative],
+        *first,
     )
+    return found.select(*[c for c in found.columns if c != "_first"], *[F.col(f"_first.v{i}").alias(c) for i, c in enumerate(representative)])
+
+
+def snapshot_dimension(snapshots: DataFrame, rows: DataFrame, key: str, keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns of every snapshot with the rows and distinct keys it has in the panel, and its state.
+
+    A snapshot without a row was excluded on the way; its counts are 0.
+    """
+    counts = rows.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n_observaciones"), F.countDistinct(key).alias("n_ppi"))
+    return snapshots.join(counts, "snapshot_id", "left").select(
+        *keep, F.coalesce("n_observaciones", F.lit(0)).alias("n_observaciones"), F.coalesce("n_ppi", F.lit(0)).alias("n_ppi"),
+        F.when(F.col("n_observaciones").isNull(), "excluido_de_silver").otherwise("normalizado").alias("estado"),
+    )
+
+
+def catalogue(rows: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """A catalogue's rows with an id: the key as a whole number, then its attributes as they are."""
+    return rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), *attributes)
 
 
 def canonical_snapshots(snapshots: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from tidemark.functions.cleaning import clean_key, parse_month, parse_number, zero_to_null
 from tidemark.operators.contract import judge, reason_counts, snapshot_rules, split, totals
 from tidemark.operators.panel import pick_first
-from tidemark.sources.files import detect_separator, distinct_names, read_head, scan_csv, union_by_name
+from tidemark.operators.sizes import broadcast_if_small
+from tidemark.sources.files import csv_header, detect_separator, read_head, scan_csv, union_by_name
 from tidemark.sources.registry import Registry
 
 # Canonical columns by type; all others are text.
@@ -71,65 +72,84 @@ def pending_snapshots(manifest: DataFrame) -> DataFrame:
 
 @dataclass
 class SilverRun:
-    """``audit`` has a row per snapshot: state, counts, reasons and unparsed dates."""
+    """The judged rows of all files, and what follows from them; ``audit`` has a row per snapshot.
 
-    valid: DataFrame
-    quarantine: DataFrame
-    audit: DataFrame
+    The parts are lazy, and each reads ``judged`` again: ``write_silver`` writes it first.
+    """
+
+    judged: DataFrame
     failed: list[tuple[str, str, str]]
 
+    @property
+    def valid(self) -> DataFrame:
+        return split(self.judged)[0].drop("_unparsed")
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return split(self.judged)[1].drop("_unparsed")
+
+    @property
+    def audit(self) -> DataFrame:
+        unparsed = self.judged.groupBy("snapshot_id").agg(F.sum("_unparsed").alias("fechas_no_parseadas"))
+        reasons = reason_counts(self.judged, ["snapshot_id"]).groupBy("snapshot_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("motivos"))
+        return totals(self.judged, ["snapshot_id"]).join(unparsed, "snapshot_id", "left").join(reasons, "snapshot_id", "left")
+
 
 def normalise(spark: SparkSession, registry: Registry, manifest: DataFrame, bronze: str) -> SilverRun:
-    """One lazy frame per layout and dialect, united by name; the driver only plans, file by file.
+    """One scan per layout, encoding and separator, however many files; the driver reads each file's head.
 
-    Snapshots known to be corrupt, of an unknown layout or without a file are reported and left out; the
-    caller decides whether that is an error. The manifest is a catalogue of files, so its rows are listed.
+    A row's snapshot comes from the name of its file, by a broadcast of the manifest's file names. Snapshots
+    known to be corrupt, of an unknown layout or without a file are reported and left out; the caller decides
+    whether that is an error. The manifest is a catalogue of files, so its rows are listed.
     """
     groups: dict[tuple, list[tuple[str, str]]] = {}
     failed: list[tuple[str, str, str]] = []
     for r in pending_snapshots(manifest).select("snapshot_id", "archivo_bronze", "header_hash", "encoding_detectado").toLocalIterator():
-        if r["archivo_bronze"] in registry.corrupt:
-            failed.append((r["snapshot_id"], r["archivo_bronze"], "corrupto_conocido"))
+        name = r["archivo_bronze"]
+        if name in registry.corrupt:
+            failed.append((r["snapshot_id"], name, "corrupto_conocido"))
             continue
         if r["header_hash"] not in registry.layouts:
-            failed.append((r["snapshot_id"], r["archivo_bronze"], "esquema_desconocido"))
+            failed.append((r["snapshot_id"], name, "esquema_desconocido"))
             continue
-        path = f"{bronze}/{r['archivo_bronze']}"
+        path = f"{bronze}/{name}"
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            failed.append((r["snapshot_id"], r["archivo_bronze"], "error"))
+            failed.append((r["snapshot_id"], name, "error"))
             continue
         if path.lower().endswith(".xlsx"):
-            key = (r["header_hash"], "xlsx", None)
+            key = (r["header_hash"], "xlsx", None, tuple(registry.layouts[r["header_hash"]]))
         else:
-            encoding = r["encoding_detectado"] or "utf-8"
-            key = (r["header_hash"], encoding, detect_separator(read_head(spark, path).decode(encoding, "ignore")))
-        groups.setdefault(key, []).append((path, r["snapshot_id"]))
+            encoding, head = r["encoding_detectado"] or "utf-8", read_head(spark, path)
+            separator = detect_separator(head.decode(encoding, "ignore"))
+            key = (r["header_hash"], encoding, separator, tuple(csv_header(head, encoding, separator)))
+        groups.setdefault(key, []).append((name, r["snapshot_id"]))
     frames = []
-    for (hash_, encoding, separator), files in groups.items():
-        names = list(registry.layouts[hash_])
-        for path, snapshot in files:
-            if encoding == "xlsx":
-                from tidemark.sources.xlsx import scan_xlsx
-
-                raw = scan_xlsx(spark, [path], names)
-            else:
-                header = distinct_names(read_head(spark, path).decode(encoding, "ignore").lstrip("\ufeff").splitlines()[0].replace('"', "").split(separator))
-                raw = scan_csv(spark, path, header, separator, encoding)
-            frames.append(clean_rows(raw, registry.layouts[hash_], F.lit(snapshot)))
+    for (hash_, encoding, separator, header), files in groups.items():
+        paths = [f"{bronze}/{name}" for name in dict.fromkeys(name for name, _ in files)]
+        if encoding == "xlsx":
+            from tidemark.sources.xlsx import scan_xlsx
+
+            raw = scan_xlsx(spark, paths, list(header), file="_file")
+        else:
+            raw = scan_csv(spark, paths, list(header), separator, encoding, file="_file")
+        owners = broadcast_if_small(spark.createDataFrame(files, "_name string, _snapshot string"))
+        rows = raw.join(owners, F.col("_file") == F.col("_name")).drop("_file", "_name")
+        frames.append(clean_rows(rows, registry.layouts[hash_], F.col("_snapshot")).drop("_snapshot"))
     if not frames:
-        empty = spark.createDataFrame([], T.StructType([*silver_schema([]).fields, T.StructField("_unparsed", T.IntegerType())]))
-        frames = [empty]
-    judged = judge(union_by_name(frames), snapshot_rules())
-    valid, quarantine = split(judged)
-    unparsed = judged.groupBy("snapshot_id").agg(F.sum("_unparsed").alias("fechas_no_parseadas"))
-    reasons = reason_counts(judged, ["snapshot_id"]).groupBy("snapshot_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("motivos"))
-    audit = totals(judged, ["snapshot_id"]).join(unparsed, "snapshot_id", "left").join(reasons, "snapshot_id", "left")
-    return SilverRun(valid.drop("_unparsed"), quarantine.drop("_unparsed"), audit, failed)
-
-
-def write_silver(run: SilverRun, path: str) -> None:
-    """Valid rows, quarantine and audit as Parquet; rows partitioned by snapshot, one file each."""
-    run.valid.repartition("snapshot_id").write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/valid")
-    run.quarantine.repartition("snapshot_id").write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/quarantine")
-    run.audit.coalesce(1).write.mode("overwrite").parquet(f"{path}/audit")
+        frames = [spark.createDataFrame([], T.StructType([*silver_schema([]).fields, T.StructField("_unparsed", T.IntegerType())]))]
+    return SilverRun(judge(union_by_name(frames), snapshot_rules()), failed)
+
+
+def write_silver(run: SilverRun, path: str) -> SilverRun:
+    """Valid rows, quarantine and audit as Parquet; rows partitioned by snapshot, one file each.
+
+    The judged rows are written once, below ``judged``, and all three are read from there.
+    """
+    spark = run.judged.sparkSession
+    run.judged.write.mode("overwrite").parquet(f"{path}/judged")
+    read = SilverRun(spark.read.parquet(f"{path}/judged"), run.failed)
+    read.valid.repartition("snapshot_id").write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/valid")
+    read.quarantine.repartition("snapshot_id").write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/quarantine")
+    read.audit.coalesce(1).write.mode("overwrite").parquet(f"{path}/audit")
+    return read

@@ -1,15 +1,20 @@
 """The published package: CSV, Parquet, GeoJSON, catalogue, dictionary, note and checksums.
 
-Spark orders and shapes the rows; the driver writes bytes, row by row, so two runs over the same tables
-give identical files.
+Spark orders the rows by ranges and formats them on executors, a file for each range; the driver only joins
+these files, byte by byte or batch by batch, so two runs over the same tables give identical files.
 """
 
 from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
-from collections.abc import Iterable, Mapping, Sequence
+import shutil
+import tempfile
+import uuid
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -19,15 +24,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.operators.coverage import coverage_feed, quarter_grid
+from tidemark.operators.feeds import seasonal_drops, seasonal_range, universe
+from tidemark.plans.gold import Gold
+from tidemark.session import checkpoint_root
+
 # Fixed values of the catalogue: media types and vocabulary prefixes.
 MEDIA = {".csv": "text/csv", ".parquet": "application/vnd.apache.parquet", ".geojson": "application/geo+json"}
 CONTEXT = {"dcat": "http://www.w3.org/ns/dcat#", "dct": "http://purl.org/dc/terms/", "foaf": "http://xmlns.com/foaf/0.1/", "spdx": "http://spdx.org/rdf/terms#"}
+# The keys that a catalogue's configuration must have, and the properties of a point.
 CONFIG_KEYS = ("titulo", "descripcion", "licencia.nombre", "licencia.url", "cadencia.valor", "fuente_primaria.url")
 PROPERTIES = (
     "cve_cartera", "snapshot_id", "anio_corte", "trimestre_corte", "nombre_ppi", "descripcion_ur", "localizacion", "descripcion_ramo", "descripcion_tipo_ppi",
     "entidad_federativa", "fase", "avance_fisico", "estatus_operacion", "aprobado", "ppef", "pef", "modificado", "ejercido", "monto_total_inversion",
 )
-#: Rows of a Parquet row group and of a fetch to the driver.
+#: Rows of a Parquet row group.
 GROUP = 50_000
 
 
@@ -49,8 +60,41 @@ def _text(value: object) -> object:
     return "" if value is None else value
 
 
+@contextmanager
+def _parts(df: DataFrame, kind: str, by: str | None = None) -> Iterator[Path]:
+    """A frame's part files, written by executors to the shared folder and copied to a folder of the driver's."""
+    spark = df.sparkSession
+    shared = f"{checkpoint_root(spark)}/tidemark/publish-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(shared)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.format(kind).save(shared)
+        with tempfile.TemporaryDirectory() as own:
+            fs.copyToLocalFile(False, hadoop, spark._jvm.org.apache.hadoop.fs.Path(f"file://{own}/parts"), True)
+            yield Path(own) / "parts"
+    finally:
+        fs.delete(hadoop, True)
+
+
+def _csv_lines(df: DataFrame) -> DataFrame:
+    """Rows as RFC 4180 lines without their line feed, partition by partition, in order."""
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for row in batch.to_pylist():
+                out = io.StringIO()
+                csv.writer(out, lineterminator="\r").writerow([_text(row[c]) for c in names])
+                lines.append(out.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+    return df.mapInArrow(run, "value string")
+
+
 def write_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], folder: Path) -> list[Path]:
-    """Each table as RFC 4180 CSV and as Parquet, in its stable order, streamed partition by partition."""
+    """Each table as RFC 4180 CSV and as Parquet, in its stable order."""
     missing = sorted(set(keys) - set(tables))
     if missing:
         raise PublishError(f"missing tables: {', '.join(missing)}")
@@ -59,18 +103,24 @@ def write_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[st
     for name, order in keys.items():
         df = stable_order(tables[name], order)
         schema = to_arrow_schema(df.schema)
-        with (folder / f"{name}.csv").open("w", encoding="utf-8", newline="") as out, pq.ParquetWriter(folder / f"{name}.parquet", schema, compression="snappy") as parquet:
-            rows = csv.writer(out, lineterminator="\r\n")
-            rows.writerow(df.columns)
-            held: list[dict] = []
-            for row in df.toLocalIterator():
-                rows.writerow([_text(v) for v in row])
-                held.append(row.asDict())
-                if len(held) == GROUP:
-                    parquet.write_table(pa.Table.from_pylist(held, schema))
-                    held = []
+        with _parts(df, "parquet") as parts, pq.ParquetWriter(folder / f"{name}.parquet", schema, compression="snappy") as parquet:
+            held: list[pa.RecordBatch] = []
+            for part in sorted(parts.glob("*.parquet")):
+                for batch in pq.ParquetFile(part).iter_batches(GROUP):
+                    held.append(batch)
+                    if sum(b.num_rows for b in held) >= GROUP:
+                        whole = pa.Table.from_batches(held).cast(schema)
+                        parquet.write_table(whole.slice(0, GROUP))
+                        held = whole.slice(GROUP).to_batches()
             if held:
-                parquet.write_table(pa.Table.from_pylist(held, schema))
+                parquet.write_table(pa.Table.from_batches(held).cast(schema))
+        with _parts(_csv_lines(df), "text") as parts, (folder / f"{name}.csv").open("wb") as out:
+            header = io.StringIO()
+            csv.writer(header, lineterminator="\r\n").writerow(df.columns)
+            out.write(header.getvalue().encode())
+            for part in sorted(parts.glob("part-*")):
+                with part.open("rb") as lines:
+                    shutil.copyfileobj(lines, out, 1 << 20)
         written += [folder / f"{name}.csv", folder / f"{name}.parquet"]
     return written
 
@@ -99,22 +149,30 @@ def features(observations: DataFrame, snapshots: DataFrame, versions: DataFrame,
 def write_geojson(rows: DataFrame, folder: Path) -> list[Path]:
     """A collection per year, one for rows without a year, and one of all; nothing if there is no feature."""
     ordered = rows.orderBy(F.col("cve_cartera").asc_nulls_last(), F.col("snapshot_id").asc_nulls_last(), "feature")
-    files: dict[str, object] = {}
-    try:
-        for row in ordered.toLocalIterator():
-            for name in (f"ppi_{row['grupo']}.geojson", "ppi_consolidado.geojson"):
-                if name not in files:
-                    folder.mkdir(parents=True, exist_ok=True)
-                    files[name] = (folder / name).open("w", encoding="utf-8")
-                    files[name].write('{"type": "FeatureCollection", "features": [')
-                else:
-                    files[name].write(", ")
-                files[name].write(row["feature"])
-    finally:
-        for f in files.values():
-            f.write("]}")
-            f.close()
-    return sorted(folder / n for n in files)
+    written: list[Path] = []
+
+    def collection(name: str, parts: list[Path]) -> None:
+        first = True
+        for part in parts:
+            with part.open(encoding="utf-8") as lines:
+                for line in lines:
+                    if first:
+                        folder.mkdir(parents=True, exist_ok=True)
+                        written.append(folder / name)
+                        out = (folder / name).open("w", encoding="utf-8")
+                        out.write('{"type": "FeatureCollection", "features": [')
+                    out.write(("" if first else ", ") + line.rstrip("\n"))
+                    first = False
+        if not first:
+            out.write("]}")
+            out.close()
+
+    with _parts(ordered.select("feature"), "text") as parts:
+        collection("ppi_consolidado.geojson", sorted(parts.glob("part-*")))
+    with _parts(ordered.select("grupo", "feature"), "text", by="grupo") as parts:
+        for group in sorted(parts.glob("grupo=*")):
+            collection(f"ppi_{group.name.partition('=')[2]}.geojson", sorted(group.glob("part-*")))
+    return sorted(written)
 
 
 def sha256_of(path: Path) -> str:
@@ -227,6 +285,38 @@ def write_dictionary(tables: Mapping[str, DataFrame], described: Mapping[str, Ma
     return [*written, folder / "DICCIONARIO.md"]
 
 
+def note_sections(gold: Gold, audit: Mapping, failed: Sequence[str], texts: Mapping[str, str]) -> list[tuple[str, str]]:
+    """The technical note's seven sections, computed from the published relations.
+
+    ``texts`` holds what no data can tell, such as the outcome of a privacy review, by section key; a section
+    without one says so. Lists are of snapshots and quarters, a catalogue's size.
+    """
+    panel, cuts = gold.int_ppi_observaciones_canonicas, gold.int_snapshot_canonico
+    bounds = cuts.agg(F.min("anio").alias("a"), F.max("anio").alias("b")).first()
+    spark = panel.sparkSession
+    grid = quarter_grid(spark, bounds["a"], bounds["b"]) if bounds["a"] is not None else cuts.select("anio", "trimestre").limit(0)
+    drops = seasonal_range(seasonal_drops(universe(panel, grid, "cve_cartera"))).first()
+    seasonal = f"De T4 a T1 el universo cambia entre {drops['min_pct']} % y {drops['max_pct']} %." if drops["min_pct"] is not None else "No hay dos cortes T4 y T1 seguidos."
+    feed = coverage_feed(gold.stg_snapshots, gold.dim_snapshot, cuts, panel)
+    cells = lambda rows: ", ".join(f"{r['anio']} T{r['trimestre']}" for r in rows.orderBy("anio", "trimestre").collect()) or "ninguno"
+    amounts = [c for c in gold.fct_ppi_observacion.columns if c.endswith("_real")]
+    shares = gold.fct_ppi_observacion.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in amounts]).first()
+    forms = []
+    for c in ("estatus_operacion", "descripcion_tipo_ppi"):
+        plain = F.regexp_replace(F.lower(F.col(c)), r"\s+", "")
+        r = gold.fct_ppi_observacion.where(F.col(c).isNotNull()).agg(F.countDistinct(c).alias("n"), F.countDistinct(plain).alias("m")).first()
+        forms.append(f"`{c}`: {r['n']} formas, {r['m']} sin distinguir mayúsculas ni espacios.")
+    return [
+        ("Evaluación de datos personales", texts.get("privacidad") or "Sin dictamen en la configuración del catálogo."),
+        ("Patrón estacional T4 a T1", seasonal + (" " + texts["estacional"] if texts.get("estacional") else "")),
+        ("Cortes con calidad conocida", f"Filas: {audit.get('filas')}; válidas: {audit.get('validas')}. Archivos excluidos: {', '.join(failed) or 'ninguno'}."),
+        ("Cobertura parcial del universo", "Cortes con un solo producto: " + cells(cuts.where("cobertura_parcial_del_universo").select("anio", "trimestre")) + "."),
+        ("Huecos históricos", "Trimestres sin datos: " + cells(feed.where("categoria IN ('hueco', 'corrupto')").select("anio", "trimestre")) + "."),
+        ("Deflactación", "; ".join(f"`{c}` con valor en {shares[c]} de {shares['n']} observaciones" for c in amounts) + "."),
+        ("Variantes de texto sin normalizar", " ".join(forms)),
+    ]
+
+
 def write_note(path: Path, title: str, sections: Iterable[tuple[str, str]], footer: str) -> Path:
     """A technical note in Markdown: numbered sections and a footer."""
     body = [f"# {title}", ""]

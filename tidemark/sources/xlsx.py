@@ -90,21 +90,24 @@ def header_of(content: bytes) -> list[str] | None:
     return distinct_names([c if c is not None else f"Unnamed: {i}" for i, c in enumerate(first)]) if first else None
 
 
-def scan_xlsx(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+def scan_xlsx(spark: SparkSession, paths: list[str], columns: list[str], file: str | None = None) -> DataFrame:
     """The first sheets of files of one known layout as text columns, missing values as null.
 
-    Bytes come through Spark's own binary reader, so any store that Spark reads will do.
+    Bytes come through Spark's own binary reader, so any store that Spark reads will do. ``file`` names a
+    further column for the file that a row comes from.
     """
     width = len(columns)
 
     def run(batches):
         for batch in batches:
-            for content in batch.column(0).to_pylist():
+            for content, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = rows_of(content)
                 next(rows, None)
                 cells = [(r + [None] * width)[:width] for r in rows if any(c is not None for c in r)]
                 if cells:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*cells, strict=True)], names=[f"c{i}" for i in range(width)])
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in zip(*cells, strict=True)], pa.array([name] * len(cells), pa.string())], names=[*[f"c{i}" for i in range(width)], "name"])
 
-    raw = spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, ", ".join(f"c{i} string" for i in range(width)))
-    return raw.select(*[missing_to_null(F.col(f"c{i}")).alias(c) for i, c in enumerate(columns)])
+    raw = spark.read.format("binaryFile").load(paths).select("content", F.substring_index("path", "/", -1).alias("name"))
+    raw = raw.mapInArrow(run, ", ".join([*[f"c{i} string" for i in range(width)], "name string"]))
+    origin = [F.col("name").alias(file)] if file else []
+    return raw.select(*origin, *[missing_to_null(F.col(f"c{i}")).alias(c) for i, c in enumerate(columns)])
