@@ -14,9 +14,9 @@ import yaml
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.cli import version_label
 from tidemark.functions.cleaning import clean_key, parse_number
 from tidemark.operators.checks import run_checks
+from tidemark.operators.feeds import version_label
 from tidemark.plans.gold import PUBLISHED, build_gold, gold_checks
 from tidemark.plans.silver import normalise, silver_schema, write_silver
 from tidemark.publish import package

@@ -63,15 +63,6 @@ def _grid(raw: Mapping) -> UrlGrid:
     )
 
 
-def version_label(snapshots) -> str:
-    """``2024T3`` of the newest quarter; the newest year without one, ``sin_version`` without either."""
-    newest = snapshots.where("trimestre IS NOT NULL").orderBy(F.col("anio").desc(), F.col("trimestre").desc()).limit(1).first()
-    if newest:
-        return f"{newest['anio']}T{newest['trimestre']}"
-    year = snapshots.agg(F.max("anio")).first()[0]
-    return str(year) if year else "sin_version"
-
-
 def _inputs(spark, args):
     registry = load_registry(args.registry)
     silver = files.read_silver(spark, f"{args.data}/silver/valid", silver_schema(registry.canonical_columns()))
@@ -145,7 +136,7 @@ def figures(spark, gold, out: Path) -> list[str]:
         "estatus_terminal": feeds.status_counts(gold.fct_ppi_ciclo_vida, "estatus_terminal_inferido").orderBy("estatus_terminal_inferido"),
         "sobrecosto_distribucion": feeds.histogram(gold.fct_ppi_ciclo_vida, "sobrecosto_pct", -100, 300, 20).orderBy("bin"),
     }
-    lines, empty = ["# Galería", "", f"Corte más reciente: {version_label(gold.dim_snapshot)}", ""], []
+    lines, empty = ["# Galería", "", f"Corte más reciente: {feeds.version_label(gold.dim_snapshot)}", ""], []
     for name, df in frames.items():
         df.coalesce(1).write.mode("overwrite").parquet(str(out / name))
         n = spark.read.parquet(str(out / name)).count()
@@ -160,7 +151,7 @@ def publish(spark, args) -> Path:
     """The package of one version; checksums come last, so they cover all of it."""
     data, tables = Path(args.data), _published(spark, args)
     config = package.load_catalogue_config(Path(args.catalogue))
-    folder = data / "publish" / (args.version or version_label(tables["dim_snapshot"]))
+    folder = data / "publish" / (args.version or feeds.version_label(tables["dim_snapshot"]))
     package.write_tables(tables, PUBLISHED, folder / "tabular")
     package.write_geojson(package.features(tables["fct_ppi_observacion"], tables["dim_snapshot"], tables["dim_ppi"]), folder / "geojson")
     manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))

@@ -87,3 +87,10 @@ def key_profile(df: DataFrame, key: str, pattern: str) -> DataFrame:
     )
 
 
+def version_label(snapshots: DataFrame) -> str:
+    """``2024T3`` of the newest quarter; the newest year without one, ``sin_version`` without either."""
+    newest = snapshots.where("trimestre IS NOT NULL").orderBy(F.col("anio").desc(), F.col("trimestre").desc()).limit(1).first()
+    if newest:
+        return f"{newest['anio']}T{newest['trimestre']}"
+    year = snapshots.agg(F.max("anio")).first()[0]
+    return str(year) if year else "sin_version"

@@ -7,10 +7,12 @@ none.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import cleaning, urls
 from tidemark.operators import checks, contract, coverage, feeds, panel
@@ -628,3 +630,148 @@ def url_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         special=(("raro.csv", 2017, 2),), auxiliary=("dicc.xlsx",),
     )
     return urls.candidate_urls(spark, grid)
+
+
+# --- files and relations: the readers, the staging and the marts over the same tables --------------------
+
+
+@query(
+    """SELECT o_orderkey, 'K' || lpad(o_custkey::VARCHAR, 9, '0') AS cve_cartera, year(o_orderdate)::DOUBLE AS anio, CASE WHEN o_orderkey % 9 <> 0 THEN (14 + o_orderkey % 18)::DOUBLE + 0.5 END AS latitud,
+  o_totalprice AS modificado, CASE WHEN o_orderkey % 7 <> 0 THEN date_trunc('month', o_orderdate)::DATE END AS fecha_inicio_cal_ff, (o_custkey % 25)::BIGINT AS id_ramo, o_orderstatus AS "OTRA",
+  NULL::DOUBLE AS avance_fisico, NULL::DOUBLE AS longitud, NULL::DOUBLE AS monto_total_inversion, (o_orderkey % 7 = 0)::INTEGER AS "_unparsed", 'S1' AS snapshot_id FROM orders"""
+)
+def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.silver import clean_rows
+
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    raw = table(spark, sf_dir, "orders").select(
+        k, F.concat(F.lit(" 'k"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("CLAVE"), F.year(d).cast("string").alias("ANIO"),
+        F.when(k % 9 == 0, "0").otherwise(F.concat((k % 18 + 14).cast("string"), F.lit(".5"))).alias("LAT"), F.format_number("o_totalprice", 2).alias("TOTAL"),
+        F.when(k % 7 == 0, "pendiente").otherwise(F.date_format(d, "yyyy-MM-dd HH:mm:ss")).alias("INICIO"), (F.col("o_custkey") % 25).cast("string").alias("RAMO"), F.col("o_orderstatus").alias("OTRA"),
+    )
+    rename = {"CLAVE": "cve_cartera", "ANIO": "anio", "LAT": "latitud", "TOTAL": "modificado", "INICIO": "fecha_inicio_cal_ff", "RAMO": "id_ramo"}
+    return clean_rows(raw, rename, F.lit("S1"))
+
+
+@query(
+    """WITH m AS (SELECT 'S' || (o_orderkey % 500) AS snapshot_id, 'https://h/' || CASE o_orderkey % 4 WHEN 0 THEN 'consolidado' WHEN 1 THEN 'SeguimientoOPA' WHEN 2 THEN 'concluidos' ELSE 'x' END || o_orderkey || '.csv' AS url,
+    CASE o_orderkey % 3 WHEN 0 THEN 'vivo' WHEN 1 THEN 'espejo' ELSE 'wayback' END AS origen, o_orderdate::DATE AS fecha_descarga, CASE WHEN o_orderkey % 11 <> 0 THEN year(o_orderdate)::INTEGER END AS anio,
+    CASE WHEN o_orderkey % 5 <> 0 THEN quarter(o_orderdate)::INTEGER END AS trimestre, 'h' || o_orderkey % 5 AS header_hash, 's' || o_orderkey AS sha256, o_custkey::BIGINT AS bytes FROM orders)
+SELECT snapshot_id, url, origen, fecha_descarga, anio, trimestre, header_hash, sha256, bytes, CASE WHEN url ILIKE '%consolidado%' THEN 'consolidado' WHEN url ILIKE '%seguimiento%' THEN 'seguimiento'
+  WHEN url ILIKE '%concluido%' THEN 'concluido' WHEN trimestre IS NULL THEN 'anual_generico' ELSE 'otro' END AS producto
+FROM (SELECT *, row_number() OVER (PARTITION BY snapshot_id ORDER BY CASE origen WHEN 'vivo' THEN 1 WHEN 'espejo' THEN 2 ELSE 3 END, url) AS rn FROM m WHERE anio IS NOT NULL) WHERE rn = 1"""
+)
+def staged_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.gold import stage_snapshots
+
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    name = F.when(k % 4 == 0, "consolidado").when(k % 4 == 1, "SeguimientoOPA").when(k % 4 == 2, "concluidos").otherwise("x")
+    cut = F.struct(null_if_divides(k, 11, F.year(d)).alias("anio"), null_if_divides(k, 5, F.quarter(d)).alias("trimestre"))
+    manifest = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("S"), (k % 500).cast("string")).alias("snapshot_id"), F.concat(F.lit("https://h/"), name, k.cast("string"), F.lit(".csv")).alias("url"),
+        F.when(k % 3 == 0, "vivo").when(k % 3 == 1, "espejo").otherwise("wayback").alias("origen"), F.date_format(d, "yyyy-MM-dd").alias("fecha_descarga"), cut.alias("corte_declarado"),
+        F.concat(F.lit("h"), (k % 5).cast("string")).alias("header_hash"), F.concat(F.lit("s"), k.cast("string")).alias("sha256"), F.col("o_custkey").cast("long").alias("bytes"),
+    )
+    return stage_snapshots(manifest)
+
+
+_MARTS = (
+    _RAW
+    + """, manifest AS (SELECT DISTINCT snapshot_id, anio, trimestre, 'https://h/' || CASE WHEN anio % 3 = 0 THEN 'Seguimiento' ELSE 'Consolidado' END || snapshot_id AS url FROM raw
+), silver AS (SELECT 'K' || cve AS cve_cartera, snapshot_id, modificado, avance AS avance_fisico, nombre AS nombre_ppi, estatus AS estatus_operacion, ramo::BIGINT AS id_ramo FROM raw WHERE trimestre <> 2)"""
+)
+
+
+def _marts(spark: SparkSession, sf_dir: str):
+    from tidemark.plans.gold import build_gold
+
+    raw = raw_panel(spark, sf_dir)
+    product = F.when(F.col("anio") % 3 == 0, "Seguimiento").otherwise("Consolidado")
+    manifest = raw.select("snapshot_id", "anio", "trimestre").distinct().select(
+        "snapshot_id", F.concat(F.lit("https://h/"), product, F.col("snapshot_id")).alias("url"), F.lit("vivo").alias("origen"), F.lit("2026-01-01").alias("fecha_descarga"),
+        F.struct("anio", "trimestre").alias("corte_declarado"), F.lit("h").alias("header_hash"), F.lit("s").alias("sha256"), F.lit(1).cast("long").alias("bytes"),
+    )
+    silver = raw.where("trimestre != 2").select(
+        F.concat(F.lit("K"), F.col("cve").cast("string")).alias("cve_cartera"), "snapshot_id", "modificado", F.col("avance").alias("avance_fisico"), F.col("nombre").alias("nombre_ppi"),
+        F.col("estatus").alias("estatus_operacion"), F.col("ramo").cast("long").alias("id_ramo"), F.col("anio").cast("double").alias("anio"),
+    )
+    return build_gold(silver, manifest, spark.createDataFrame([], "anio INT, trimestre INT, inpc DOUBLE, anio_base INT"))
+
+
+@query(
+    f"""WITH {_MARTS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY cve_cartera, snapshot_id ORDER BY modificado DESC NULLS LAST, nombre_ppi NULLS LAST, estatus_operacion NULLS FIRST) AS rn FROM silver)
+SELECT cve_cartera, snapshot_id, n_registros_agregados, r.modificado, avance_fisico, nombre_ppi, estatus_operacion, id_ramo, anio, trimestre, anio * 10 + trimestre AS orden_corte, anio * 4 + trimestre AS indice_trimestre, anio % 3 = 0 AS cobertura_parcial_del_universo
+FROM (SELECT cve_cartera, snapshot_id, count(*) AS n_registros_agregados, sum(modificado::DECIMAL(28,6))::DOUBLE AS modificado, max(avance_fisico) AS avance_fisico, max(nombre_ppi) FILTER (WHERE rn = 1) AS nombre_ppi,
+  max(estatus_operacion) FILTER (WHERE rn = 1) AS estatus_operacion, min(id_ramo) AS id_ramo FROM ranked GROUP BY ALL) r JOIN manifest USING (snapshot_id)"""
+)
+def gold_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ("cve_cartera", "snapshot_id", "n_registros_agregados", "modificado", "avance_fisico", "nombre_ppi", "estatus_operacion", "id_ramo", "anio", "trimestre", "orden_corte", "indice_trimestre", "cobertura_parcial_del_universo")
+    return _marts(spark, sf_dir).int_ppi_observaciones_canonicas.select(*own)
+
+
+@query(
+    f"""WITH {_MARTS} SELECT m.snapshot_id, anio, trimestre, 'vivo' AS origen, DATE '2026-01-01' AS fecha_descarga, url, 's' AS sha256, 1::BIGINT AS bytes, coalesce(n, 0) AS n_observaciones, coalesce(k, 0) AS n_ppi,
+  CASE WHEN n IS NULL THEN 'excluido_de_silver' ELSE 'normalizado' END AS estado FROM manifest m LEFT JOIN (SELECT snapshot_id, count(*) AS n, count(DISTINCT cve_cartera) AS k FROM silver GROUP BY 1) USING (snapshot_id)"""
+)
+def gold_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _marts(spark, sf_dir).dim_snapshot
+
+
+@query(
+    """SELECT s_suppkey::VARCHAR AS "S_KEY", s_name || ', "x"' || chr(10) || 'y' AS "S NAME", CASE WHEN s_suppkey % 3 <> 0 THEN s_nationkey::VARCHAR END AS "S.1" FROM supplier"""
+)
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text rows written as CSV and scanned again under their layout; ``NA`` comes back as null."""
+    from tidemark.session import checkpoint_root
+    from tidemark.sources.files import scan_csv
+
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(
+        k.cast("string").alias("a"), F.concat("s_name", F.lit(', "x"\ny')).alias("b"), F.when(k % 3 == 0, "NA").otherwise(F.col("s_nationkey").cast("string")).alias("c")
+    )
+    path = f"{checkpoint_root(spark)}/tidemark/round-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("sep", ";").option("escape", '"').option("quoteAll", True).csv(path)
+    return scan_csv(spark, path, ["S_KEY", "S NAME", "S.1"], ";")
+
+
+@query("SELECT p_partkey, p_name, NULL::DOUBLE AS falta FROM part")
+def read_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.files import read_silver
+
+    return read_silver(spark, f"{sf_dir}/part.parquet", T.StructType([T.StructField("falta", T.DoubleType()), *[f for f in table(spark, sf_dir, "part").schema if f.name in ("p_partkey", "p_name")]]))
+
+
+_CLASSIFIED = f"""SELECT page_id, url, CASE page_id % 8 WHEN 0 THEN 2016 WHEN 1 THEN 2016 WHEN 2 THEN 2019 WHEN 3 THEN 2022 WHEN 4 THEN 2021 WHEN 5 THEN 2015 WHEN 6 THEN 2020 END AS anio,
+  CASE page_id % 8 WHEN 0 THEN (page_id % 4 + 1)::INTEGER WHEN 1 THEN (page_id % 4 + 1)::INTEGER WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 6 THEN 1 END AS trimestre,
+  CASE page_id % 8 WHEN 0 THEN 'trimestral_numerico' WHEN 1 THEN 'trimestral_numerico' WHEN 2 THEN 'trimestral_ordinal' WHEN 3 THEN 'trimestral_nuevo' WHEN 4 THEN 'anual_generico' WHEN 5 THEN 'anual_generico_antiguo' WHEN 6 THEN 'trimestral_nuevo' ELSE 'no_reconocido' END AS patron,
+  CASE WHEN page_id % 8 IN (1, 2) THEN 'xlsx' WHEN page_id % 8 < 7 THEN 'csv' END AS ext FROM ({_URLS})"""
+
+
+@query(
+    f"""SELECT 'wayback' AS fuente, 'https://web.archive.org/web/2020' || lpad(page_id::VARCHAR, 10, '0') || 'id_/' || url AS url, anio, trimestre, patron, TRUE AS existe, '2020' || lpad(page_id::VARCHAR, 10, '0') AS wayback_timestamp FROM ({_CLASSIFIED})"""
+)
+def archive_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.discovery import archive_probes
+
+    stamp = F.concat(F.lit("2020"), F.lpad(F.col("page_id").cast("string"), 10, "0"))
+    return archive_probes(_urls(spark, sf_dir).select(stamp.alias("timestamp"), F.col("url").alias("original")))
+
+
+@query(
+    f"""SELECT 'vivo' AS fuente, url || '?p=' || page_id AS url, anio, trimestre, TRUE AS existe, NULL::VARCHAR AS wayback_timestamp, ext FROM ({_CLASSIFIED})
+WHERE page_id % 5 <> 0 AND ext IS NOT NULL AND page_id % 3 <> 0"""
+)
+def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.discovery import to_ingest
+
+    k = F.col("page_id")
+    rows = _urls(spark, sf_dir).withColumn("c", urls.classify_url(F.col("url"))).select(k, F.concat("url", F.lit("?p="), k.cast("string")).alias("url"), "c.anio", "c.trimestre")
+    probes = rows.select(F.lit("vivo").alias("fuente"), "url", "anio", "trimestre", (k % 5 != 0).alias("existe"))
+    return to_ingest(probes, rows.where(k % 3 == 0).select("url", F.struct("anio", "trimestre").alias("corte_declarado")))
+
+
+@query(f"WITH {_RAW} SELECT anio || 'T' || trimestre AS version FROM raw ORDER BY raw.anio DESC, raw.trimestre DESC LIMIT 1")
+def version_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.feeds import version_label
+
+    return spark.createDataFrame([(version_label(raw_panel(spark, sf_dir).select("anio", "trimestre")),)], "version STRING")
