@@ -20,7 +20,7 @@ from tidemark.session import checkpoint_root
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-#: Files of a scratch table for each core at most, and rows of an Arrow batch, whose texts may be long.
+#: Files for each core of a scratch table of narrow rows, and rows of an Arrow batch, whose texts may be long.
 FILES_A_CORE, BATCH_ROWS = 8, 1000
 
 
@@ -43,10 +43,12 @@ class Scratch:
         self.spark, self.root = spark, f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
         atexit.register(self._sweep)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """``df``, written and read again; many small partitions become a few files for each core."""
+    def table(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
+        """``df``, written and read again; with ``few``, for narrow rows, into a few files for each core."""
         path = f"{self.root}/{name}"
-        df.coalesce(max(FILES_A_CORE * self.spark.sparkContext.defaultParallelism, 32)).write.parquet(path)
+        if few:
+            df = df.coalesce(max(FILES_A_CORE * self.spark.sparkContext.defaultParallelism, 32))
+        df.write.parquet(path)
         # a written column is nullable, whatever the frame said
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
         return self.spark.read.schema(schema).parquet(path)

@@ -53,11 +53,11 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
     """
     a, b = edges.columns
     edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a != b").distinct()
-    now = scratch.table(edges, f"{name}-0")
+    now = scratch.table(edges, f"{name}-0", few=True)
     state, step = _state(now), 0
     while state[0]:
         step += 1
-        now = scratch.table(_small_star(_large_star(now)), f"{name}-{step}")
+        now = scratch.table(_small_star(_large_star(now)), f"{name}-{step}", few=True)
         scratch.drop(f"{name}-{step - 1}")
         last, state = state, _state(now)
         if state == last:

@@ -169,7 +169,7 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
         "cid", "low", "tree", F.expr(f"substring(label, tree * {step} + 1, {width})").alias("own")
     )
     tries = tries.withColumn("node", F.xxhash64("tree", "own"))
-    hot = scratch.table(tries.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NODE), "hot-nodes")
+    hot = scratch.table(tries.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NODE), "hot-nodes", few=True)
     n_hot = hot.count()
     tries = tries.withColumn("side", F.lit(0).cast("byte"))
     if n_hot:
@@ -257,7 +257,7 @@ def _verify(documents: DataFrame, classes: DataFrame, clusters: DataFrame, scrat
     """(cid, root, links, whole): links of a class found in a block pair and its least linked class there."""
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     members = clusters.join(sizes, "root").join(classes.select(F.col("cid").alias("node"), "rep", "copies"), "node")
-    members = scratch.table(members.select(F.col("node").alias("cid"), "root", "rep", "copies", F.ceil(F.col("n") / BLOCK).cast("int").alias("g")), "members")
+    members = scratch.table(members.select(F.col("node").alias("cid"), "root", "rep", "copies", F.ceil(F.col("n") / BLOCK).cast("int").alias("g")), "members", few=True)
     side = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
     own = F.pmod(F.xxhash64("cid"), F.col("g")).cast("int")
     rows = (
@@ -341,7 +341,7 @@ def _grouped(documents: DataFrame, digest: Column, scratch: Scratch) -> tuple[Da
     classes = scratch.table(classes, "classes")
     edges = scratch.table(_candidates(classes, scratch), "candidates")
     scratch.drop("hot-nodes")
-    clusters = scratch.table(connected_components(edges, scratch, "clusters"), "clusters")
+    clusters = scratch.table(connected_components(edges, scratch, "clusters"), "clusters", few=True)
     scratch.drop("candidates")
     found = scratch.table(_verify(documents, classes, clusters, scratch), "links")
     scratch.drop("clusters", "members")
@@ -390,7 +390,7 @@ def one_of_each_group(documents: DataFrame) -> DataFrame:
     rows = sketched.select("doc_id", "digest", "cid").join(known, F.col("cid") == F.col("_cid")).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_text"), first.alias("first"))
     # the rows that go are fewer than those that stay
     marked = rows.groupBy("_id", "_text").agg(F.bool_or("first").alias("first"), F.count(F.lit(1)).alias("n")).where("NOT first OR n > 1")
-    marked = scratch.table(marked, "marked")
+    marked = scratch.table(marked, "marked", few=True)
     sizes = marked.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("first"), 1)).alias("twice")).first()
 
     def matched(marked: DataFrame, how: str) -> DataFrame:

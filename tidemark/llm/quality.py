@@ -175,7 +175,7 @@ def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, d
     chosen = calibrate(measured.where(~F.col("base_failed")).join(held, "doc_id"), risk, delta)
     # one row per language with a map rule -> cutoff, bounded by the number of languages
     cuts = chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
-    cuts = scratch.table(cuts, "cutoffs")
+    cuts = scratch.table(cuts, "cutoffs", few=True)
     judged = measured.join(F.broadcast(cuts), "stratum", "left")
     over = F.lit(False)
     for rule in CUTOFFS:
@@ -199,6 +199,6 @@ def without_rejected(documents: DataFrame, labels: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", "text", "lang", digest().alias("_digest"))
     judged = quality_rules(rows, labels, carry=("_digest",))
     scratch = Scratch(documents.sparkSession, "quality-rejected")
-    rejected = scratch.table(judged.where("NOT kept").select(F.col("doc_id").alias("_id"), "_digest").distinct(), "rejected")
+    rejected = scratch.table(judged.where("NOT kept").select(F.col("doc_id").alias("_id"), "_digest").distinct(), "rejected", few=True)
     side = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
     return documents.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest() == F.col("_digest")), "left_anti")

@@ -364,7 +364,7 @@ def find_repeats(documents: DataFrame, scratch: Scratch, width: int = WIDTH) ->
     one = suspects.groupBy("anchor", "context").agg(F.sum("n").alias("n"), F.min(F.struct("digest", "rep", "first", "windows", "off")).alias("at"))
     one = scratch.table(one.select("anchor", "context", (F.col("n") > 1).alias("again"), "at.*"), "contexts")
     load = one.groupBy("anchor").agg(F.sum(_bytes("again", width)).alias("bytes"))
-    hot = scratch.table(load.where(F.col("bytes") > HOT), "hot-anchors")
+    hot = scratch.table(load.where(F.col("bytes") > HOT), "hot-anchors", few=True)
     total, heat = one.agg(F.sum(_bytes("again", width))).first()[0] or 0, hot.agg(F.sum("bytes")).first()[0] or 0
 
     def bodies(contexts: DataFrame, name: str) -> DataFrame:
