@@ -23,7 +23,7 @@ WITH RECURSIVE crc_table AS (
   SELECT rid, b AS shard, CASE WHEN j = 40 THEN 40 ELSE b END AS grown FROM walk WHERE j >= 40
 )
 SELECT doc_id, strlen(text) + 16 AS size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard, grown::INTEGER AS grown_shard,
-  row_number() OVER (PARTITION BY shard ORDER BY ('0x' || substr(h, 17, 8))::BIGINT % 1024, doc_id NULLS LAST, crc, strlen(text)) - 1 AS slot
+  row_number() OVER (PARTITION BY shard ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || crc::BIGINT || ':' || (strlen(text) + 16)), 17, 8))::BIGINT % 1024, doc_id NULLS LAST, crc, strlen(text)) - 1 AS slot
 FROM docs JOIN ends USING (rid) JOIN crc USING (rid)
 """
 

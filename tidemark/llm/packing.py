@@ -65,7 +65,7 @@ def pack(documents: DataFrame, buckets: int = 16, budget: int = 65536, length: C
     model. The driver reads one histogram row per non-empty bin, at most FINE * 64 whatever the corpus;
     boundaries are optimal among the longest lengths of these bins. A bucket's batch holds
     ``max(1, budget // boundary)`` rows, so only a text longer than the whole budget exceeds it, alone in
-    its batch. Batches follow a hash of the id inside the bucket, so a batch is no run of one source; only
+    its batch. Batches follow a hash of the row inside the bucket, so a batch is no run of one source; only
     a bucket's last batch is not full.
 
     Returned: doc_id, n_tokens, bucket, boundary, slot (gapless in the bucket), batch (gapless in the
@@ -73,7 +73,7 @@ def pack(documents: DataFrame, buckets: int = 16, budget: int = 65536, length: C
     slot each; an empty table gives an empty result; other columns are ignored.
     """
     n = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long") if length is None else length.cast("long")
-    rows = documents.select("doc_id", n.alias("n_tokens"))
+    rows = documents.select("doc_id", n.alias("n_tokens"), F.xxhash64("doc_id", "text").alias("_h"))
     bins = (
         rows.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
         .agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total"))
@@ -84,7 +84,8 @@ def pack(documents: DataFrame, buckets: int = 16, budget: int = 65536, length: C
     table = F.array(*[F.lit(b).cast("long") for b in bounds])
     bucket = F.size(F.filter(table, lambda b: b < F.col("n_tokens")))
     placed = rows.withColumn("bucket", bucket).withColumn("boundary", F.get(table, F.col("bucket")))
-    slots = gapless_index(placed, "bucket", F.xxhash64("doc_id"), [F.col("doc_id").asc_nulls_last(), F.col("n_tokens")], "slot", blocks=4096)
+    # blocks follow the whole row, so one id, or none, on many texts is no hot block
+    slots = gapless_index(placed, "bucket", F.col("_h"), [F.col("doc_id").asc_nulls_last(), F.col("n_tokens")], "slot", blocks=4096)
     per_batch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.greatest(F.col("boundary"), F.lit(1))))
     return slots.select(
         "doc_id", "n_tokens", "bucket", "boundary", "slot",

@@ -86,6 +86,8 @@ def shard_documents(documents: DataFrame, shards: int = 40, blocks: int = 1024)
         F.crc32(text.cast("binary")).alias("text_crc32"),
         jump_hash(F.col("doc_id"), shards).alias("_j"),
     ).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("_j.shard").alias("shard"), F.col("_j.grown").alias("grown_shard"))
-    rest = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 17, 8), 16, 10).cast("long")
+    # blocks follow the whole row, so one id, or none, on many texts is no hot block
+    named = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_crc32").cast("string"), F.col("size").cast("string"))
+    rest = F.conv(F.substring(F.md5(named), 17, 8), 16, 10).cast("long")
     out = gapless_index(rows, "shard", rest, [F.col("doc_id").asc_nulls_last(), F.col("text_crc32"), F.col("size")], "slot", blocks)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
