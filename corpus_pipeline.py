@@ -18,8 +18,8 @@ from tidemark.llm.repeats import without_repeats
 
 #: Least calibrated probability of the predicted language.
 MIN_LANGUAGE_SCORE = 0.4
-#: Bytes of a passage that may occur once only: fewer than fifty words take up in any alphabetic script.
-REPEATED_BYTES = 200
+#: Bytes of a passage that may occur once only: fifty words of four letters and a space.
+REPEATED_BYTES = 250
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
