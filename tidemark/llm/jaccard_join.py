@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, mix64, word_hashes
+from tidemark.llm.common import Scratch, holds, members, mix64, word_hashes
 from tidemark.llm.components import connected_components, local_roots
 
 #: Words in a shingle, and the similarity as a fraction: links have intersection / union >= 4 / 5.
@@ -32,7 +32,7 @@ HASHES = TREES * DEPTH
 AGREE = 80
 #: Members of a trie node, and of a cluster, that one task compares at a time.
 NODE, BLOCK = 1024, 512
-#: Rows up to which a table of representatives is broadcast; beyond, it is joined by a shuffle.
+#: Large trie nodes up to which their table is broadcast, 3 MB; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 _rng = np.random.default_rng(20240607)
@@ -86,6 +86,11 @@ def _digest() -> Column:
     return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
+def _named(column: str) -> Column:
+    """An id as a key that is never null."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
 def _sketch(documents: DataFrame, digest: Column) -> DataFrame:
     """doc_id, digest, cid (the class), label (the tries' labels) and low (a byte per hash); no class without words."""
 
@@ -256,13 +261,14 @@ def verified_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray
 def _verify(documents: DataFrame, classes: DataFrame, clusters: DataFrame, scratch: Scratch) -> DataFrame:
     """(cid, root, links, whole): links of a class found in a block pair and its least linked class there."""
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = clusters.join(sizes, "root").join(classes.select(F.col("cid").alias("node"), "rep", "copies"), "node")
-    members = scratch.table(members.select(F.col("node").alias("cid"), "root", "rep", "copies", F.ceil(F.col("n") / BLOCK).cast("int").alias("g")), "members", few=True)
-    side = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
+    found = clusters.join(sizes, "root").join(classes.select(F.col("cid").alias("node"), "rep", "copies"), "node")
+    found = scratch.table(found.select(F.col("node").alias("cid"), "root", "rep", "copies", F.ceil(F.col("n") / BLOCK).cast("int").alias("g"), _named("rep").alias("named")), "members", few=True)
     own = F.pmod(F.xxhash64("cid"), F.col("g")).cast("int")
+    # hardly any text but the members' gets past the filter, so those alone are shuffled
+    texts = holds(documents.select(F.col("doc_id").alias("_id"), "text", _named("doc_id").alias("_named")), "_named", members(found, "named"))
     rows = (
-        documents.select(F.col("doc_id").alias("_id"), "text")
-        .join(side, F.col("_id").eqNullSafe(F.col("rep")))
+        texts.where("_held").drop("_held", "_named")
+        .join(found.drop("named").hint("merge"), F.col("_id").eqNullSafe(F.col("rep")))
         .withColumn("own", own)
         .select("root", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"), "own", "g", "cid", "copies", "text")
         .select("root", F.least("own", "j").alias("bi"), F.greatest("own", "j").alias("bj"), "own", "g", "cid", "copies", "text")
@@ -391,14 +397,13 @@ def one_of_each_group(documents: DataFrame) -> DataFrame:
     # the rows that go are fewer than those that stay
     marked = rows.groupBy("_id", "_text").agg(F.bool_or("first").alias("first"), F.count(F.lit(1)).alias("n")).where("NOT first OR n > 1")
     marked = scratch.table(marked, "marked", few=True)
-    sizes = marked.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("first"), 1)).alias("twice")).first()
-
-    def matched(marked: DataFrame, how: str) -> DataFrame:
-        side = F.broadcast(marked) if sizes["n"] <= BROADCAST_ROWS else marked
-        return documents.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (_digest() == F.col("_text")), how)
-
-    kept = matched(marked.select("_id", "_text"), "left_anti")
-    if not sizes["twice"]:
+    twice = not marked.where("first").isEmpty()
+    told = holds(documents.withColumn("_key", _digest()), "_key", members(marked, "_text"))
+    rest = told.where("NOT _held").select(documents.columns)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
+    doubtful = told.where("_held").drop("_held")
+    kept = rest.union(doubtful.join(marked.select("_id", "_text").hint("merge"), same, "left_anti").select(documents.columns))
+    if not twice:
         return kept
-    once = matched(marked.where("first").select("_id", "_text"), "left_semi").withColumn("_text", _digest()).dropDuplicates(["doc_id", "_text"])
-    return kept.union(once.drop("_text"))
+    once = doubtful.join(marked.where("first").select("_id", "_text").hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    return kept.union(once.select(documents.columns))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Scratch, let, word_array
+from tidemark.llm.common import Scratch, holds, let, members, word_array
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -186,19 +186,17 @@ def quality_rules(documents: DataFrame, labels: DataFrame, risk: float = RISK, d
     )
 
 
-#: Rejected rows up to which they are broadcast; beyond, they are joined by a shuffle.
-BROADCAST_ROWS = 200_000
-
-
 def without_rejected(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents less the rows that the rules reject, all columns in place.
 
-    A row is told by its id and its text's digest, so rows that share an id are judged each for itself.
+    A row is told by its id and its text's digest, so rows that share an id are judged each for itself. Rows
+    that a filter of the rejected digests surely does not hold stay without being shuffled.
     """
     digest = lambda: F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     rows = documents.select("doc_id", "text", "lang", digest().alias("_digest"))
     judged = quality_rules(rows, labels, carry=("_digest",))
     scratch = Scratch(documents.sparkSession, "quality-rejected")
     rejected = scratch.table(judged.where("NOT kept").select(F.col("doc_id").alias("_id"), "_digest").distinct(), "rejected", few=True)
-    side = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
-    return documents.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest() == F.col("_digest")), "left_anti")
+    told = holds(documents.withColumn("_key", digest()), "_key", members(rejected, "_digest"))
+    doubtful = told.where("_held").join(rejected.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_digest")), "left_anti")
+    return told.where("NOT _held").select(documents.columns).union(doubtful.select(documents.columns))
