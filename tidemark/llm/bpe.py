@@ -221,15 +221,26 @@ def bpe_digests(documents: DataFrame, ranks_path: str, pattern: str) -> DataFram
         if (path, pattern) not in _REPLAYS:
             _REPLAYS[path, pattern] = Replay(ranks, pattern)
         replay = _REPLAYS[path, pattern]
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+
+        def encoded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            texts = [t or "" for b in held for t in b.column(1).to_pylist()]
             counts, ids_sha, decoded_sha = [], [], []
             for a, b in _slices([len(t) for t in texts], CHUNK):
                 for ids in replay.encode_all(texts[a:b]):
                     counts.append(len(ids))
                     ids_sha.append(hashlib.sha256(replay.spell(ids)).hexdigest())
                     decoded_sha.append(hashlib.sha256(replay.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            own = pa.chunked_array([b.column(0) for b in held]).combine_chunks()
+            return pa.RecordBatch.from_arrays([own, pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:  # replayed together, whatever the session's batches are
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= CHUNK:
+                yield encoded(held)
+                held = []
+        if held:
+            yield encoded(held)
 
     schema = T.StructType([documents.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     return documents.select("doc_id", "text").mapInArrow(run, schema)

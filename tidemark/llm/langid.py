@@ -46,14 +46,15 @@ def ngram_counts(text: str) -> np.ndarray | None:
         seen = seen or bool(letter.any())
         c = np.where(letter, c, np.uint32(32))
         c = c[letter | np.concatenate([[True], letter[:-1]])]
-        skip = 2 if at else 0
+        skip, found = 2 if at else 0, []
         for n in ORDERS:
             h = np.full(max(len(c) - n + 1, 0), n, np.uint32)
             for k in range(n):
                 h = (h ^ c[k : k + len(h)]) * np.uint32(0x01000193) + np.uint32(0x9E3779B9 * n % (1 << 32))
             h ^= h >> np.uint32(15)
             h *= np.uint32(0x2C1B3C6D)
-            counts += np.bincount((h >> np.uint32(16))[max(0, skip - n + 1) :], minlength=BUCKETS)
+            found.append((h >> np.uint32(16))[max(0, skip - n + 1) :])
+        counts += np.bincount(np.concatenate(found), minlength=BUCKETS)
     return counts if seen else None
 
 
