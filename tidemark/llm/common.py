@@ -81,7 +81,7 @@ def word_array(text: Column) -> Column:
 
 
 #: Digests up to which a filter is made, 16 bits for each: 64 MB at most to broadcast.
-FILTERED = 1 << 25
+FILTERED = 1 << 24
 
 
 def members(table: DataFrame, key: str) -> tuple[DataFrame, int] | None:

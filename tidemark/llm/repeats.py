@@ -277,10 +277,12 @@ def _split(hot: DataFrame, scratch: Scratch, width: int) -> DataFrame:
             F.unhex(F.md5(F.concat(F.concat_ws(",", "low", "high", F.lit("")).cast("binary"), held))).alias("key"), part.alias("body"),
         ).withColumn("context", F.unhex(F.md5("body")))
         each = scratch.table(each, f"halves-{level}")
+        scratch.table(each.select("key", "context", "of_key", "of_context", "shift", "anchor"), f"where-{level}")
         found = each.groupBy("key", "context").agg(
             *[F.any_value(c).alias(c) for c in ("anchor", "off", "windows", "low", "high", "body")], (F.sum(F.when(F.col("again"), 2).otherwise(1)) > 1).alias("again")
         )
         found = scratch.table(found, f"parts-{level}")
+        scratch.drop(f"halves-{level}", f"again-{level - 1}")
         load = found.groupBy("key").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n"), F.sum(_bytes("again", width)).alias("bytes"), F.max("high").alias("h"), F.max("low").alias("l"))
         load = scratch.table(load.where("n > 1").select("key", "bytes", ((F.col("bytes") > HOT) & (F.col("l") < F.col("h"))).alias("hot")), f"load-{level}")
         kept = found.join(load.select(F.col("key").alias("_key"), "hot"), F.col("key") == F.col("_key")).drop("_key")
@@ -289,10 +291,11 @@ def _split(hot: DataFrame, scratch: Scratch, width: int) -> DataFrame:
         if load.where("hot").isEmpty():
             break
         now = scratch.table(kept.where("hot").drop("hot"), f"again-{level}")
+        scratch.drop(f"parts-{level}", f"load-{level}")
     runs = None
     for k in range(level, 0, -1):
         own = decided[k - 1] if runs is None else decided[k - 1].union(runs)
-        where = scratch.spark.read.parquet(f"{scratch.root}/halves-{k}").select("key", "context", "of_key", "of_context", "shift", "anchor")
+        where = scratch.spark.read.parquet(f"{scratch.root}/where-{k}")
         moved = where.join(own, ["key", "context"]).select("anchor", "of_key", "of_context", F.transform("runs", lambda r: F.struct((r["begin"] + F.col("shift")).cast("int").alias("begin"), (r["end"] + F.col("shift")).cast("int").alias("end"))).alias("runs"))
         merged = moved.groupBy("of_key", "of_context").agg(F.any_value("anchor").alias("anchor"), F.flatten(F.collect_list("runs")).alias("runs"))
         merged = scratch.table(merged.withColumnsRenamed({"of_key": "key", "of_context": "context"}), f"up-{k}")
