@@ -112,9 +112,50 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM classes LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM edges GROUP BY a) USING (vec_id)
 """
 
+_AUDIT = r"""
+WITH marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), failed AS (
+  SELECT d.*, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE)] AS f
+  FROM docs d LEFT JOIN marks USING (doc_id)
+), cells AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic FROM failed GROUP BY part, f
+), letters(c) AS (VALUES (1), (2), (3), (4), (5)
+), orders AS (
+  SELECT [a.c, b.c, c.c, d.c, e.c] AS o FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), steps AS (
+  SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, c AS step, o[c] AS own, list_slice(o, 1, c - 1) AS before FROM orders, letters
+), outcomes AS (
+  SELECT part, filter_order, step, own, n, n_good, n_toxic, f[own] AS fails, coalesce(list_bool_or(list_transform(before, lambda x: f[x])), FALSE) AS gone, len(list_filter(f, lambda x: x)) = 1 AS alone FROM cells, steps
+), counts AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE gone AND fails), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE fails AND alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (WHERE NOT gone AND fails), 0)::BIGINT AS good_lost, coalesce(sum(n_toxic) FILTER (WHERE NOT gone AND fails), 0)::BIGINT AS toxic_lost
+  FROM outcomes GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM counts
+"""
+
+_WARC = """
+WITH payloads AS (
+  SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), named AS (
+  SELECT *, array_to_string(list_transform(range(8), lambda k: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 5 * k + 1, 5))::BIGINT >> s) & 31) + 1)::BIGINT, 1)), '')), '') AS payload_digest,
+    row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS r, first_value(page_id) OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS original
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN r > 1 THEN original END AS refers_to FROM named
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": _SHINGLES,
     "op2_quality_rules": _QUALITY.replace("{CRC}", _crc32("doc_id::VARCHAR")),
     "op8_embedding_dedup": _VECTORS,
     "op10_sharding": _SHARDING,
+    "op11_filter_audit": _AUDIT,
+    "op12_warc": _WARC,
 }

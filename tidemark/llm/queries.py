@@ -75,6 +75,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.filter_audit import audit_filters
+
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.warc import archive_pages
+
+    return archive_pages(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
