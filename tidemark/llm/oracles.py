@@ -151,6 +151,24 @@ WITH payloads AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN r > 1 THEN original END AS refers_to FROM named
 """
 
+_SEARCH = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), sizes AS (SELECT rid, doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0
+), whole AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM sizes
+), lengths AS (SELECT rid, doc_id, 25 + (75 * n * big_n) // big_l AS m FROM sizes, whole
+), terms AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(w) AS term FROM docs) GROUP BY rid, term
+), weights AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM terms, whole GROUP BY term, big_n
+), asked AS (
+  SELECT qid, item_id, term, count(*)::BIGINT AS qtf FROM (SELECT qid, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS qid, item_id, text FROM benchmark)) GROUP BY qid, item_id, term
+), scores AS (
+  SELECT qid, item_id, rid, doc_id, sum(qtf * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN terms USING (term) JOIN lengths USING (rid) GROUP BY qid, item_id, rid, doc_id
+)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_jaccard_join": _SHINGLES,
     "op2_quality_rules": _QUALITY.replace("{CRC}", _crc32("doc_id::VARCHAR")),
@@ -158,4 +176,5 @@ ORACLES: dict[str, str] = {
     "op10_sharding": _SHARDING,
     "op11_filter_audit": _AUDIT,
     "op12_warc": _WARC,
+    "op13_lexical_search": _SEARCH,
 }
