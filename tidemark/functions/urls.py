@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,3 +112,11 @@ def candidate_urls(spark: SparkSession, grid: UrlGrid) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out.withColumn("url", F.concat(F.lit(grid.base), "url"))
+
+
+def candidates_on(bases: DataFrame, grid: UrlGrid) -> DataFrame:
+    """The grid's URLs on every base in the first column of ``bases``; the grid, a configured list, comes along as an array."""
+    own = candidate_urls(bases.sparkSession, replace(grid, base="")).collect()
+    cells = F.array(*[F.struct(*[F.lit(r[c]).cast(kind).alias(c) for c, kind in (("url", "string"), ("anio", "int"), ("trimestre", "int"), ("patron", "string"))]) for r in own])
+    rows = bases.select(F.col(bases.columns[0]).alias("_base")).distinct().select("_base", F.explode(cells).alias("_c"))
+    return rows.select(F.concat("_base", "_c.url").alias("url"), "_c.anio", "_c.trimestre", "_c.patron")

@@ -109,11 +109,12 @@ def with_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def build_gold(silver: DataFrame, manifest: DataFrame, deflator: DataFrame, keep: Keep = lambda df, name: df) -> Gold:
+def build_gold(silver: DataFrame, manifest: DataFrame, deflator: DataFrame, keep: Keep = lambda df, name: df, partitions: int | None = None) -> Gold:
     """All relations, lazily; the snapshots are a file catalogue and small, so Spark broadcasts them by size.
 
     ``keep`` gets every relation with its name before others are built on it and may write it and give back
-    what it reads; by default nothing is written. ``anio_corte`` of an observation is the row's own year, as published; ``anio_snapshot`` is the file's.
+    what it reads; by default nothing is written. ``partitions`` says into how many the key's rows are dealt
+    out, else Spark does. ``anio_corte`` of an observation is the row's own year, as published; ``anio_snapshot`` is the file's.
     """
     text = ("cve_cartera", "nombre_ppi", "descripcion_ramo", "descripcion_tipo_ppi", "descripcion_ur", "localizacion", "entidad_federativa", "estatus_operacion", "fase")
     types = {c: "string" for c in text} | {c: "double" for c in (*SUMS, "anio", "avance_fisico", "latitud", "longitud", "id_ur", "id_entidad_federativa", "anios_he")} | {"id_ramo": "long"}
@@ -122,7 +123,8 @@ def build_gold(silver: DataFrame, manifest: DataFrame, deflator: DataFrame, keep
     canonical = keep(canonical_snapshots(snapshots), "int_snapshot_canonico")
     own = snapshots.select("snapshot_id", F.col("anio").alias("anio_snapshot"), "trimestre", "producto")
     # the snapshots are a catalogue of files; one exchange by the key serves all that follows
-    base = silver.join(broadcast_if_small(own), "snapshot_id").repartition("cve_cartera")
+    base = silver.join(broadcast_if_small(own), "snapshot_id")
+    base = base.repartition(partitions, "cve_cartera") if partitions else base.repartition("cve_cartera")
     order = [descending("modificado"), *[ascending(c) for c in ("monto_total_inversion", "nombre_ppi", "localizacion", "entidad_federativa")]]
     dedup = collapse_grain(base, ["cve_cartera", "snapshot_id"], order, SUMS, ("avance_fisico",), ("anio", "anio_snapshot", "trimestre", "producto"), ATTRIBUTES)
     dedup = keep(dedup, "int_ppi_observaciones_dedup")

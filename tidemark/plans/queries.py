@@ -7,7 +7,6 @@ none.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import cleaning, urls
 from tidemark.operators import checks, contract, coverage, feeds, panel
 from tidemark.publish import package
+from tidemark.session import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,12 +82,14 @@ _COLLAPSED = (
 )
 
 
-def collapsed(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+def collapsed(spark: SparkSession, sf_dir: str, dealt: bool = True, parts: int | None = None) -> DataFrame:
     order = [panel.descending("modificado"), panel.ascending("orden")]
     # one exchange by the key serves the collapse and whatever compares a key's cuts afterwards; alone, the
     # collapse combines rows before its own
     raw = raw_panel(spark, sf_dir)
-    rows = panel.collapse_grain(raw.repartition("cve") if dealt else raw, ["cve", "snapshot_id"], order, ("modificado", "ejercido"), ("avance",), ("anio", "trimestre", "ramo"), ("nombre", "estatus"), MONEY)
+    if dealt:
+        raw = raw.repartition(parts, "cve") if parts else raw.repartition("cve")
+    rows = panel.collapse_grain(raw, ["cve", "snapshot_id"], order, ("modificado", "ejercido"), ("avance",), ("anio", "trimestre", "ramo"), ("nombre", "estatus"), MONEY)
     return rows.select(
         "*", cleaning.order_index(F.col("anio"), F.col("trimestre")).alias("orden_corte"), cleaning.linear_index(F.col("anio"), F.col("trimestre")).alias("indice_trimestre"),
         (F.col("anio") % 3 == 0).alias("parcial"),
@@ -161,13 +163,13 @@ FROM (SELECT *, lag(snapshot_id) OVER w AS snapshot_id_anterior, lag(indice_trim
   FROM panel WINDOW w AS (PARTITION BY cve ORDER BY orden_corte)) WHERE indice_trimestre_anterior IS NOT NULL"""
 
 
-def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel.deltas(collapsed(spark, sf_dir), "cve", "orden_corte", "indice_trimestre", ("modificado", "ejercido"), "avance", "estatus", "nombre", ("anio", "trimestre", "parcial"))
+def _deltas(rows: DataFrame) -> DataFrame:
+    return panel.deltas(rows, "cve", "orden_corte", "indice_trimestre", ("modificado", "ejercido"), "avance", "estatus", "nombre", ("anio", "trimestre", "parcial"))
 
 
 @query(f"WITH {_COLLAPSED} {_DELTA}")
 def panel_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _deltas(spark, sf_dir)
+    return _deltas(collapsed(spark, sf_dir))
 
 
 _VERSIONS = """changes AS (
@@ -180,13 +182,13 @@ _VERSIONS = """changes AS (
   FROM numbered GROUP BY cve, version_ppi)"""
 
 
-def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel.versions(collapsed(spark, sf_dir), "cve", "orden_corte", ("nombre", "estatus"), ("avance",))
+def _versions(rows: DataFrame) -> DataFrame:
+    return panel.versions(rows, "cve", "orden_corte", ("nombre", "estatus"), ("avance",))
 
 
 @query(f"WITH {_COLLAPSED}, {_VERSIONS} SELECT * FROM versions")
 def panel_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _versions(spark, sf_dir)
+    return _versions(collapsed(spark, sf_dir))
 
 
 _LIFE = """life AS (
@@ -201,14 +203,17 @@ _LIFE = """life AS (
     (SELECT max(orden_corte) AS valor FROM panel) f)"""
 
 
-def _life(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cuts = raw_panel(spark, sf_dir).select(cleaning.order_index(F.col("anio"), F.col("trimestre")).alias("orden_corte"))
-    return panel.life_cycle(collapsed(spark, sf_dir), cuts, "cve", "orden_corte", "indice_trimestre", "modificado", "avance", "estatus", "nombre", "ramo", "anio", "parcial")
+def _life(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    return panel.life_cycle(rows, cuts, "cve", "orden_corte", "indice_trimestre", "modificado", "avance", "estatus", "nombre", "ramo", "anio", "parcial")
+
+
+def _panel_life(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _life(collapsed(spark, sf_dir), raw_panel(spark, sf_dir).select(cleaning.order_index(F.col("anio"), F.col("trimestre")).alias("orden_corte")))
 
 
 @query(f"WITH {_COLLAPSED}, {_LIFE} SELECT * FROM life")
 def panel_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _life(spark, sf_dir)
+    return _panel_life(spark, sf_dir)
 
 
 @query(
@@ -216,18 +221,53 @@ def panel_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 LEFT JOIN versions v ON v.cve = o.cve AND o.orden_corte BETWEEN v.vigente_desde_corte AND v.vigente_hasta_corte"""
 )
 def panel_asof_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = collapsed(spark, sf_dir).select("cve", "snapshot_id", "orden_corte", "modificado", "nombre", "estatus")
-    return panel.as_of(obs, _versions(spark, sf_dir), "cve", "orden_corte", ("nombre", "estatus"))
+    rows = collapsed(spark, sf_dir)
+    return panel.as_of(rows.select("cve", "snapshot_id", "orden_corte", "modificado"), _versions(rows), "cve", "orden_corte", ("nombre", "estatus"))
+
+
+# the same over the panel as a bucketed table of the catalogue: what follows a key's rows needs no exchange
+
+
+def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.marts import save_table
+
+    space, buckets = Workspace(spark, "mart"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return save_table(collapsed(spark, sf_dir, parts=buckets), space.table("panel"), f"{space.path}/panel", buckets, ("cve", "orden_corte"))
+
+
+@query(f"WITH {_COLLAPSED} {_DELTA}")
+def mart_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _deltas(_mart(spark, sf_dir))
+
+
+@query(f"WITH {_COLLAPSED}, {_VERSIONS} SELECT * FROM versions")
+def mart_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _versions(_mart(spark, sf_dir))
+
+
+@query(f"WITH {_COLLAPSED}, {_LIFE} SELECT * FROM life")
+def mart_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _mart(spark, sf_dir)
+    return _life(rows, rows)
 
 
 @query(
-    f"""WITH {_RAW}, counts AS (SELECT snapshot_id, count(*) AS n_observaciones, count(DISTINCT cve) AS n_ppi FROM raw WHERE trimestre <> 2 GROUP BY snapshot_id)
+    f"""WITH {_COLLAPSED}, {_VERSIONS} SELECT o.cve, o.snapshot_id, o.orden_corte, o.modificado, v.nombre, v.estatus FROM panel o
+LEFT JOIN versions v ON v.cve = o.cve AND o.orden_corte BETWEEN v.vigente_desde_corte AND v.vigente_hasta_corte"""
+)
+def mart_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _mart(spark, sf_dir)
+    return panel.as_of(rows.select("cve", "snapshot_id", "orden_corte", "modificado"), _versions(rows), "cve", "orden_corte", ("nombre", "estatus"))
+
+
+@query(
+    f"""WITH {_RAW}, counts AS (SELECT snapshot_id, count(*) AS n_observaciones, count(DISTINCT cve) AS n_ppi FROM (SELECT cve, CASE WHEN trimestre <> 2 THEN snapshot_id END AS snapshot_id FROM raw) GROUP BY snapshot_id)
 SELECT s.snapshot_id, s.anio, s.trimestre, coalesce(n_observaciones, 0) AS n_observaciones, coalesce(n_ppi, 0) AS n_ppi, CASE WHEN c.snapshot_id IS NULL THEN 'excluido_de_silver' ELSE 'normalizado' END AS estado
 FROM (SELECT DISTINCT snapshot_id, anio, trimestre FROM raw) s LEFT JOIN counts c USING (snapshot_id)"""
 )
 def snapshot_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_panel(spark, sf_dir)
-    return panel.snapshot_dimension(raw.select("snapshot_id", "anio", "trimestre").distinct(), raw.where("trimestre != 2"), "cve", ("snapshot_id", "anio", "trimestre"))
+    return panel.snapshot_dimension(raw.select("snapshot_id", "anio", "trimestre").distinct(), raw.withColumn("snapshot_id", F.when(F.col("trimestre") != 2, F.col("snapshot_id"))), "cve", ("snapshot_id", "anio", "trimestre"))
 
 
 @query("SELECT n_nationkey::BIGINT AS id, n_name AS description, n_regionkey < 3 AS en_catalogo_oficial, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -424,7 +464,7 @@ def check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_COLLAPSED}, delta AS ({_DELTA}) SELECT cve, snapshot_id, avance, avance_anterior FROM delta WHERE avance < avance_anterior AND NOT (avance_decrecio AND cve % 2 = 0)")
 def check_progress_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _deltas(spark, sf_dir).withColumn("bandera", F.col("avance_decrecio") & (F.col("cve") % 2 == 0))
+    rows = _deltas(collapsed(spark, sf_dir)).withColumn("bandera", F.col("avance_decrecio") & (F.col("cve") % 2 == 0))
     return checks.unflagged_fall(rows, "avance", "avance_anterior", "bandera").select("cve", "snapshot_id", "avance", "avance_anterior")
 
 
@@ -447,7 +487,7 @@ def check_count_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PROBES = """probes AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'wayback' WHEN 1 THEN 'vivo' WHEN 2 THEN 'espejo' ELSE 'otra' END AS fuente, year(o_orderdate)::INTEGER AS anio,
     CASE WHEN o_orderkey % 5 <> 0 THEN quarter(o_orderdate)::INTEGER END AS trimestre, CASE WHEN o_orderkey % 5 <> 0 THEN 'trimestral_nuevo' ELSE 'anual_generico' END AS patron,
-    o_orderkey % 701 = 0 OR (year(o_orderdate) = 1997 AND quarter(o_orderdate) = 2) AS existe FROM orders WHERE year(o_orderdate) < 2000)"""
+    year(o_orderdate) < 2000 AND (o_orderkey % 701 = 0 OR (year(o_orderdate) = 1997 AND quarter(o_orderdate) = 2)) AS existe FROM orders)"""
 _CELLS = """seen AS (SELECT anio, trimestre, min(CASE fuente WHEN 'vivo' THEN 0 WHEN 'espejo' THEN 1 WHEN 'wayback' THEN 2 END) AS r FROM probes WHERE existe AND trimestre IS NOT NULL AND patron NOT IN ('anual_generico', 'anual_generico_antiguo') GROUP BY ALL
 ), matrix AS (SELECT g.anio, g.trimestre, CASE r WHEN 0 THEN 'vivo' WHEN 1 THEN 'espejo' WHEN 2 THEN 'wayback' ELSE 'hueco' END AS categoria
   FROM (SELECT a::INTEGER AS anio, q::INTEGER AS trimestre FROM range(1995, 2003) t(a), range(1, 5) u(q)) g LEFT JOIN seen USING (anio, trimestre))"""
@@ -455,9 +495,9 @@ _CELLS = """seen AS (SELECT anio, trimestre, min(CASE fuente WHEN 'vivo' THEN 0
 
 def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, y, q = F.col("o_orderkey"), F.year("o_orderdate"), F.quarter("o_orderdate")
-    return table(spark, sf_dir, "orders").where(y < 2000).select(
+    return table(spark, sf_dir, "orders").select(
         F.when(k % 4 == 0, "wayback").when(k % 4 == 1, "vivo").when(k % 4 == 2, "espejo").otherwise("otra").alias("fuente"), y.alias("anio"), F.when(k % 5 != 0, q).alias("trimestre"),
-        F.when(k % 5 != 0, "trimestral_nuevo").otherwise("anual_generico").alias("patron"), ((k % 701 == 0) | ((y == 1997) & (q == 2))).alias("existe"),
+        F.when(k % 5 != 0, "trimestral_nuevo").otherwise("anual_generico").alias("patron"), ((y < 2000) & ((k % 701 == 0) | ((y == 1997) & (q == 2)))).alias("existe"),
     )
 
 
@@ -513,11 +553,11 @@ def coverage_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _UNIVERSE = """universe AS (SELECT g.anio, g.trimestre, n_ppi FROM (SELECT a::INTEGER AS anio, q::INTEGER AS trimestre FROM range(1994, 2003) t(a), range(1, 5) u(q)) g
-  LEFT JOIN (SELECT anio, trimestre, count(DISTINCT cve) AS n_ppi FROM raw WHERE NOT (anio = 1997 AND trimestre = 3) GROUP BY ALL) USING (anio, trimestre))"""
+  LEFT JOIN (SELECT anio, CASE WHEN NOT (anio = 1997 AND trimestre = 3) THEN trimestre END AS trimestre, count(DISTINCT cve) AS n_ppi FROM raw GROUP BY ALL) USING (anio, trimestre))"""
 
 
 def _universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_panel(spark, sf_dir).where(~((F.col("anio") == 1997) & (F.col("trimestre") == 3)))
+    raw = raw_panel(spark, sf_dir).withColumn("trimestre", F.when(~((F.col("anio") == 1997) & (F.col("trimestre") == 3)), F.col("trimestre")))
     return feeds.universe(raw, coverage.quarter_grid(spark, 1994, 2002), "cve")
 
 
@@ -563,14 +603,14 @@ def latest_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_COLLAPSED}, {_LIFE} SELECT estatus_terminal_inferido, count(*) AS n FROM life GROUP BY 1")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.status_counts(_life(spark, sf_dir), "estatus_terminal_inferido")
+    return feeds.status_counts(_panel_life(spark, sf_dir), "estatus_terminal_inferido")
 
 
 @query(
     f"""WITH {_COLLAPSED}, {_LIFE} SELECT (CASE WHEN sobrecosto_pct BETWEEN -100 AND 300 THEN least(floor((sobrecosto_pct + 100) / 20), 19) ELSE -1 END)::BIGINT AS bin, count(*) AS n FROM life WHERE sobrecosto_pct IS NOT NULL GROUP BY 1"""
 )
 def histogram_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.histogram(_life(spark, sf_dir), "sobrecosto_pct", -100.0, 300.0, 20.0)
+    return feeds.histogram(_panel_life(spark, sf_dir), "sobrecosto_pct", -100.0, 300.0, 20.0)
 
 
 @query(
@@ -614,22 +654,28 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("cve_cartera"), "snapshot_id", F.when(k % 7 != 0, F.col("anio").cast("double")).alias("anio_corte"), F.col("trimestre").alias("trimestre_corte"),
         (k % 18 + F.lit(14.5)).cast("double").alias("latitud"), F.when(k % 9 != 0, F.lit(-99.5)).alias("longitud"),
     )
-    versions = _versions(spark, sf_dir).withColumnsRenamed({"cve": "cve_cartera", "nombre": "nombre_ppi"})
+    versions = _versions(p).withColumnsRenamed({"cve": "cve_cartera", "nombre": "nombre_ppi"})
     return package.features(obs, p.select("snapshot_id", "anio", "trimestre").distinct(), versions, ("cve_cartera", "nombre_ppi", "trimestre_corte"))
 
 
-@query(
-    """SELECT 'https://b/' || replace(replace(p, '{anio}', a::VARCHAR), '{n}', q::VARCHAR) AS url, a::INTEGER AS anio, q::INTEGER AS trimestre, 'trimestral_numerico' AS patron FROM (VALUES ('OPA/{anio}/p_0{n}t.csv')) t(p), range(2016, 2019) y(a), range(1, 5) u(q)
-UNION ALL SELECT 'https://b/OPA/' || a || '/r' || o || 'T_V' || v || '.xlsx', a::INTEGER, n, 'trimestral_ordinal' FROM range(2016, 2019) y(a), (VALUES ('1er', 1), ('2do', 2), ('3er', 3), ('4to', 4)) o(o, n), range(1, 3) w(v)
-UNION ALL SELECT 'https://b/DatosAbiertos/' || a || '.csv', a::INTEGER, NULL, 'anual_generico' FROM range(2016, 2019) y(a)
-UNION ALL SELECT 'https://b/raro.csv', 2017, 2, 'caso_especial' UNION ALL SELECT 'https://b/dicc.xlsx', NULL, NULL, 'auxiliar'"""
-)
+_GRID = """hosts AS (SELECT DISTINCT regexp_extract(url, '^https?://[^/]+/') AS b FROM pages WHERE regexp_matches(url, '^https?://[^/]+/')
+), y AS (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1))::INTEGER AS a FROM orders
+), cells AS (
+  SELECT 'OPA/' || a || '/p_0' || q || 't.csv' AS u, a, q::INTEGER AS q, 'trimestral_numerico' AS p FROM y, range(1, 5) t(q)
+  UNION ALL SELECT 'OPA/' || a || '/r' || o || 'T_V' || v || '.xlsx', a, n, 'trimestral_ordinal' FROM y, (VALUES ('1er', 1), ('2do', 2), ('3er', 3), ('4to', 4)) o(o, n), range(1, 3) w(v)
+  UNION ALL SELECT 'DatosAbiertos/' || a || '.csv', a, NULL, 'anual_generico' FROM y UNION ALL SELECT 'raro.csv', 2017, 2, 'caso_especial' UNION ALL SELECT 'dicc.xlsx', NULL, NULL, 'auxiliar')"""
+
+
+@query(f"WITH {_GRID} SELECT b || u AS url, a AS anio, q AS trimestre, p AS patron FROM hosts, cells")
 def url_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid on every host that serves a page, over the years that orders span."""
+    host = F.regexp_extract("url", "^https?://[^/]+/", 0)
+    years = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
     grid = urls.UrlGrid(
-        "https://b/", (2016, 2018), ("OPA/{anio}/p_0{n}t.csv", "OPA/{anio}/r{ord}T_V{v}.xlsx", "DatosAbiertos/{anio}.csv"), versions=(1, 2),
+        "", tuple(years), ("OPA/{anio}/p_0{n}t.csv", "OPA/{anio}/r{ord}T_V{v}.xlsx", "DatosAbiertos/{anio}.csv"), versions=(1, 2),
         special=(("raro.csv", 2017, 2),), auxiliary=("dicc.xlsx",),
     )
-    return urls.candidate_urls(spark, grid)
+    return urls.candidates_on(table(spark, sf_dir, "pages").select(host.alias("base")).where("base != ''"), grid)
 
 
 # --- files and relations: the readers, the staging and the marts over the same tables --------------------
@@ -678,7 +724,7 @@ def staged_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MARTS = (
     _RAW
     + """, manifest AS (SELECT DISTINCT snapshot_id, anio, trimestre, 'https://h/' || CASE WHEN anio % 3 = 0 THEN 'Seguimiento' ELSE 'Consolidado' END || snapshot_id AS url FROM raw
-), silver AS (SELECT 'K' || cve AS cve_cartera, snapshot_id, modificado, avance AS avance_fisico, nombre AS nombre_ppi, estatus AS estatus_operacion, ramo::BIGINT AS id_ramo FROM raw WHERE trimestre <> 2)"""
+), silver AS (SELECT 'K' || cve AS cve_cartera, CASE WHEN trimestre <> 2 THEN snapshot_id END AS snapshot_id, modificado, avance AS avance_fisico, nombre AS nombre_ppi, estatus AS estatus_operacion, ramo::BIGINT AS id_ramo FROM raw)"""
 )
 
 
@@ -691,8 +737,8 @@ def _marts(spark: SparkSession, sf_dir: str):
         "snapshot_id", F.concat(F.lit("https://h/"), product, F.col("snapshot_id")).alias("url"), F.lit("vivo").alias("origen"), F.lit("2026-01-01").alias("fecha_descarga"),
         F.struct("anio", "trimestre").alias("corte_declarado"), F.lit("h").alias("header_hash"), F.lit("s").alias("sha256"), F.lit(1).cast("long").alias("bytes"),
     )
-    silver = raw.where("trimestre != 2").select(
-        F.concat(F.lit("K"), F.col("cve").cast("string")).alias("cve_cartera"), "snapshot_id", "modificado", F.col("avance").alias("avance_fisico"), F.col("nombre").alias("nombre_ppi"),
+    silver = raw.select(
+        F.concat(F.lit("K"), F.col("cve").cast("string")).alias("cve_cartera"), F.when(F.col("trimestre") != 2, F.col("snapshot_id")).alias("snapshot_id"), "modificado", F.col("avance").alias("avance_fisico"), F.col("nombre").alias("nombre_ppi"),
         F.col("estatus").alias("estatus_operacion"), F.col("ramo").cast("long").alias("id_ramo"), F.col("anio").cast("double").alias("anio"),
     )
     return build_gold(silver, manifest, spark.createDataFrame([], "anio INT, trimestre INT, inpc DOUBLE, anio_base INT"))
@@ -722,14 +768,13 @@ def gold_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text rows written as CSV and scanned again under their layout; ``NA`` comes back as null."""
-    from tidemark.session import checkpoint_root
     from tidemark.sources.files import scan_csv
 
     k = F.col("s_suppkey")
     rows = table(spark, sf_dir, "supplier").select(
         k.cast("string").alias("a"), F.concat("s_name", F.lit(', "x"\ny')).alias("b"), F.when(k % 3 == 0, "NA").otherwise(F.col("s_nationkey").cast("string")).alias("c")
     )
-    path = f"{checkpoint_root(spark)}/tidemark/round-{uuid.uuid4().hex}"
+    path = Workspace(spark, "round").path
     rows.write.option("header", True).option("sep", ";").option("escape", '"').option("quoteAll", True).csv(path)
     return scan_csv(spark, path, ["S_KEY", "S NAME", "S.1"], ";")
 

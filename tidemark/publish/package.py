@@ -26,6 +26,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.coverage import coverage_feed, quarter_grid
 from tidemark.operators.feeds import seasonal_drops, seasonal_range, universe
+from tidemark.operators.panel import as_of
+from tidemark.operators.sizes import broadcast_if_small
 from tidemark.plans.gold import Gold
 from tidemark.session import checkpoint_root
 
@@ -132,9 +134,8 @@ def features(observations: DataFrame, snapshots: DataFrame, versions: DataFrame,
     """
     s = snapshots.select("snapshot_id", (F.col("anio") * 10 + F.col("trimestre")).alias("_cut"))
     own = [c for c in ("nombre_ppi", "descripcion_ur", "localizacion") if c in versions.columns]
-    v = versions.select(F.col("cve_cartera").alias("_k"), "vigente_desde_corte", "vigente_hasta_corte", *own)
-    placed = observations.where(F.col("latitud").isNotNull() & F.col("longitud").isNotNull()).drop(*own).join(s, "snapshot_id")
-    rows = placed.join(v, (F.col("cve_cartera") == F.col("_k")) & F.col("_cut").between(F.col("vigente_desde_corte"), F.col("vigente_hasta_corte")), "left")
+    placed = observations.where(F.col("latitud").isNotNull() & F.col("longitud").isNotNull()).drop(*own).join(broadcast_if_small(s), "snapshot_id")
+    rows = as_of(placed, versions, "cve_cartera", "_cut", own)
     kinds = dict(rows.dtypes)
     value = lambda c: F.when(~F.isnan(c), F.col(c)) if kinds[c] == "double" else F.col(c)
     feature = F.struct(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +47,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not _LOCAL_SCRATCH:
         _LOCAL_SCRATCH.append(tempfile.mkdtemp(prefix="tidemark-"))
     return _LOCAL_SCRATCH[0]
+
+
+class Workspace:
+    """A folder of its own below the shared one, and tables in it; both go when the driver ends, or by ``drop``."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.id = spark, f"{name}_{uuid.uuid4().hex}"
+        self.path, self.tables = f"{checkpoint_root(spark)}/tidemark/{self.id}", []
+        atexit.register(self._sweep)
+
+    def table(self, name: str) -> str:
+        """The name of a table of this workspace; its files belong below ``path``."""
+        self.tables.append(f"{name}_{self.id}")
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables = []
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _sweep(self) -> None:
+        try:
+            self.drop()
+        except Exception:  # the session is gone already; the folder's owner purges it
+            pass
