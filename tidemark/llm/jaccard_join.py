@@ -1,9 +1,11 @@
 """N-gram Jaccard join: a MinHash LSH forest proposes, exact verification decides.
 
 1. Every text becomes the set of its 5-word shingles; equal sets are one class from here on.
-2. A class has a label of DEPTH min-hashes in each of TREES prefix tries. Classes whose labels share the
-   SHORTEST prefix in a trie meet in one task, and all of them are compared, by all their min-hashes. A
-   similarity of 0.8 shares such a prefix in some trie with probability 0.998.
+2. A class has a label of DEPTH min-hashes in each of TREES prefix tries. Classes whose labels share a
+   prefix meet in one task, sorted by label; there prefixes are shortened from the whole label on, level by
+   level, and at each level what shares a prefix and is not connected yet is compared, by all min-hashes. A
+   class stops at the prefix length that finds TARGET of its partners at a similarity of 0.8, however near the
+   partners are that it has; one that has none by then is searched once more with prefixes of SHORTEST.
 3. Pairs whose min-hashes agree like those of similar sets connect their classes; connected classes form
    clusters, and inside a cluster every pair is verified exactly on the shingles. So a pair missed by the
    forest is still found if any path of similar texts joins it.
@@ -28,6 +30,8 @@ from tidemark.llm.components import connected_components, local_roots
 SHINGLE, SIMILAR = 5, (4, 5)
 TREES, DEPTH, SHORTEST = 16, 8, 5
 HASHES = TREES * DEPTH
+#: Share of the partners of a similarity of 0.8 that a class's last prefix length must find in some trie.
+TARGET = 0.99
 #: Equal hash bytes of 128 that make a candidate: five deviations below what a similarity of 0.8 gives.
 AGREE = 80
 #: Members of a trie node, and of a cluster, that one task compares at a time.
@@ -35,6 +39,9 @@ NODE, BLOCK = 1024, 512
 #: Large trie nodes up to which their table is broadcast, 3 MB; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
+#: Prefix lengths that all classes are searched with, longest first: 8, 7 and 6, the first to reach TARGET.
+LEVELS = tuple(d for d in range(DEPTH, SHORTEST, -1) if 1 - (1 - (SIMILAR[0] / SIMILAR[1]) ** (d + 1)) ** TREES < TARGET)
+
 _rng = np.random.default_rng(20240607)
 _MULTIPLY = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -123,26 +130,28 @@ def _alike(low: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56) >= AGREE
 
 
-def node_components(low: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+def node_components(low: np.ndarray, side: np.ndarray | None = None, root: np.ndarray | None = None, open_: np.ndarray | None = None) -> np.ndarray:
     """Least member of each member's component under the links of all pairs whose min-hashes agree.
 
-    With ``side``, only pairs of different sides are compared. A pair is skipped only if links found before
-    connect it, so a group of near copies costs about one comparison a member.
+    With ``side``, only pairs of different sides are compared; with ``open_``, only those of an open member.
+    ``root``: components known before. A pair is skipped only if links found before connect it, so a group of
+    near copies costs about one comparison a member.
     """
     m = len(low)
-    root, open_ = np.arange(m), np.ones(m, bool)
+    root = np.arange(m) if root is None else root
+    open_, alive = np.ones(m, bool) if open_ is None else open_.copy(), np.ones(m, bool)
     while True:
-        rest = np.flatnonzero(open_)
-        if len(rest) < 2 or (side is not None and (side[rest] == side[rest[0]]).all()):
+        rest, pool = np.flatnonzero(open_), np.flatnonzero(alive)
+        if not len(rest) or len(pool) < 2 or (side is not None and (side[pool] == side[pool[0]]).all()):
             return root
         count = np.bincount(root[rest], minlength=m)
         top = int(count.argmax())
-        own, other = (rest[root[rest] == top], rest[root[rest] != top]) if count[top] >= 32 else (rest, rest)
+        own, other = (rest[root[rest] == top], pool[root[pool] != top]) if count[top] >= 32 else (rest, pool)
         if side is not None:
             own, other = own[side[own] == side[own[0]]], other[side[other] != side[own[0]]]
         if len(other):
             own = own[:64]
-        open_[own] = False
+        open_[own] = alive[own] = False
         for at in range(0, len(other), 2048):
             part = other[at : at + 2048]
             for i, ok in zip(own, _alike(low, own, part), strict=True):
@@ -153,46 +162,64 @@ def node_components(low: np.ndarray, side: np.ndarray | None = None) -> np.ndarr
                     root = moved[root]
 
 
-def node_links(labels: np.ndarray, low: np.ndarray, side: np.ndarray | None = None) -> tuple[list[int], list[int]]:
-    """Links that connect the members of one trie node whose min-hashes agree.
+def node_links(labels: np.ndarray, low: np.ndarray, side: np.ndarray | None = None, open_: np.ndarray | None = None, levels: tuple[int, ...] = LEVELS) -> np.ndarray:
+    """Component of each member of one trie node: its least member that links lead to.
 
-    ``labels``: (m, SHORTEST or more) big-endian hashes as bytes, sorted. No member is left out for having a
-    partner already: only what links connect is not compared again.
+    ``labels``: (m, bytes) big-endian hashes as bytes, sorted. Prefixes are shortened level by level; at each,
+    the members of a prefix are compared as far as links do not connect them yet. No member is left out for
+    having a partner already.
+    """
+    m = len(labels)
+    root = np.arange(m)
+    for depth in levels:
+        prefix = labels[:, : 4 * depth]
+        change = np.flatnonzero((prefix[1:] != prefix[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *change.tolist()], [*change.tolist(), m], strict=True):
+            if b - a < 2 or (root[a:b] == root[a]).all():
+                continue
+            _, first, at = np.unique(root[a:b], return_index=True, return_inverse=True)
+            before = first[at]
+            after = node_components(low[a:b], None if side is None else side[a:b], before, None if open_ is None else open_[a:b])
+            joined = np.flatnonzero(after != before)
+            if len(joined):
+                # whole components move, members outside this prefix included
+                merged = np.array(local_roots(m, root[a + joined], root[a + after[joined]]))
+                root = merged[root]
+    return root
+
+
+def _candidates(classes: DataFrame, scratch: Scratch, levels: tuple[int, ...], name: str) -> DataFrame:
+    """Edges (a, b) that connect the classes of a trie node that look similar.
+
+    ``classes``: cid, label, low, and open, which says whose partners are sought. Nodes of one member, and
+    those of no open one, are known from a count of narrow rows; what the filter of all others rejects is not
+    shuffled with its hashes.
     """
-    prefix = labels[:, : 4 * SHORTEST]
-    change = np.flatnonzero((prefix[1:] != prefix[:-1]).any(axis=1)) + 1
-    left: list[int] = []
-    for a, b in zip([0, *change.tolist()], [*change.tolist(), len(labels)], strict=True):
-        left += (a + node_components(low[a:b], None if side is None else side[a:b])).tolist()
-    return left, list(range(len(labels)))
-
-
-def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) that connect the classes of a trie node that look similar."""
-    step, width = 4 * DEPTH, 4 * SHORTEST
-    tries = classes.select("cid", "low", "label", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
-        "cid", "low", "tree", F.expr(f"substring(label, tree * {step} + 1, {width})").alias("own")
+    step, width, shortest = 4 * DEPTH, 4 * levels[0], 4 * levels[-1]
+    tries = classes.select("cid", "low", "label", "open", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
+        "cid", "low", "open", F.xxhash64("tree", F.expr(f"substring(label, tree * {step} + 1, {shortest})")).alias("node"), F.expr(f"substring(label, tree * {step} + 1, {width})").alias("own")
     )
-    tries = tries.withColumn("node", F.xxhash64("tree", "own"))
-    hot = scratch.table(tries.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NODE), "hot-nodes", few=True)
+    nodes = tries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.bool_or("open").alias("asked")).where("n > 1 AND asked").select("node", "n")
+    nodes = scratch.table(nodes, f"{name}-nodes", few=True)
+    hot = nodes.where(F.col("n") > NODE)
     n_hot = hot.count()
-    tries = tries.withColumn("side", F.lit(0).cast("byte"))
+    tries = holds(tries, "node", members(nodes, "node")).where("_held").drop("_held").withColumn("side", F.lit(0).cast("byte"))
     if n_hot:
         # a large node is dealt out as pairs of blocks, so every two of its members meet in one task
         side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
         g = F.coalesce(F.ceil(F.col("n") / F.lit(NODE)), F.lit(1).cast("long"))
-        rows = tries.join(side, "node", "left").select("cid", "low", "own", "node", g.alias("g"), F.pmod(F.xxhash64("cid"), g).alias("block"))
+        rows = tries.join(side, "node", "left").select("cid", "low", "open", "own", "node", g.alias("g"), F.pmod(F.xxhash64("cid"), g).alias("block"))
         rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
         pair = F.xxhash64("node", F.least("block", "j"), F.greatest("block", "j"))
         tries = rows.select(
-            "cid", "low", "own", F.when(F.col("g") == 1, F.col("node")).otherwise(pair).alias("node"),
+            "cid", "low", "open", "own", F.when(F.col("g") == 1, F.col("node")).otherwise(pair).alias("node"),
             F.when(F.col("block") == F.col("j"), 0).when(F.col("block") < F.col("j"), 1).otherwise(2).cast("byte").alias("side"),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def links(node: np.ndarray, cid: np.ndarray, own: np.ndarray, low: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+        def links(node: np.ndarray, cid: np.ndarray, own: np.ndarray, low: np.ndarray, side: np.ndarray, open_: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero(node[1:] != node[:-1]) + 1
             begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(node)]])
             two = begin[end - begin == 2]
@@ -200,7 +227,7 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
             a, b = [cid[hit]], [cid[hit + 1]]
             many = np.flatnonzero(end - begin > 2)
             for s, t in zip(begin[many].tolist(), end[many].tolist(), strict=True):
-                roots = np.array(node_links(own[s:t], low[s:t], side[s:t] if side[s:t].all() else None)[0])
+                roots = node_links(own[s:t], low[s:t], side[s:t] if side[s:t].all() else None, open_[s:t], levels)
                 moved = np.flatnonzero(roots != np.arange(t - s))
                 a.append(cid[s + moved])
                 b.append(cid[s + roots[moved]])
@@ -210,7 +237,7 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
             if not len(batch):
                 continue
             node = batch.column(0).to_numpy()
-            part = (node, _fixed(batch.column(1), 16), _fixed(batch.column(2), width), _fixed(batch.column(3), HASHES), batch.column(4).to_numpy())
+            part = (node, _fixed(batch.column(1), 16), _fixed(batch.column(2), width), _fixed(batch.column(3), HASHES), batch.column(4).to_numpy(), batch.column(5).to_numpy(zero_copy_only=False))
             last = int(np.searchsorted(node != node[-1], False)) if node[0] == node[-1] else int(np.flatnonzero(node != node[-1])[-1]) + 1
             if last and held:  # the run that was open ends in this batch
                 held.append(tuple(p[:last] for p in part))
@@ -225,10 +252,21 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> DataFrame:
         if held:
             yield links(*(np.concatenate(p) for p in zip(*held, strict=True)))
 
-    dealt = tries.select("node", "cid", "own", "low", "side").repartition("node").sortWithinPartitions("node", "own", "cid")
+    dealt = tries.select("node", "cid", "own", "low", "side", "open").repartition("node").sortWithinPartitions("node", "own", "cid")
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
+def _forest(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Candidate edges of all classes: by prefixes down to the target recall, and shorter ones for those without a partner."""
+    near = scratch.table(_candidates(classes.withColumn("open", F.lit(True)), scratch, LEVELS, "near"), "near")
+    scratch.drop("near-nodes")
+    met = near.select(F.explode(F.array("a", "b")).alias("_met")).distinct()
+    asked = classes.join(met, F.col("cid") == F.col("_met"), "left").select("cid", "label", "low", F.col("_met").isNull().alias("open"))
+    far = scratch.table(_candidates(scratch.table(asked, "asked"), scratch, (SHORTEST,), "far"), "far")
+    scratch.drop("far-nodes", "asked")
+    return near.union(far)
+
+
 def verified_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Whether each member of ``first`` and each of ``second`` (indices into sets) are similar, exactly."""
     if len(first) == 1 and len(second) == 1:
@@ -345,10 +383,8 @@ def _grouped(documents: DataFrame, digest: Column, scratch: Scratch) -> tuple[Da
     classes = sketched.where(F.col("cid").isNotNull()).groupBy("cid").agg(first, F.count(F.lit(1)).alias("copies"), F.any_value("label").alias("label"), F.any_value("low").alias("low"))
     classes = classes.select("cid", F.col("first.doc_id").alias("rep"), F.col("first.digest").alias("digest"), "copies", "label", "low")
     classes = scratch.table(classes, "classes")
-    edges = scratch.table(_candidates(classes, scratch), "candidates")
-    scratch.drop("hot-nodes")
-    clusters = scratch.table(connected_components(edges, scratch, "clusters"), "clusters", few=True)
-    scratch.drop("candidates")
+    clusters = scratch.table(connected_components(_forest(classes, scratch), scratch, "clusters"), "clusters", few=True)
+    scratch.drop("near", "far")
     found = scratch.table(_verify(documents, classes, clusters, scratch), "links")
     scratch.drop("clusters", "members")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
