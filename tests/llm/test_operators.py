@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -253,20 +254,22 @@ def test_join_of_groups_with_small_and_large_blocks(spark, monkeypatch, node, bl
     assert got == brute_join(rows)
 
 
-def test_trie_nodes_of_any_size_give_the_same_components(monkeypatch):
-    from tidemark.llm.components import local_roots
-
+def test_a_node_dealt_out_as_pairs_of_blocks_gives_the_same_components():
     rng = np.random.default_rng(4)
     base = [np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(3)]
     sets = [np.unique(np.concatenate([b[rng.random(len(b)) > 0.03], rng.integers(0, 1 << 63, 3, dtype=np.uint64)])) for b in base for _ in range(12)]
     sig = jaccard_join.signatures(sets)
     low = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
     labels_ = np.zeros((len(sets), 32), np.uint8)  # one node: all share the whole label
-    parts = []
-    for node in (1024, 8):
-        monkeypatch.setattr(jaccard_join, "NODE", node)
-        parts.append(local_roots(len(sets), *jaccard_join.node_links(labels_, low)))
-    assert parts[0] == parts[1] == [12 * (i // 12) for i in range(36)]
+    want = [12 * (i // 12) for i in range(36)]
+    assert jaccard_join.node_links(labels_, low).tolist() == want
+    block, left, right = rng.integers(0, 4, len(sets)), [], []
+    for i, j in itertools.combinations_with_replacement(range(4), 2):
+        own = np.flatnonzero((block == i) | (block == j))
+        side = None if i == j else np.where(block[own] == i, 1, 2)
+        got = jaccard_join.node_links(labels_[own], low[own], side)
+        left, right = [*left, *own], [*right, *own[got]]
+    assert local_roots(len(sets), left, right) == want
 
 
 def crowd(m: int, copies: list[tuple[int, int, int]]) -> np.ndarray:
@@ -293,24 +296,68 @@ def test_every_pair_of_a_large_node_is_compared():
 def test_a_near_copy_does_not_end_the_search_for_others():
     low = crowd(4, [(0, 1, 126), (0, 2, 101), (2, 3, 126)])
     labels_ = np.zeros((4, 32), np.uint8)
-    labels_[2:, 20:] = 1  # each pair shares a whole label, all four the shortest prefix
-    left, right = jaccard_join.node_links(labels_, low)
-    assert local_roots(4, left, right) == [0, 0, 0, 0]
+    labels_[2:, 24:] = 1  # each pair shares a whole label, all four the prefix of the last level
+    assert jaccard_join.LEVELS == (8, 7, 6)
+    assert jaccard_join.node_links(labels_, low).tolist() == [0, 0, 0, 0]
+    labels_[2:, 20:] = 1  # or only the shortest one, which none of them is searched with any more
+    assert jaccard_join.node_links(labels_, low).tolist() == [0, 0, 2, 2]
+    assert jaccard_join.node_links(labels_, low, levels=(jaccard_join.SHORTEST,)).tolist() == [0, 0, 0, 0]
+
+
+def test_levels_shorten_until_the_target_recall():
+    found = lambda d: 1 - (1 - 0.8**d) ** jaccard_join.TREES
+    assert found(jaccard_join.LEVELS[-1]) >= jaccard_join.TARGET > found(jaccard_join.LEVELS[-1] + 1)
+
+
+def test_levels_in_turn_give_what_the_last_one_gives():
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        m = 60
+        low = crowd(m, [(int(a), int(b), int(n)) for a, b, n in zip(rng.integers(0, m, 40), rng.integers(0, m, 40), rng.integers(60, 128, 40), strict=True) if a != b])
+        labels_ = np.zeros((m, 32), np.uint8)
+        labels_[:, 24:] = rng.integers(0, 2, (m, 8))
+        labels_ = labels_[np.lexsort(labels_.T[::-1])]
+        assert jaccard_join.node_links(labels_, low).tolist() == jaccard_join.node_components(low).tolist()
+
+
+def test_only_open_members_ask():
+    low = crowd(200, [(3, 150, 100), (4, 151, 100), (5, 152, 100)])
+    open_ = np.zeros(200, bool)
+    open_[[3, 151]] = True
+    got = jaccard_join.node_components(low, open_=open_)
+    assert got[150] == 3 and got[151] == 4 and got[152] == 152
 
 
 @pytest.mark.parametrize("m", [70, 800])
-def test_members_of_a_hot_node_meet_whatever_their_children(spark, monkeypatch, m):
+@pytest.mark.parametrize("levels,shared", [((5,), 20), ((8, 7, 6), 24)])
+def test_members_of_a_hot_node_meet_whatever_their_children(spark, monkeypatch, m, levels, shared):
     monkeypatch.setattr(jaccard_join, "NODE", 16)
     rng = np.random.default_rng(7)
     pairs = [(i, m - 1 - i, 100) for i in range(1, 9)]
     low = crowd(m, pairs)
     label = rng.integers(0, 256, (m, 16, 32)).astype(np.uint8)
-    label[:, 0, :20] = 7  # one node in one trie, children all different
-    rows = [(b"%016d" % i, low[i].tobytes(), label[i].tobytes()) for i in range(m)]
-    edges = jaccard_join._candidates(spark.createDataFrame(rows, "cid binary, low binary, label binary"), Scratch(spark, "hot"))
+    label[:, 0, :shared] = 7  # one node in one trie, children all different
+    rows = [(b"%016d" % i, low[i].tobytes(), label[i].tobytes(), i < m // 2) for i in range(m)]
+    edges = jaccard_join._candidates(spark.createDataFrame(rows, "cid binary, low binary, label binary, open boolean"), Scratch(spark, "hot"), levels, "hot")
     assert {tuple(sorted((int(r["a"]), int(r["b"])))) for r in edges.collect()} == {(a, b) for a, b, _ in pairs}
 
 
+def test_the_forest_finds_pairs_at_the_threshold(spark):
+    """Pairs of similarity 0.80 to 0.83 without any other partner: at least the target recall of them is found."""
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(700):
+        common = np.unique(rng.integers(0, 1 << 63, 330, dtype=np.uint64))
+        own = int(len(common) * rng.uniform(0.1, 0.125))
+        sets += [np.unique(np.concatenate([common, rng.integers(0, 1 << 63, own, dtype=np.uint64)])) for _ in range(2)]
+    sig = jaccard_join.signatures(sets)
+    low = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+    rows = [(b"%016d" % i, low[i].tobytes(), sig[i].astype(">u4").tobytes()) for i in range(len(sets))]
+    edges = jaccard_join._forest(spark.createDataFrame(rows, "cid binary, low binary, label binary").repartition(4), Scratch(spark, "forest"))
+    found = {tuple(sorted((int(r["a"]), int(r["b"])))) for r in edges.collect()}
+    assert sum((2 * i, 2 * i + 1) in found for i in range(700)) >= 0.99 * 700
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
@@ -728,11 +775,41 @@ def test_language_without_any_label(odd):
     assert {r["lang_pred"] for r in got.collect()} == {"und"}
 
 
-def test_ngrams_of_segments_equal_those_of_the_whole(monkeypatch):
-    text = "Ein längerer Text, 123 mit Wörtern!  Und noch einer. " * 20
-    whole = langid.ngram_counts(text)
-    monkeypatch.setattr(langid, "SEGMENT", 10**9)
-    assert (whole == langid.ngram_counts(text)).all() and langid.ngram_counts("12 .") is None
+@pytest.mark.parametrize("segment", [1, 2, 3, 7, 64])
+def test_ngrams_of_segments_equal_those_of_the_whole(monkeypatch, segment):
+    rng = random.Random(segment)
+    texts = ["Ein längerer Text, 123 mit Wörtern!  Und noch einer. " * 20, "  ..x", "ΟΔΟΣ ΟΔΟΣ. İstanbul", "".join(rng.choice("ab .,\U0001f600ß") for _ in range(3000))]
+    whole = [langid.ngram_counts(t) for t in texts]
+    monkeypatch.setattr(langid, "SEGMENT", segment)
+    assert all((w == langid.ngram_counts(t)).all() for w, t in zip(whole, texts, strict=True)) and langid.ngram_counts("12 .") is None
+
+
+def spelled_ngrams(text: str) -> collections.Counter:
+    """Character n-grams one by one, as hashed buckets."""
+    plain = re.sub(r"\x00+", " ", "".join(c if c.isalpha() else "\x00" for c in text.lower()))
+    out = collections.Counter()
+    for n in (1, 2, 3):
+        for i in range(len(plain) - n + 1):
+            h = n
+            for c in plain[i : i + n]:
+                h = (((h ^ ord(c)) * 0x01000193) + 0x9E3779B9 * n) % 2**32
+            h ^= h >> 15
+            out[(h * 0x2C1B3C6D) % 2**32 >> 16] += 1
+    return out
+
+
+def test_language_scores_equal_those_computed_n_gram_by_n_gram(spark):
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) < 3000").orderBy("doc_id").limit(200).collect() if r["text"]]
+    model = langid.fit([r["text"] for r in docs[50:]], [r["lang"] for r in docs[50:]])
+    for r in docs[:50]:
+        counts = spelled_ngrams(r["text"])
+        x = {b: math.log1p(n) * model.idf[b] for b, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        z = [(sum(v / norm * model.weights[b][k] for b, v in x.items()) + model.bias[k]) / model.temperature for k in range(len(model.languages))]
+        p = [math.exp(v - max(z)) for v in z]
+        best = max(range(len(p)), key=p.__getitem__)
+        lang, score = model.predict(r["text"])
+        assert lang == model.languages[best] and abs(score - p[best] / sum(p)) < 1e-6
 
 
 def test_toxicity_of_held_out_documents(spark):

@@ -37,24 +37,25 @@ def ngram_counts(text: str) -> np.ndarray | None:
     """Counts of the hashed character n-grams of a whole text; None if it has no letter.
 
     Letters are lower-cased, every run of other characters counts as one space. Long texts are counted in
-    segments that overlap by the longest n-gram less one.
+    segments: each takes over the last two characters kept before it, and whether a letter came last.
     """
     counts, seen = np.zeros(BUCKETS, np.int64), False
+    text, before, letter_last = text.lower(), np.empty(0, np.uint32), True
     for at in range(0, len(text), SEGMENT):
-        c = np.frombuffer(text[max(0, at - 2) : at + SEGMENT].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        c = np.frombuffer(text[at : at + SEGMENT].encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters()[c]
         seen = seen or bool(letter.any())
-        c = np.where(letter, c, np.uint32(32))
-        c = c[letter | np.concatenate([[True], letter[:-1]])]
-        skip, found = 2 if at else 0, []
+        kept = np.where(letter, c, np.uint32(32))[letter | np.concatenate([[letter_last], letter[:-1]])]
+        letter_last, c, found = bool(letter[-1]), np.concatenate([before, kept]), []
         for n in ORDERS:
             h = np.full(max(len(c) - n + 1, 0), n, np.uint32)
             for k in range(n):
                 h = (h ^ c[k : k + len(h)]) * np.uint32(0x01000193) + np.uint32(0x9E3779B9 * n % (1 << 32))
             h ^= h >> np.uint32(15)
             h *= np.uint32(0x2C1B3C6D)
-            found.append((h >> np.uint32(16))[max(0, skip - n + 1) :])
+            found.append((h >> np.uint32(16))[max(0, len(before) - n + 1) :])
         counts += np.bincount(np.concatenate(found), minlength=BUCKETS)
+        before = c[-2:]
     return counts if seen else None
 
 
