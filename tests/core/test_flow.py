@@ -94,7 +94,7 @@ def world(spark, site, tmp_path_factory):
     probes = files.read_probes(spark, str(d / "probes.jsonl"))
     (d / "manifest.jsonl").touch()
     manifest = lambda: files.read_manifest(spark, str(d / "manifest.jsonl"))
-    added = [discovery.ingest(fetch, discovery.to_ingest(probes, manifest()), d / "bronze", d / "manifest.jsonl", "2026-01-01", limiter) for _ in range(2)]
+    added = [discovery.ingest(fetch, discovery.to_ingest(probes, manifest()), d / "bronze", d / "manifest.jsonl", "2026-01-01", limiter).added for _ in range(2)]
     rename = {"CVE_CARTERA": "cve_cartera", "NOMBRE": "nombre_ppi", "ANIO": "anio", "AVANCE": "avance_fisico", "LATITUD": "latitud", "LONGITUD": "longitud", "TOTAL": "monto_total_inversion", "MODIFICADO": "modificado", "RAMO": "id_ramo", "INICIO": "fecha_inicio_cal_ff"}
     old = {"CVE_PPI": "cve_cartera", "CVE_PPI.1": "nombre_ppi", "ANIO": "anio", "LATITUD_INICIAL": "latitud", "LONGITUD_INICIAL": "longitud", "TOTAL": "monto_total_inversion"}
     layouts = {files.header_hash(MODERN): {"columnas": rename}, files.header_hash(files.distinct_names(OLD)): {"columnas": old}}
@@ -108,7 +108,7 @@ def silver(spark, world):
     d, _, _, _, manifest, registry = world
     run = normalise(spark, registry, manifest(), str(d / "bronze"))
     write_silver(run, str(d / "silver"))
-    return run, files.read_silver(spark, str(d / "silver/valid"), silver_schema(registry.canonical_columns()))
+    return run, files.read_silver(spark, str(d / "silver"), silver_schema(registry.canonical_columns()), "valid")
 
 
 @pytest.fixture(scope="module")
@@ -253,16 +253,16 @@ def test_mirror_and_archive_reach_bronze(spark, tmp_path):
         return (200, {}, content) if url.startswith("https://web.archive.org/web/20200101id_/https://h/") else (404, {}, b"")
 
     limiter, still = discovery.RateLimiter(0.0), lambda s: None
-    mirror = list(discovery.mirror_probes(fetch, classify_text, "https://m/api", "opa", "obra", "https://page", limiter, sleep=still))
+    mirror = list(discovery.ask(fetch, discovery.mirror_questions(classify_text, "https://m/api", "opa", "obra", "https://page"), limiter, sleep=still))
     assert [(p.existe, p.anio, p.trimestre, p.patron) for p in mirror] == [(True, None, None, None), (True, 2019, 3, "trimestral_ordinal"), (True, None, None, "recurso_ckan"), (True, None, None, None), (False, None, None, None)]
     assert mirror[3].extra["coincidencia_real"] == "obra-publica"
-    archive = list(discovery.archive_index_probes(fetch, classify_text, "https://cdx", ["good", "blocked", "none"], {"matchType": "prefix"}, limiter, sleep=still))
+    archive = list(discovery.ask(fetch, discovery.archive_questions(classify_text, "https://cdx", ["good", "blocked", "none"], {"matchType": "prefix"}), limiter, sleep=still))
     asked = [(p.existe, p.error is None, p.extra["n_capturas"]) for p in archive if p.metodo == "CDX_QUERY"]
     assert asked == [(True, True, 1), (False, False, None), (False, True, 0)]
     assert discovery.append([*mirror, *archive], tmp_path / "p.jsonl") == 6
     (tmp_path / "m.jsonl").touch()
     pending = discovery.to_ingest(files.read_probes(spark, str(tmp_path / "p.jsonl")), files.read_manifest(spark, str(tmp_path / "m.jsonl")))
-    assert discovery.ingest(fetch, pending, tmp_path / "b", tmp_path / "m.jsonl", "2026-01-01", limiter) == 1
+    assert discovery.ingest(fetch, pending, tmp_path / "b", tmp_path / "m.jsonl", "2026-01-01", limiter).added == 1
     r = files.read_manifest(spark, str(tmp_path / "m.jsonl")).first()
     assert (r["origen"], r["wayback_timestamp"], r["snapshot_id"][:6]) == ("wayback", "20200101", "2018Q1")
 

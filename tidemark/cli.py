@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import json
 import subprocess
 import sys
-import tempfile
 import urllib.error
 import urllib.request
 from collections.abc import Mapping, Sequence
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import coverage, feeds
 from tidemark.operators.checks import run_checks
 from tidemark.plans.gold import PUBLISHED, catalogues, gold_checks, read_gold, write_gold
-from tidemark.plans.silver import normalise, silver_schema, write_silver
+from tidemark.plans.marts import MissingTables, comment_drift, read_marts, save_gold
+from tidemark.plans.silver import AUDIT, LostRows, normalise, silver_schema, write_silver, written_snapshots
 from tidemark.publish import package
 from tidemark.session import build_session
 from tidemark.functions.urls import UrlGrid, candidate_urls, classify_text
@@ -38,20 +39,20 @@ def http_fetch(method: str, url: str, timeout: float = 20.0) -> tuple[int | None
         return e.code, dict(e.headers or {}), b""
 
 
+#: What the system's client tells about an answer, on its error stream; the body has the other to itself.
+TOLD = '%{stderr}{"status": %{response_code}, "headers": %{header_json}}'
+
+
 def curl_fetch(method: str, url: str, timeout: float = 20.0) -> tuple[int | None, Mapping[str, str], bytes]:
     """The system's own client, which completes certificate chains and verifies them; None if it gets no answer."""
-    with tempfile.TemporaryDirectory() as folder:
-        head, body = Path(folder) / "head", Path(folder) / "body"
-        call = ["curl", "-s", "-L", "--max-time", str(int(timeout)), "-D", str(head), "-o", str(body), *(["-I"] if method == "HEAD" else []), url]
-        try:
-            subprocess.run(call, capture_output=True, timeout=timeout + 5, check=False)
-        except (OSError, subprocess.TimeoutExpired):
-            return None, {}, b""
-        blocks = head.read_text("latin-1").strip().split("\n\n" if b"\r" not in head.read_bytes() else "\r\n\r\n") if head.exists() else [""]
-        first, *rest = blocks[-1].splitlines() or [""]
-        code = first.split()[1:2]
-        headers = {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in rest)}
-        return int(code[0]) if code and code[0].isdigit() else None, headers, body.read_bytes() if body.exists() else b""
+    how = {"HEAD": ["--head"], "GET_RANGE": ["--range", f"0-{discovery.RANGE - 1}"]}.get(method, [])
+    try:
+        done = subprocess.run(["curl", "--silent", "--location", "--max-time", f"{timeout:g}", *how, "--write-out", TOLD, "--url", url], capture_output=True, timeout=timeout + 5, check=False)
+        told = json.loads(done.stderr)
+    except (OSError, subprocess.TimeoutExpired, ValueError):
+        return None, {}, b""
+    body = b"" if method == "HEAD" else done.stdout[: discovery.RANGE] if method == "GET_RANGE" else done.stdout
+    return told["status"] or None, {name: values[-1] for name, values in told["headers"].items()}, body
 
 
 def _grid(raw: Mapping) -> UrlGrid:
@@ -65,7 +66,7 @@ def _grid(raw: Mapping) -> UrlGrid:
 
 def _inputs(spark, args):
     registry = load_registry(args.registry)
-    silver = files.read_silver(spark, f"{args.data}/silver/valid", silver_schema(registry.canonical_columns()))
+    silver = files.read_silver(spark, f"{args.data}/silver", silver_schema(registry.canonical_columns()), "valid")
     return silver, files.read_manifest(spark, f"{args.data}/manifest.jsonl"), files.read_deflator(spark, args.deflator)
 
 
@@ -80,11 +81,17 @@ def _dimensions(spark, args) -> dict:
     return catalogues({k: files.read_seed(spark, f"{args.seeds}/{f}", schema) for k, (f, schema) in SEEDS.items()})
 
 
-def _published(spark, args) -> dict:
+def _gold(spark, args):
     """The written marts; ``gold`` writes them."""
+    if args.database:
+        return read_marts(spark, args.database)
     if not (Path(args.data) / "gold" / "fct_ppi_observacion").exists():
         raise package.PublishError(f"no marts below {args.data}/gold: run gold first")
-    gold = read_gold(spark, f"{args.data}/gold")
+    return read_gold(spark, f"{args.data}/gold")
+
+
+def _published(spark, args) -> dict:
+    gold = _gold(spark, args)
     return {k: getattr(gold, k) for k in PUBLISHED if hasattr(gold, k)} | _dimensions(spark, args)
 
 
@@ -95,11 +102,13 @@ def discover(spark, args, fetch=http_fetch, fallback=curl_fetch) -> int:
     limiter = discovery.RateLimiter(pace.get("rate_limit_segundos_shcp", 2.0))
     n = discovery.probe_all(fetch, candidate_urls(spark, _grid(raw)), "vivo", out, limiter, fallback)
     if mirror := raw.get("fuente_espejo"):
-        n += discovery.append(discovery.mirror_probes(fetch, classify_text, mirror["ckan_base"], mirror["ckan_package_id"], mirror["ckan_busqueda_respaldo"], mirror.get("datamx_io"), limiter), out)
+        words = mirror.get("datamx_io_palabras") or discovery.PAGE_WORDS
+        asked = discovery.mirror_questions(classify_text, mirror["ckan_base"], mirror["ckan_package_id"], mirror["ckan_busqueda_respaldo"], mirror.get("datamx_io"), words)
+        n += discovery.append(discovery.ask(fetch, asked, limiter, fallback=fallback), out)
     if archive := raw.get("fuente_wayback"):
         options = {"matchType": archive["match_type"], "collapse": archive["collapse"], "fl": ",".join(archive["campos"]), "filter": [archive["filtro_status"], archive["filtro_mimetype_excluir"]]}
         slow = discovery.RateLimiter(pace.get("rate_limit_segundos_wayback", 2.0))
-        n += discovery.append(discovery.archive_index_probes(fetch, classify_text, archive["cdx_base"], archive["prefijos"], options, slow), out)
+        n += discovery.append(discovery.ask(fetch, discovery.archive_questions(classify_text, archive["cdx_base"], archive["prefijos"], options), slow), out)
     probes = files.read_probes(spark, str(out))
     first, last = raw["anios"]["desde"], raw["anios"]["hasta"]
     matrix = coverage.coverage_matrix(probes, first, last)
@@ -110,6 +119,21 @@ def discover(spark, args, fetch=http_fetch, fallback=curl_fetch) -> int:
     return n
 
 
+def bronze(spark, args, fetch=http_fetch, fallback=curl_fetch, pace: float = 2.0) -> int:
+    """Fetches what is pending; 1 if anything could not be had, which ``fallidos.jsonl`` keeps for the next run."""
+    data = Path(args.data)
+    manifest, failures = data / "manifest.jsonl", data / "fallidos.jsonl"
+    manifest.touch()
+    failures.touch()
+    earlier = None if args.all else files.read_failures(spark, str(failures))
+    pending = discovery.to_ingest(files.read_probes(spark, str(data / "discovery.jsonl")), files.read_manifest(spark, str(manifest)), earlier)
+    done = discovery.ingest(fetch, pending, data / "bronze", manifest, date.today().isoformat(), discovery.RateLimiter(pace), failures, fallback)
+    print(done.added, "files added,", len(done.failed), "failed")
+    for url, error in done.failed:
+        print(f"{error}: {url}", file=sys.stderr)
+    return int(bool(done.failed))
+
+
 #: Figures: name, title, and what to bear in mind.
 FIGURES = {
     "cobertura_cortes": ("Cobertura por corte", "Un corte futuro no es un hueco."),
@@ -157,10 +181,10 @@ def publish(spark, args) -> Path:
     manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))
     found = feeds.provenance(manifest, F.col("corte_declarado.anio"), "origen", "fecha_descarga", "bytes").first().asDict()
     # the audit table serves where a printed report would have to be parsed again
-    audit = spark.read.parquet(str(data / "silver/audit")).agg(F.sum("n_rows").alias("filas"), F.sum("n_valid").alias("validas")).first().asDict()
+    audit = spark.read.schema(AUDIT).parquet(str(data / "silver/audit")).agg(F.sum("n_rows").alias("filas"), F.sum("n_valid").alias("validas")).first().asDict()
     about = package.load_descriptions(Path(args.descriptions))[0] if Path(args.descriptions).exists() else {}
     package.write_catalogue(folder, config, about, found, audit)
-    gold = read_gold(spark, f"{args.data}/gold")
+    gold = _gold(spark, args)
     left_out = [r["snapshot_id"] for r in gold.dim_snapshot.where("estado = 'excluido_de_silver'").orderBy("snapshot_id").collect()]
     footer = f"Descarga más reciente: {found['ultima_descarga']}. Años: {found['anio_min']} a {found['anio_max']}. Licencia: {config['licencia']['nombre']}."
     package.write_note(folder / "NOTA-TECNICA.md", config["titulo"], package.note_sections(gold, audit, left_out, config.get("nota") or {}), footer)
@@ -179,13 +203,15 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--descriptions", default="conf/schema.yml")
     parser.add_argument("--seeds", default="seeds")
     parser.add_argument("--version")
+    parser.add_argument("--all", action="store_true", help="normalize: snapshots that are written already too; bronze: files that were gone too")
+    parser.add_argument("--database", help="gold: write the marts as tables of this database; the others: read them from it")
     args = parser.parse_args(argv)
     spark = build_session("tidemark-cli")
     data = Path(args.data)
     data.mkdir(parents=True, exist_ok=True)
     try:
         return run(spark, args, data)
-    except (package.PublishError, UnknownSchema, AssertionError) as e:
+    except (package.PublishError, UnknownSchema, MissingTables, LostRows, AssertionError) as e:
         print(e, file=sys.stderr)
         return 1
 
@@ -195,12 +221,11 @@ def run(spark, args, data: Path) -> int:
     if args.command == "discover":
         print(discover(spark, args), "files exist")
     elif args.command == "bronze":
-        (data / "manifest.jsonl").touch()
-        pending = discovery.to_ingest(files.read_probes(spark, str(data / "discovery.jsonl")), files.read_manifest(spark, str(data / "manifest.jsonl")))
-        print(discovery.ingest(http_fetch, pending, data / "bronze", data / "manifest.jsonl", date.today().isoformat(), discovery.RateLimiter(2.0)), "files added")
+        return bronze(spark, args)
     elif args.command == "normalize":
-        done = write_silver(normalise(spark, load_registry(args.registry), files.read_manifest(spark, str(data / "manifest.jsonl")), str(data / "bronze")), str(data / "silver"))
-        audit = spark.read.parquet(str(data / "silver/audit")).orderBy("snapshot_id")
+        written = None if args.all else written_snapshots(spark, str(data / "silver"))
+        done = write_silver(normalise(spark, load_registry(args.registry), files.read_manifest(spark, str(data / "manifest.jsonl")), str(data / "bronze"), written), str(data / "silver"))
+        audit = spark.read.schema(AUDIT).parquet(str(data / "silver/audit")).orderBy("snapshot_id")
         lines = ["# Calidad", "", package.markdown_table(audit.withColumn("motivos", F.to_json("motivos"))), "", *[f"- {state}: {snapshot} ({file})" for snapshot, file, state in done.failed], ""]
         (data / "calidad_silver.md").write_text("\n".join(lines), encoding="utf-8")
         for snapshot, file, state in done.failed:
@@ -217,17 +242,23 @@ def run(spark, args, data: Path) -> int:
         for r in manifest.select("archivo_bronze", "header_hash", "n_columnas", "encoding_detectado").orderBy("archivo_bronze").toLocalIterator():
             print(*r)
     elif args.command == "gold":
-        gold = write_gold(spark, *_inputs(spark, args), f"{args.data}/gold")
+        if args.database:
+            about, columns = package.load_descriptions(Path(args.descriptions)) if Path(args.descriptions).exists() else ({}, {})
+            gold = save_gold(spark, *_inputs(spark, args), args.database, f"{args.data}/marts", described=columns, about=about)
+        else:
+            gold = write_gold(spark, *_inputs(spark, args), f"{args.data}/gold")
         dimensions = _dimensions(spark, args) if Path(args.seeds).is_dir() else {}
         for name, severity, n in run_checks(gold_checks(gold, dimensions)):
             print(f"{severity} {name}: {n}")
     elif args.command == "diccionario":
-        package.write_dictionary(_published(spark, args), package.load_descriptions(Path(args.descriptions))[1], data / "diccionario")
+        tables, described = _published(spark, args), package.load_descriptions(Path(args.descriptions))[1]
+        if args.database and (drift := comment_drift(spark, args.database, {k: v for k, v in described.items() if spark.catalog.tableExists(f"{args.database}.{k}")})):
+            raise package.PublishError("; ".join(drift))
+        package.write_dictionary(tables, described, data / "diccionario")
     elif args.command == "publish":
         print(publish(spark, args))
     else:
-        _published(spark, args)
-        if empty := figures(spark, read_gold(spark, f"{args.data}/gold"), data / "figuras"):
+        if empty := figures(spark, _gold(spark, args), data / "figuras"):
             print("without rows:", ", ".join(empty), file=sys.stderr)
             return 1
     return 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import KEY_PATTERN
@@ -63,6 +63,29 @@ def totals(judged: DataFrame, by: Sequence[str] = (), reasons: str = "reasons")
     return rows.select(*by, "n_rows", "n_valid", (F.col("n_rows") - F.col("n_valid")).alias("n_quarantined"), share.alias("pct_valid"))
 
 
+def _metrics(rules: Sequence[Rule], also: Sequence[str], reasons: str) -> list[Column]:
+    """Rows, valid rows, sums of further columns and breaches of each rule; a rule's count is named after it."""
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
+    return [
+        F.count(F.lit(1)).alias("n_rows"), count(F.size(reasons) == 0).alias("n_valid"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in also], *[count(F.array_contains(reasons, r.name)).alias(r.name) for r in rules],
+    ]
+
+
+def audit(judged: DataFrame, by: Sequence[str], rules: Sequence[Rule], also: Sequence[str] = (), reasons: str = "reasons") -> DataFrame:
+    """Totals, sums of ``also`` and breaches by rule (a map, ``motivos``, of the rules broken) in one aggregate."""
+    rows = judged.groupBy(*by).agg(*_metrics(rules, also, reasons))
+    broken = F.map_filter(F.map_from_arrays(F.array(*[F.lit(r.name) for r in rules]), F.array(*[F.col(r.name) for r in rules])), lambda k, n: n > 0)
+    share = F.round(F.try_divide(F.col("n_valid") * F.lit(100.0), F.col("n_rows")), 1)
+    return rows.select(*by, "n_rows", "n_valid", (F.col("n_rows") - F.col("n_valid")).alias("n_quarantined"), share.alias("pct_valid"), *also, broken.alias("motivos"))
+
+
+def observed(judged: DataFrame, rules: Sequence[Rule], also: Sequence[str] = (), reasons: str = "reasons") -> tuple[DataFrame, Observation]:
+    """The rows, and their totals and breaches as metrics of the action that is run on them first: no pass of their own."""
+    seen = Observation()
+    return judged.observe(seen, *_metrics(rules, also, reasons)), seen
+
+
 def overspent_share(df: DataFrame, spent: str, planned: str, tolerance: float = 0.05) -> DataFrame:
     """A metric, not a rule: how many rows spend more than planned beyond a tolerance."""
     known = df.where(F.col(spent).isNotNull() & F.col(planned).isNotNull())

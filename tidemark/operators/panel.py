@@ -225,17 +225,20 @@ def as_of(observations: DataFrame, versions_: DataFrame, key: str, order: str, a
     Versions of a key must not overlap; gaps between them, and observations outside all of them or without a
     key or a cut, give nulls. Both are dealt out by the key once and sorted once, and each observation takes
     the last version that began at or before it, so a key's cost is linear in its rows; frames that are dealt
-    out by the key already are not shuffled again. Observations without a key are spread by their content.
+    out by the key already are not shuffled again. Observations without a key are spread.
     """
     kept = [c for c in observations.columns if c not in attributes]
-    row, at = F.struct(*[F.col(c) for c in kept]), observations.schema[order].dataType
-    version = F.struct(F.col("vigente_hasta_corte").cast(at).alias("until"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(attributes)])
-    row_type, version_type = observations.select(row.alias("r")).schema["r"].dataType, versions_.select(version.alias("v")).schema["v"].dataType
-    seen = observations.select(F.col(key).alias("_k"), F.when(F.col(key).isNull(), F.hash(*kept)).otherwise(0).alias("_s"), F.col(order).alias("_at"), F.lit(1).alias("_seen"), row.alias("_row"), F.lit(None).cast(version_type).alias("_v"))
+    rest = [c for c in kept if c != key]
+    types = {f.name: f.dataType for f in observations.schema}
+    version = F.struct(F.col("vigente_hasta_corte").cast(types[order]).alias("until"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(attributes)])
+    version_type = versions_.select(version.alias("v")).schema["v"].dataType
+    spread = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(0)
+    seen = observations.select(*rest, F.col(key).alias("_k"), spread.alias("_s"), F.col(order).alias("_at"), F.lit(1).alias("_seen"), F.lit(None).cast(version_type).alias("_v"))
     begun = versions_.where(F.col(key).isNotNull() & F.col("vigente_desde_corte").isNotNull()).select(
-        F.col(key).cast(observations.schema[key].dataType).alias("_k"), F.lit(0).alias("_s"), F.col("vigente_desde_corte").cast(at).alias("_at"), F.lit(0).alias("_seen"), F.lit(None).cast(row_type).alias("_row"), version.alias("_v"),
+        *[F.lit(None).cast(types[c]).alias(c) for c in rest],
+        F.col(key).cast(types[key]).alias("_k"), F.lit(0).cast("long").alias("_s"), F.col("vigente_desde_corte").cast(types[order]).alias("_at"), F.lit(0).alias("_seen"), version.alias("_v"),
     )
     along = Window.partitionBy("_k", "_s").orderBy(F.col("_at").asc_nulls_first(), "_seen").rowsBetween(Window.unboundedPreceding, 0)
     merged = seen.unionByName(begun).withColumn("_v", F.last("_v", ignorenulls=True).over(along)).where("_seen = 1")
     valid = F.col("_at") <= F.col("_v.until")
-    return merged.select("_row.*", *[F.when(valid, F.col(f"_v.v{i}")).alias(c) for i, c in enumerate(attributes)])
+    return merged.select(*[F.col("_k").alias(key) if c == key else F.col(c) for c in kept], *[F.when(valid, F.col(f"_v.v{i}")).alias(c) for i, c in enumerate(attributes)])

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.cleaning import clean_key, parse_month, parse_number, zero_to_null
-from tidemark.operators.contract import judge, reason_counts, snapshot_rules, split, totals
+from tidemark.operators.contract import audit, judge, observed, snapshot_rules, split
 from tidemark.operators.panel import pick_first
 from tidemark.operators.sizes import broadcast_if_small
-from tidemark.sources.files import csv_header, detect_separator, read_head, scan_csv, union_by_name
+from tidemark.sources.files import names_in, read_dialects, scan_csv, union_by_name
 from tidemark.sources.registry import Registry
 
 # Canonical columns by type; all others are text.
@@ -25,6 +25,15 @@ NUMBERS = (
 )
 WHOLE = ("id_ramo",)
 MONTHLY = ("fecha_inicio_cal_ff", "fecha_fin_cal_ff", "fecha_inicio_cal_fiscal", "fecha_fin_cal_fiscal")
+#: Folders of the rows that keep the contract and of those that don't.
+STATES = ("valid", "quarantine")
+AUDIT = T.StructType(
+    [
+        T.StructField("snapshot_id", T.StringType()), T.StructField("sha256", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("n_valid", T.LongType()),
+        T.StructField("n_quarantined", T.LongType()), T.StructField("pct_valid", T.DoubleType()), T.StructField("fechas_no_parseadas", T.LongType()),
+        T.StructField("motivos", T.MapType(T.StringType(), T.LongType())),
+    ]
+)
 REQUIRED = ("cve_cartera", "anio", "avance_fisico", "latitud", "longitud", "monto_total_inversion")
 
 
@@ -72,13 +81,11 @@ def pending_snapshots(manifest: DataFrame) -> DataFrame:
 
 @dataclass
 class SilverRun:
-    """The judged rows of all files, and what follows from them; ``audit`` has a row per snapshot.
-
-    The parts are lazy, and each reads ``judged`` again: ``write_silver`` writes it first.
-    """
+    """The judged rows of a run's files, what could not be read, and the (snapshot_id, sha256) that it covers."""
 
     judged: DataFrame
     failed: list[tuple[str, str, str]]
+    snapshots: list[tuple[str, str | None]] = field(default_factory=list)
 
     @property
     def valid(self) -> DataFrame:
@@ -88,41 +95,50 @@ class SilverRun:
     def quarantine(self) -> DataFrame:
         return split(self.judged)[1].drop("_unparsed")
 
-    @property
-    def audit(self) -> DataFrame:
-        unparsed = self.judged.groupBy("snapshot_id").agg(F.sum("_unparsed").alias("fechas_no_parseadas"))
-        reasons = reason_counts(self.judged, ["snapshot_id"]).groupBy("snapshot_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("motivos"))
-        return totals(self.judged, ["snapshot_id"]).join(unparsed, "snapshot_id", "left").join(reasons, "snapshot_id", "left")
 
+class LostRows(RuntimeError):
+    """What was written is not what was judged."""
 
-def normalise(spark: SparkSession, registry: Registry, manifest: DataFrame, bronze: str) -> SilverRun:
-    """One scan per layout, encoding and separator, however many files; the driver reads each file's head.
+
+def normalise(spark: SparkSession, registry: Registry, manifest: DataFrame, bronze: str, done: DataFrame | None = None) -> SilverRun:
+    """One scan per layout, encoding and separator, however many files; executors read the files' heads.
 
     A row's snapshot comes from the name of its file, by a broadcast of the manifest's file names. Snapshots
     known to be corrupt, of an unknown layout or without a file are reported and left out; the caller decides
-    whether that is an error. The manifest is a catalogue of files, so its rows are listed.
+    whether that is an error. Snapshots in ``done`` (snapshot_id, sha256) are left alone, unless their content
+    is another one. The manifest is a catalogue of files, so its rows are listed.
     """
+    pending = pending_snapshots(manifest)
+    if done is not None:
+        same = (F.col("snapshot_id") == F.col("_id")) & F.col("sha256").eqNullSafe(F.col("_sha"))
+        pending = pending.join(done.select(F.col("snapshot_id").alias("_id"), F.col("sha256").alias("_sha")), same, "left_anti")
+    covered: list[tuple[str, str | None]] = []
     groups: dict[tuple, list[tuple[str, str]]] = {}
     failed: list[tuple[str, str, str]] = []
-    for r in pending_snapshots(manifest).select("snapshot_id", "archivo_bronze", "header_hash", "encoding_detectado").toLocalIterator():
+    there = names_in(spark, bronze)
+    chosen = []
+    for r in pending.select("snapshot_id", "sha256", "archivo_bronze", "header_hash", "encoding_detectado").toLocalIterator():
         name = r["archivo_bronze"]
         if name in registry.corrupt:
             failed.append((r["snapshot_id"], name, "corrupto_conocido"))
-            continue
-        if r["header_hash"] not in registry.layouts:
+        elif r["header_hash"] not in registry.layouts:
             failed.append((r["snapshot_id"], name, "esquema_desconocido"))
-            continue
-        path = f"{bronze}/{name}"
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        elif name not in there:
             failed.append((r["snapshot_id"], name, "error"))
-            continue
-        if path.lower().endswith(".xlsx"):
+        else:
+            chosen.append(r)
+    texts = {r["archivo_bronze"]: r["encoding_detectado"] or "utf-8" for r in chosen if not r["archivo_bronze"].lower().endswith(".xlsx")}
+    heads = {r["name"]: r for r in read_dialects(spark, [f"{bronze}/{name}" for name in texts], texts).toLocalIterator()} if texts else {}
+    for r in chosen:
+        name = r["archivo_bronze"]
+        if name not in texts:
             key = (r["header_hash"], "xlsx", None, tuple(registry.layouts[r["header_hash"]]))
+        elif name in heads:
+            key = (r["header_hash"], texts[name], heads[name]["separator"], tuple(heads[name]["columns"] or ()))
         else:
-            encoding, head = r["encoding_detectado"] or "utf-8", read_head(spark, path)
-            separator = detect_separator(head.decode(encoding, "ignore"))
-            key = (r["header_hash"], encoding, separator, tuple(csv_header(head, encoding, separator)))
+            failed.append((r["snapshot_id"], name, "error"))
+            continue
+        covered.append((r["snapshot_id"], r["sha256"]))
         groups.setdefault(key, []).append((name, r["snapshot_id"]))
     frames = []
     for (hash_, encoding, separator, header), files in groups.items():
@@ -138,18 +154,48 @@ def normalise(spark: SparkSession, registry: Registry, manifest: DataFrame, bron
         frames.append(clean_rows(rows, registry.layouts[hash_], F.col("_snapshot")).drop("_snapshot"))
     if not frames:
         frames = [spark.createDataFrame([], T.StructType([*silver_schema([]).fields, T.StructField("_unparsed", T.IntegerType())]))]
-    return SilverRun(judge(union_by_name(frames), snapshot_rules()), failed)
+    return SilverRun(judge(union_by_name(frames), snapshot_rules()), failed, covered)
+
+
+def written_snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+    """(snapshot_id, sha256) that earlier runs have finished; None before the first."""
+    if not names_in(spark, f"{path}/audit"):
+        return None
+    return spark.read.schema(AUDIT).parquet(f"{path}/audit").select("snapshot_id", "sha256")
+
+
+def _forget(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_silver(run: SilverRun, path: str) -> SilverRun:
-    """Valid rows, quarantine and audit as Parquet; rows partitioned by snapshot, one file each.
+    """Replaces the run's snapshots below ``path``, and no others: rows by state and snapshot, and an audit record of each.
 
-    The judged rows are written once, below ``judged``, and all three are read from there.
+    One job writes valid rows and quarantine; Spark splits the rows of a large snapshot over several tasks and
+    gathers those of small ones. The same job counts rows, breaches and unparsed dates; the audit, one
+    aggregate over what was written, must agree with it. A snapshot's audit record is dropped first and written last,
+    so a run that breaks off is done again for the snapshots it had not finished.
     """
-    spark = run.judged.sparkSession
-    run.judged.write.mode("overwrite").parquet(f"{path}/judged")
-    read = SilverRun(spark.read.parquet(f"{path}/judged"), run.failed)
-    read.valid.repartition("snapshot_id").write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/valid")
-    read.quarantine.repartition("snapshot_id").write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/quarantine")
-    read.audit.coalesce(1).write.mode("overwrite").parquet(f"{path}/audit")
-    return read
+    spark, rules = run.judged.sparkSession, snapshot_rules()
+    _forget(spark, [f"{path}/audit/snapshot_id={i}" for i, _ in run.snapshots])
+    _forget(spark, [f"{path}/rows/estado={state}/snapshot_id={i}" for i, _ in run.snapshots for state in STATES])
+    if not run.snapshots:
+        return run
+    state = F.when(F.size("reasons") == 0, STATES[0]).otherwise(STATES[1])
+    dealt = run.judged.withColumn("estado", state).hint("rebalance", "estado", "snapshot_id")
+    rows, seen = observed(dealt, rules, ["_unparsed"])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("estado", "snapshot_id").parquet(f"{path}/rows")
+    own = broadcast_if_small(spark.createDataFrame(run.snapshots, "snapshot_id string, sha256 string"))
+    ids = [i for i, _ in run.snapshots]
+    written = spark.read.schema(T.StructType([*run.judged.schema.fields, T.StructField("estado", T.StringType())])).parquet(f"{path}/rows").where(F.col("snapshot_id").isin(ids))
+    counts = audit(written, ["snapshot_id"], rules, ["_unparsed"]).withColumnRenamed("_unparsed", "fechas_no_parseadas")
+    # a file without rows has a record too, so that it counts as done
+    records = own.join(counts, "snapshot_id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_rows", "n_valid", "n_quarantined", "fechas_no_parseadas")})
+    records = records.select([F.col(f.name).cast(f.dataType) for f in AUDIT]).collect()
+    got, want = seen.get, {c: sum(r[c] for r in records) for c in ("n_rows", "n_valid")}
+    if any(got[c] != n for c, n in want.items()):
+        raise LostRows(f"judged {got['n_rows']} rows, {got['n_valid']} of them valid, but wrote {want['n_rows']} and {want['n_valid']}")
+    spark.createDataFrame(records, AUDIT).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_id").parquet(f"{path}/audit")
+    return run

@@ -5,8 +5,9 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +18,8 @@ from tidemark.functions.cleaning import header_text, missing_to_null
 ENCODINGS = ("utf-8-sig", "utf-8", "latin-1")
 #: Separators that a file may use.
 SEPARATORS = ",;\t|"
-#: Bytes of a file that suffice for its header and dialect.
-HEAD = 1 << 16
+#: Bytes of a file that suffice for its header and dialect, and of a file that a task may hold whole.
+HEAD, WHOLE = 1 << 16, 1 << 26
 
 
 def detect_encoding(content: bytes, whole: bool = True) -> str:
@@ -88,6 +89,63 @@ def csv_header(content: bytes, encoding: str, separator: str) -> list[str]:
     return distinct_names(next(csv.reader(io.StringIO(text), delimiter=separator), []))
 
 
+DIALECT = "name string, encoding string, separator string, columns array<string>, n_columns int, header_hash string"
+
+
+def dialects(contents: DataFrame) -> DataFrame:
+    """Encoding, separator, header and its hash of each of the files (name, content, encoding), found on executors.
+
+    ``content`` is a file's head, or all of a spreadsheet; ``encoding`` is found where it is null. A file that
+    cannot be read has nulls, never an exception.
+    """
+
+    def one(name: str, content: bytes | None, encoding: str | None) -> tuple:
+        content = content or b""
+        if name.lower().endswith(".xlsx"):
+            columns, encoding, separator = inspect_columns(content, "xlsx")[0], None, None
+        elif not name.lower().endswith(".csv"):
+            columns, encoding, separator = None, None, None
+        else:
+            encoding = encoding or detect_encoding(content, whole=len(content) < HEAD)
+            separator = detect_separator(content.decode(encoding, "ignore"))
+            try:
+                columns = csv_header(content, encoding, separator)
+            except csv.Error:
+                columns = None
+        return encoding, separator, columns or None, len(columns) if columns else None, header_hash(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.string(), pa.list_(pa.string()), pa.int32(), pa.string())
+        for batch in batches:
+            found = [one(*(c[i].as_py() for c in batch.columns)) for i in range(len(batch))]
+            rest = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *rest], names=[c.split()[0] for c in DIALECT.split(", ")])
+
+    return contents.select("name", "content", "encoding").mapInArrow(run, DIALECT)
+
+
+def read_dialects(spark: SparkSession, paths: Sequence[str], encodings: Mapping[str, str | None] | None = None) -> DataFrame:
+    """``dialects`` of files by name: executors open them and pass on their heads; ``encodings`` known by name are kept.
+
+    Files beyond WHOLE bytes are not held whole by a task; the driver reads their heads. An empty file has no row.
+    """
+    known = spark.createDataFrame([(k, v) for k, v in (encodings or {}).items() if v], "_name string, encoding string")
+    files = spark.read.format("binaryFile").load(list(paths)).withColumn("name", F.substring_index("path", "/", -1))
+    head = F.when(F.lower("name").endswith(".xlsx"), F.col("content")).otherwise(F.substring("content", 1, HEAD))
+    contents = files.where(F.col("length") <= WHOLE).select("name", head.alias("content"))
+    large = [(r["name"], read_head(spark, r["path"])) for r in files.where(F.col("length") > WHOLE).select("name", "path").toLocalIterator()]
+    if large:
+        contents = contents.unionByName(spark.createDataFrame(large, "name string, content binary"))
+    return dialects(contents.join(F.broadcast(known), F.col("name") == F.col("_name"), "left"))
+
+
+def names_in(spark: SparkSession, folder: str) -> set[str]:
+    """The files of a folder, by one listing; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+
 def find_column(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
     """The header name that spells the first candidate found, whatever its case and the space around it."""
     spelled = {c.strip().lower(): c for c in columns}
@@ -155,6 +213,14 @@ PROBES = T.StructType(
 )
 
 
+FAILURES = "url string, fuente string, anio int, trimestre int, status int, error string, intento int, fecha string"
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """The records of what ``ingest`` could not fetch."""
+    return spark.read.schema(FAILURES).json(path)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(path)
 
@@ -176,9 +242,12 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_silver(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Cleaned snapshots under one fixed schema; columns that a file lacks are null."""
-    return spark.read.schema(schema).parquet(path)
+def read_silver(spark: SparkSession, path: str, schema: T.StructType, state: str | None = None) -> DataFrame:
+    """Cleaned snapshots under one fixed schema; columns that a file lacks are null. ``state``: valid or quarantine rows of ``write_silver``."""
+    if state is None:
+        return spark.read.schema(schema).parquet(path)
+    whole = T.StructType([*schema.fields, T.StructField("estado", T.StringType())])
+    return spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("estado") == state).drop("estado")
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
