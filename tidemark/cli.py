@@ -22,6 +22,7 @@ from tidemark.plans.marts import MissingTables, comment_drift, read_marts, save_
 from tidemark.plans.silver import AUDIT, LostRows, normalise, silver_schema, write_silver, written_snapshots
 from tidemark.publish import package
 from tidemark.session import build_session
+from tidemark.functions.cleaning import wrap
 from tidemark.functions.urls import UrlGrid, candidate_urls, classify_text
 from tidemark.sources import discovery, files, report
 from tidemark.sources.registry import UnknownSchema, load_registry
@@ -155,7 +156,7 @@ def figures(spark, gold, out: Path) -> list[str]:
         "cobertura_cortes": cells.orderBy("anio", "trimestre"),
         "universo_por_corte": counts.orderBy("anio", "trimestre"),
         "caida_estacional": feeds.seasonal_drops(counts).orderBy("anio"),
-        "inversion_por_ramo": feeds.top_with_rest(panel, "descripcion_ramo", "modificado", 7, ("anio", "trimestre")).orderBy("anio", "trimestre", F.col("descripcion_ramo").asc_nulls_last()),
+        "inversion_por_ramo": feeds.top_with_rest(panel, "descripcion_ramo", "modificado", 7, ("anio", "trimestre")).withColumn("etiqueta", wrap(F.col("descripcion_ramo"), 40)).orderBy("anio", "trimestre", F.col("descripcion_ramo").asc_nulls_last()),
         "mapa_ppi": feeds.latest_points(gold.fct_ppi_observacion, "cve_cartera", "monto_total_inversion").orderBy("cve_cartera"),
         "estatus_terminal": feeds.status_counts(gold.fct_ppi_ciclo_vida, "estatus_terminal_inferido").orderBy("estatus_terminal_inferido"),
         "sobrecosto_distribucion": feeds.histogram(gold.fct_ppi_ciclo_vida, "sobrecosto_pct", -100, 300, 20).orderBy("bin"),
@@ -180,10 +181,10 @@ def publish(spark, args) -> Path:
     package.write_geojson(package.features(tables["fct_ppi_observacion"], tables["dim_snapshot"], tables["dim_ppi"]), folder / "geojson")
     manifest = files.read_manifest(spark, str(data / "manifest.jsonl"))
     found = feeds.provenance(manifest, F.col("corte_declarado.anio"), "origen", "fecha_descarga", "bytes").first().asDict()
-    # the audit table serves where a printed report would have to be parsed again
+    quality = report.read_summary(spark, str(data / "calidad_silver.md"))
     audit = spark.read.schema(AUDIT).parquet(str(data / "silver/audit")).agg(F.sum("n_rows").alias("filas"), F.sum("n_valid").alias("validas")).first().asDict()
     about = package.load_descriptions(Path(args.descriptions))[0] if Path(args.descriptions).exists() else {}
-    package.write_catalogue(folder, config, about, found, audit)
+    package.write_catalogue(folder, config, about, found, quality)
     gold = _gold(spark, args)
     left_out = [r["snapshot_id"] for r in gold.dim_snapshot.where("estado = 'excluido_de_silver'").orderBy("snapshot_id").collect()]
     footer = f"Descarga más reciente: {found['ultima_descarga']}. Años: {found['anio_min']} a {found['anio_max']}. Licencia: {config['licencia']['nombre']}."
@@ -211,7 +212,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     data.mkdir(parents=True, exist_ok=True)
     try:
         return run(spark, args, data)
-    except (package.PublishError, UnknownSchema, MissingTables, LostRows, AssertionError) as e:
+    except (package.PublishError, UnknownSchema, MissingTables, LostRows, report.ReportError, AssertionError) as e:
         print(e, file=sys.stderr)
         return 1
 
@@ -226,7 +227,7 @@ def run(spark, args, data: Path) -> int:
         written = None if args.all else written_snapshots(spark, str(data / "silver"))
         done = write_silver(normalise(spark, load_registry(args.registry), files.read_manifest(spark, str(data / "manifest.jsonl")), str(data / "bronze"), written), str(data / "silver"))
         audit = spark.read.schema(AUDIT).parquet(str(data / "silver/audit")).orderBy("snapshot_id")
-        lines = ["# Calidad", "", package.markdown_table(audit.withColumn("motivos", F.to_json("motivos"))), "", *[f"- {state}: {snapshot} ({file})" for snapshot, file, state in done.failed], ""]
+        lines = ["# Calidad", "", report.quality_summary(audit, done.failed), "## Detalle", "", package.markdown_table(audit.withColumn("motivos", F.to_json("motivos"))), "", *[f"- {state}: {snapshot} ({file})" for snapshot, file, state in done.failed], ""]
         (data / "calidad_silver.md").write_text("\n".join(lines), encoding="utf-8")
         for snapshot, file, state in done.failed:
             print(f"{state}: {snapshot} ({file})", file=sys.stderr)

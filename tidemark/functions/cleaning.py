@@ -130,3 +130,28 @@ def bronze_name(year: Column, quarter: Column, sha256: Column, ext: Column, url:
 def point_size(amount: Column, largest_root: Column) -> Column:
     """Marker size between 3 and 31 by the cube root of an amount, relative to the largest root."""
     return F.cbrt(F.greatest(F.coalesce(amount, F.lit(1.0)), F.lit(1.0))) / largest_root * 28 + 3
+
+
+#: Where a word may be broken: behind a hyphen between letters, two of them on each side or a further hyphen.
+_HYPHEN = r"(?:(?<=\p{L}{2}-)|(?<=\p{L}-\p{L}-))(?=\p{L}-?\p{L})"
+
+
+def wrap(text: Column, width: int, line_end: str = "<br>") -> Column:
+    """A label in lines of at most ``width`` characters, filled word by word; longer words get a line of their own.
+
+    White space counts as one space; hyphenated words may be broken behind the hyphen. A fold over the words
+    carries the text so far and the length of its last line, so this is for labels, not for long texts. Null
+    stays null, a blank text becomes empty.
+    """
+    words = F.filter(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), lambda w: w != "")
+    pieces = F.flatten(F.transform(words, lambda w: F.transform(F.split(w, _HYPHEN), lambda p, i: F.struct(p.alias("piece"), (i == 0).alias("spaced")))))
+
+    def add(state: Column, x: Column) -> Column:
+        n, gap = F.char_length(x["piece"]), F.when(x["spaced"], 1).otherwise(0)
+        fits = state["length"] + gap + n <= width
+        glue = F.when(state["length"] == 0, "").when(~fits, line_end).when(x["spaced"], " ").otherwise("")
+        length = F.when((state["length"] > 0) & fits, state["length"] + gap).otherwise(0) + n
+        return F.struct(F.concat(state["text"], glue, x["piece"]).alias("text"), length.alias("length"))
+
+    folded = F.aggregate(pieces, F.struct(F.lit("").alias("text"), F.lit(0).alias("length")), add)
+    return F.when(text.isNotNull(), folded["text"])

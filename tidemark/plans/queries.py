@@ -282,12 +282,15 @@ _RULES = """judged AS (SELECT c_custkey, key, c_acctbal, c_nationkey, list_filte
   FROM (SELECT *, CASE WHEN c_custkey % 19 <> 0 THEN upper(CASE WHEN c_custkey % 23 = 0 THEN 'bad' ELSE 'k' || lpad(c_custkey::VARCHAR, 9, '0') END) END AS key, CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END AS bal FROM customer))"""
 
 
+def _customer_rules() -> list[contract.Rule]:
+    return [contract.Rule("key_pattern", F.col("key").rlike(cleaning.KEY_PATTERN), nullable=False), contract.between("bal", -500, 9000), contract.Rule("nation_known", F.col("c_nationkey") <= 20)]
+
+
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     key = F.when(k % 23 == 0, F.lit("bad")).otherwise(F.concat(F.lit("k"), F.lpad(k.cast("string"), 9, "0")))
     c = table(spark, sf_dir, "customer").select("c_custkey", null_if_divides(k, 19, cleaning.clean_key(key)).alias("key"), "c_acctbal", "c_nationkey", null_if_divides(k, 10, F.col("c_acctbal")).alias("bal"))
-    rules = [contract.Rule("key_pattern", F.col("key").rlike(cleaning.KEY_PATTERN), nullable=False), contract.between("bal", -500, 9000), contract.Rule("nation_known", F.col("c_nationkey") <= 20)]
-    return contract.judge(c, rules)
+    return contract.judge(c, _customer_rules())
 
 
 @query(f"WITH {_RULES} SELECT c_custkey, key, c_acctbal, c_nationkey, array_to_string(reasons, ',') AS reasons FROM judged WHERE len(reasons) > 0")
@@ -313,6 +316,32 @@ def contract_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.totals(_judged(spark, sf_dir), ["c_nationkey"])
 
 
+@query(
+    f"""WITH {_RULES} SELECT c_nationkey, count(*) AS n_rows, count(*) FILTER (WHERE len(reasons) = 0) AS n_valid, count(*) FILTER (WHERE len(reasons) > 0) AS n_quarantined,
+  round(count(*) FILTER (WHERE len(reasons) = 0) * 100.0::DOUBLE / count(*), 1) AS pct_valid, sum(c_custkey)::BIGINT AS c_custkey,
+  concat_ws(',', 'bal_in_range=' || nullif(count(*) FILTER (WHERE list_contains(reasons, 'bal_in_range')), 0), 'key_pattern=' || nullif(count(*) FILTER (WHERE list_contains(reasons, 'key_pattern')), 0),
+    'nation_known=' || nullif(count(*) FILTER (WHERE list_contains(reasons, 'nation_known')), 0)) AS motivos FROM judged GROUP BY c_nationkey"""
+)
+def contract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = contract.audit(_judged(spark, sf_dir), ["c_nationkey"], _customer_rules(), ["c_custkey"])
+    said = F.transform(F.array_sort(F.map_entries("motivos")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return counted.withColumn("motivos", F.array_join(said, ","))
+
+
+@query(
+    f"""WITH {_RULES} SELECT count(*) AS n_rows, count(*) FILTER (WHERE len(reasons) = 0) AS n_valid, sum(c_custkey)::BIGINT AS c_custkey, count(*) FILTER (WHERE list_contains(reasons, 'key_pattern')) AS key_pattern,
+  count(*) FILTER (WHERE list_contains(reasons, 'bal_in_range')) AS bal_in_range, count(*) FILTER (WHERE list_contains(reasons, 'nation_known')) AS nation_known FROM judged"""
+)
+def contract_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the write of the judged rows observes on its way."""
+    rows, seen = contract.observed(_judged(spark, sf_dir), _customer_rules(), ["c_custkey"])
+    space = Workspace(spark, "observed")
+    rows.write.parquet(f"{space.path}/judged")
+    space.drop()
+    found = seen.get
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} long" for name in found))
+
+
 @query(
     f"WITH {_RAW} SELECT count(*) AS n, count(*) FILTER (WHERE ejercido > modificado * (1 + 0.05::DOUBLE)) AS n_over FROM (SELECT modificado * (0.4::DOUBLE + avance / 200) AS modificado, ejercido FROM raw) WHERE modificado IS NOT NULL AND ejercido IS NOT NULL"
 )
@@ -820,3 +849,47 @@ def version_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.feeds import version_label
 
     return spark.createDataFrame([(version_label(raw_panel(spark, sf_dir).select("anio", "trimestre")),)], "version STRING")
+
+
+@query(
+    """SELECT doc_id || '.csv' AS name, CASE WHEN doc_id % 2 = 0 THEN 'latin-1' ELSE 'utf-8-sig' END AS encoding, CASE doc_id % 4 WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN chr(9) ELSE '|' END AS separator,
+  'CLAVE AÑO LARGO' AS columns, 3 AS n_columnas, sha256('CLAVE,AÑO,LARGO') AS header_hash FROM documents"""
+)
+def inspect_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heads of files made from the documents' columns, in two encodings and four separators, inspected on executors."""
+    from tidemark.sources.files import dialects
+
+    k = F.col("doc_id")
+    sep = F.when(k % 4 == 0, ",").when(k % 4 == 1, ";").when(k % 4 == 2, "\t").otherwise("|")
+    line = lambda *cells: F.concat_ws("", cells[0], sep, cells[1], sep, cells[2], F.lit("\n"))
+    head = F.concat(line(F.lit("CLAVE"), F.lit("AÑO"), F.lit("LARGO")), *[line(k + i, F.lit(2010 + i), F.col("n_chars")) for i in range(3)])
+    content = F.when(k % 2 == 0, F.encode(head, "ISO-8859-1")).otherwise(F.encode(head, "UTF-8"))
+    found = dialects(table(spark, sf_dir, "documents").select(F.concat(k.cast("string"), F.lit(".csv")).alias("name"), content.alias("content"), F.lit(None).cast("string").alias("encoding")))
+    return found.select("name", "encoding", "separator", F.array_join("columns", " ").alias("columns"), F.col("n_columns").alias("n_columnas"), "header_hash")
+
+
+@query(
+    """SELECT p_partkey, list_reduce(regexp_split_to_array(trim(regexp_replace(p_name || ' ' || p_brand || '  ' || p_name || ' ' || p_partkey || ' de ' || p_brand, '\s+', ' ', 'g')), ' '),
+  lambda a, w: CASE WHEN length(string_split(a, '<br>')[-1]) + 1 + length(w) <= 24 THEN a || ' ' || w ELSE a || '<br>' || w END) AS etiqueta FROM part"""
+)
+def wrap_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.concat("p_name", F.lit(" "), "p_brand", F.lit("  "), "p_name", F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" de "), "p_brand")
+    return table(spark, sf_dir, "part").select("p_partkey", cleaning.wrap(label, 24).alias("etiqueta"))
+
+
+@query(
+    """SELECT c_custkey, c_custkey::BIGINT AS snapshots_normalizados, CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey::BIGINT END AS snapshots_omitidos_corruptos, 0::BIGINT AS snapshots_esquema_desconocido, 7::BIGINT AS snapshots_error_lectura,
+  c_custkey::BIGINT * 1000 AS filas_totales, c_custkey::BIGINT * 900 AS filas_validas, c_custkey::BIGINT * 100 AS filas_en_cuarentena, CASE WHEN c_custkey % 3 <> 0 THEN 90.5::DOUBLE END AS pct_filas_validas FROM customer"""
+)
+def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality reports written for every customer, and read again; some lack a line or a share."""
+    from tidemark.sources.report import SUMMARY, parse_summaries
+
+    k = F.col("c_custkey")
+    commas = lambda n: F.format_number(n.cast("long"), 0)
+    bold = lambda n: F.concat(F.lit("**"), n.cast("string"), F.lit("**"))
+    values = [bold(k), bold(F.col("c_nationkey")), bold(F.lit(0)), bold(F.lit(7)), commas(k * 1000), F.concat(commas(k * 900), F.when(k % 3 == 0, "").otherwise(" (90.5%)")), commas(k * 100)]
+    lines = [F.concat(F.lit(f"- {name}" + (" (no se escriben): " if f == "filas_en_cuarentena" else ": ")), v) for (f, name), v in zip(SUMMARY.items(), values, strict=True)]
+    lines[1] = F.when(k % 5 != 0, lines[1])
+    text = F.concat_ws("\n", F.lit("# Calidad"), F.lit("## Resumen"), *lines, F.lit("## Detalle"), F.col("c_name"))
+    return parse_summaries(table(spark, sf_dir, "customer").select("c_custkey", text.alias("value")))

@@ -13,6 +13,16 @@ from tidemark.sources.files import csv_header, detect_encoding, detect_separator
 
 # Header spellings of the key, by preference, and the shape that the report asks of one.
 KEYS, PROJECTS, SHAPE = ("cve_cartera", "clave_cartera"), ("id_ppi", "cve_cartera", "clave_cartera"), r"^\d{10,11}$"
+# The lines of a quality report's summary that carry a number, by field and in their order.
+SUMMARY = {
+    "snapshots_normalizados": "Normalizados a parquet",
+    "snapshots_omitidos_corruptos": "Omitidos por corrupción conocida en la fuente",
+    "snapshots_esquema_desconocido": "Con esquema desconocido",
+    "snapshots_error_lectura": "Con error de lectura",
+    "filas_totales": "Filas totales procesadas",
+    "filas_validas": "Filas válidas escritas a parquet",
+    "filas_en_cuarentena": "Filas en cuarentena",
+}
 #: The middle sample is the one nearest to this year.
 MIDDLE = 2019.5
 
@@ -77,3 +87,36 @@ def schema_report(found: Mapping[str, Inspection]) -> str:
     lines += ["| Columna | " + " | ".join(found) + " |", "|---|" + "---|" * len(found)]
     lines += [f"| `{every[c]}` | " + " | ".join("✓" if c in spelled[label] else "—" for label in found) + " |" for c in order]
     return "\n".join(lines) + "\n"
+
+
+class ReportError(RuntimeError):
+    """Numbers that a report should have and has not, all named together."""
+
+
+def quality_summary(audit: DataFrame, failed: Sequence[tuple[str, str, str]]) -> str:
+    """The summary section of a quality report: snapshots by outcome, rows by verdict."""
+    r = audit.agg(F.count(F.lit(1)).alias("k"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", "n_valid", "n_quarantined")]).first()
+    of = lambda state: sum(s == state for *_, s in failed)
+    share = round(100 * r["n_valid"] / r["n_rows"], 1) if r["n_rows"] else 0.0
+    values = [f"**{r['k']}**", *[f"**{of(s)}**" for s in ("corrupto_conocido", "esquema_desconocido", "error")], f"{r['n_rows']:,}", f"{r['n_valid']:,} ({share}%)", f"{r['n_quarantined']:,}"]
+    return "\n".join(["## Resumen", "", *[f"- {label}: {value}" for label, value in zip(SUMMARY.values(), values, strict=True)], ""])
+
+
+def parse_summaries(reports: DataFrame, text: str = "value") -> DataFrame:
+    """The numbers of each report's summary as columns, and the share of valid rows; null where a report lacks one.
+
+    A label may have a remark in brackets behind it, a number commas and bold type.
+    """
+    body = F.col(text)
+    label = lambda name: r"\Q" + name + r"\E(?: \([^)]*\))?:\s*"
+    number = lambda name: F.regexp_replace(F.regexp_extract(body, label(name) + r"\**([\d,]+)", 1), ",", "").try_cast("long")
+    share = F.regexp_extract(body, label(SUMMARY["filas_validas"]) + r"[\d,]+ \(([\d.]+)%\)", 1).try_cast("double")
+    return reports.select(*[c for c in reports.columns if c != text], *[number(name).alias(f) for f, name in SUMMARY.items()], share.alias("pct_filas_validas"))
+
+
+def read_summary(spark: SparkSession, path: str) -> dict[str, int | float]:
+    """The numbers of one report's summary, or an error that names all that are missing."""
+    found = parse_summaries(spark.read.text(path, wholetext=True)).first()
+    if missing := sorted(f for f in found.__fields__ if found[f] is None):
+        raise ReportError(f"{path} lacks: {', '.join(missing)}")
+    return found.asDict()
