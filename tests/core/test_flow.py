@@ -203,6 +203,20 @@ def test_spreadsheet_cells(spark, tmp_path):
     assert xlsx.header_of((tmp_path / "a.xlsx").read_bytes()) == ["A", "B", "A.1", "F"]
 
 
+def test_spreadsheets_as_a_source(spark, tmp_path):
+    """A partition a file, sheets of several batches, a header's names or a given schema."""
+    spark.dataSource.register(xlsx.XlsxSource)
+    (tmp_path / "a.xlsx").write_bytes(sheet([["A", "B", "A"], *[[f"k{i}", None if i % 3 else "x", i] for i in range(25)]]))
+    (tmp_path / "b.xlsx").write_bytes(sheet([["A", "B", "A"], ["last", "y", 7]]))
+    df = spark.read.format("xlsx").option("batch", 10).load(str(tmp_path))
+    assert df.columns == ["A", "B", "A.1"] and df.count() == 26 and df.rdd.getNumPartitions() == 2
+    whole = [tuple(r) for r in xlsx.scan_xlsx(spark, [str(tmp_path / "a.xlsx"), str(tmp_path / "b.xlsx")], df.columns).collect()]
+    as_iso = lambda rows: sorted(map(repr, rows))
+    assert as_iso(map(tuple, df.collect())) == as_iso(whole)
+    two = spark.read.format("xlsx").schema("first STRING, second STRING").load(str(tmp_path / "b*.xlsx"))
+    assert [tuple(r) for r in two.collect()] == [("last", "y")]
+
+
 def test_quoted_separators_in_headers_and_many_files_of_a_layout(spark, tmp_path):
     """A header with a quoted separator and line break, in files that one scan reads, each row with its snapshot."""
     names = ["CVE, CARTERA", "AN\nIO", "AVANCE", "LATITUD", "LONGITUD", "TOTAL"]

@@ -7,11 +7,15 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from glob import glob
+from pathlib import Path
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.functions.cleaning import missing_to_null
 
@@ -20,6 +24,8 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 #: Built-in number formats that show dates.
 _DATES = frozenset([*range(14, 23), *range(45, 48)])
 _EPOCH = datetime(1899, 12, 30)
+#: Rows of a sheet that are passed on together.
+BATCH = 4096
 
 
 def _column(reference: str) -> int:
@@ -90,6 +96,61 @@ def header_of(content: bytes) -> list[str] | None:
     return distinct_names([c if c is not None else f"Unnamed: {i}" for i, c in enumerate(first)]) if first else None
 
 
+def sheet_batches(content: bytes, width: int, size: int = BATCH) -> Iterator[list[list[str | None]]]:
+    """Rows below the header, ``size`` at a time, cut or filled up to ``width`` cells; rows without a value are left out."""
+    rows = rows_of(content)
+    next(rows, None)
+    held: list[list[str | None]] = []
+    for r in rows:
+        if any(c is not None for c in r):
+            held.append((r + [None] * width)[:width])
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+class XlsxSource(DataSource):
+    """``spark.read.format("xlsx").load(pattern)``: first sheets as text, a partition a file, rows in batches.
+
+    For folders that all executors have mounted; ``scan_xlsx`` reads any store. The columns are those of
+    ``schema`` or, without one, of the first file's header; ``_file`` is not among them.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "xlsx"
+
+    def _paths(self) -> list[str]:
+        pattern = self.options["path"].removeprefix("file://")
+        found = sorted(str(f) for f in Path(pattern).glob("*.xlsx")) if Path(pattern).is_dir() else sorted(glob(pattern))
+        if not found:
+            raise FileNotFoundError(f"no spreadsheet at {pattern}")
+        return found
+
+    def schema(self) -> T.StructType:
+        names = header_of(Path(self._paths()[0]).read_bytes())
+        if not names:
+            raise ValueError(f"{self._paths()[0]} has no header")
+        return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _XlsxReader(self._paths(), schema.names, int(self.options.get("batch", BATCH)))
+
+
+class _XlsxReader(DataSourceReader):
+    def __init__(self, paths: list[str], names: list[str], size: int) -> None:
+        self.paths, self.names, self.size = paths, names, size
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(p) for p in self.paths]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for cells in sheet_batches(Path(partition.value).read_bytes(), len(self.names), self.size):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*cells, strict=True)], names=self.names)
+
+
 def scan_xlsx(spark: SparkSession, paths: list[str], columns: list[str], file: str | None = None) -> DataFrame:
     """The first sheets of files of one known layout as text columns, missing values as null.
 
@@ -101,10 +162,7 @@ def scan_xlsx(spark: SparkSession, paths: list[str], columns: list[str], file: s
     def run(batches):
         for batch in batches:
             for content, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = rows_of(content)
-                next(rows, None)
-                cells = [(r + [None] * width)[:width] for r in rows if any(c is not None for c in r)]
-                if cells:
+                for cells in sheet_batches(content, width):
                     yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in zip(*cells, strict=True)], pa.array([name] * len(cells), pa.string())], names=[*[f"c{i}" for i in range(width)], "name"])
 
     raw = spark.read.format("binaryFile").load(paths).select("content", F.substring_index("path", "/", -1).alias("name"))
