@@ -505,6 +505,28 @@ def test_repeats_against_brute_force(spark):
     assert texts[2] == "" and texts[11] == dict(rows)[11] and repeats.without_repeats(df).columns == df.columns
 
 
+def test_a_shard_of_production_size_goes_through_queues_on_disk(monkeypatch):
+    """What a task of ``remove_repeats`` does with a full shard: its queues spill, and every repeated window is found."""
+    rng = random.Random(15)
+    lines = ["".join(rng.choices("abcdefghij ", k=rng.randint(300, 700))) for _ in range(1500)]
+    bodies = [" ".join(rng.choices(lines, k=4)).encode() for _ in range(1700)]
+    opened, path = [], suffix_sort.Space.path
+    monkeypatch.setattr(suffix_sort.Space, "path", lambda self: (opened.append(1), path(self))[1])
+    shard = repeats.ShardText()
+    for i, body in enumerate(bodies):
+        shard.add((i,), body, False)
+    assert sum(map(len, bodies)) > 3 << 20
+    got = dict(shard.repeats())
+    assert len(opened) > 20
+    windows = collections.Counter(hashlib.md5(b[i : i + 400]).digest() for b in bodies for i in range(len(b) - 399))
+    for i, body in enumerate(bodies):
+        again = [windows[hashlib.md5(body[j : j + 400]).digest()] > 1 for j in range(len(body) - 399)]
+        found = [False] * len(again)
+        for begin, end in got.get((i,), []):
+            found[begin:end] = [True] * (end - begin)
+        assert found == again
+
+
 def test_repeats_of_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect() if len(r["text"] or "") < 50_000]
     assert digests(repeats.remove_repeats(odd.where("doc_id IS NULL OR doc_id != 8"))) == brute_repeats(rows)

@@ -33,7 +33,7 @@ from tidemark.llm.suffix_sort import Space, repeated_windows, suffix_array
 #: Bytes of a repeated string, bytes of an anchor, bytes of text handled at a time.
 WIDTH, GRAM, SEGMENT = 400, 32, 1 << 19
 #: Target bytes of a shard, and the bytes of one anchor's contexts beyond which they are split.
-SHARD, HOT = 2 << 20, 4 << 20
+SHARD, HOT = 4 << 20, 4 << 20
 #: Bytes of a shard's contexts that a task holds in memory before they go to a file of its own.
 SPOOL = 32 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -25,10 +25,10 @@ import numpy as np
 
 #: Bytes that a sort's queues hold in memory before they spill, the array size from which arrays are files,
 #: and the elements of an array that are handled at a time.
-QUEUE_BYTES, ARRAY_BYTES, PIECE = 64 << 20, 64 << 20, 1 << 20
+QUEUE_BYTES, ARRAY_BYTES, PIECE = 1 << 20, 4 << 20, 1 << 20
 #: Tuples of a range of symbols that are sorted together at most, unless one symbol has more, and the names
 #: of a reduced string up to which recursion ends in memory.
-RANGE, BASE = 1 << 17, 1 << 20
+RANGE, BASE = 1 << 17, 1 << 22
 
 
 class Space:
@@ -149,8 +149,10 @@ class Pass:
         self.small = np.int16 if sigma < 1 << 15 else np.int32  # short keys are sorted by their digits
         self.range_of = np.searchsorted(self.ends, np.arange(sigma)).astype(np.int16 if len(self.ends) < 1 << 15 else np.int32)
         self.open, self.fresh = -1, []
-        #: Least common prefix seen since the last tuple of each key.
-        self.least = np.full(sigma, level.limit, np.int16)
+        #: Of each key, the scan that put in its last tuple, and the least common prefix seen in that scan behind it.
+        self.when, self.behind = np.full(sigma, -1, np.int32), np.full(sigma, level.limit, np.int16)
+        #: Scans whose least common prefix is below that of all later ones: at most one for each value.
+        self.scans, self.times, self.minima = 0, np.empty(0, np.int64), np.empty(0, np.int16)
         self.at, self.common, self.n = space.array(size, level.kind), space.array(size + 1, np.int16), 0
 
     def keys(self, at: np.ndarray) -> np.ndarray:
@@ -173,24 +175,35 @@ class Pass:
         own = np.flatnonzero((at > 0) & (self.level.is_s[np.maximum(at, 1) - 1] == self.descending))
         return own, self.keys(at[own] - 1)
 
+    def seen(self, least: int) -> None:
+        """A scan is over; ``least`` is its least common prefix."""
+        lower = self.minima < least
+        self.times, self.minima = np.append(self.times[lower], self.scans), np.append(self.minima[lower], np.int16(least))
+        self.scans += 1
+
+    def since(self, key: np.ndarray) -> np.ndarray:
+        """Least common prefix seen since the last tuple of each key, in the scans that are over."""
+        minima = np.append(self.minima, np.int16(self.level.limit))
+        return np.minimum(self.behind[key], minima[np.searchsorted(self.times, self.when[key], "right")])
+
     def scan(self, at: np.ndarray, common: np.ndarray, own: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The tuples of the predecessors, by key and in order."""
         entries = np.empty(len(own), self.entry)
         if not len(own):
-            np.minimum(self.least, common.min(), out=self.least)
+            self.seen(int(common.min()))
             return entries
         order = np.argsort(key.astype(self.small), kind="stable")
         k, i = key[order], own[order]
         new = np.concatenate([[True], k[1:] != k[:-1]])
         value = np.empty(len(k), np.int16)
-        value[new] = np.minimum(self.least[k[new]], np.minimum.accumulate(common)[i[new]])
+        value[new] = np.minimum(self.since(k[new]), np.minimum.accumulate(common)[i[new]])
         rest = np.flatnonzero(~new)
         if len(rest):
             value[rest] = range_minimum(common, i[rest - 1] + 1, i[rest])
-        np.minimum(self.least, common.min(), out=self.least)
         final = np.concatenate([k[1:] != k[:-1], [True]])
         after = np.append(np.minimum.accumulate(common[::-1])[::-1], np.int16(self.level.limit))
-        self.least[k[final]] = after[i[final] + 1]
+        self.when[k[final]], self.behind[k[final]] = self.scans, after[i[final] + 1]
+        self.seen(int(common.min()))
         entries["key"], entries["at"], entries["common"] = k, at[i] - 1, np.minimum(value + np.int16(1), np.int16(self.level.limit))
         return entries
 
