@@ -893,3 +893,127 @@ def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines[1] = F.when(k % 5 != 0, lines[1])
     text = F.concat_ws("\n", F.lit("# Calidad"), F.lit("## Resumen"), *lines, F.lit("## Detalle"), F.col("c_name"))
     return parse_summaries(table(spark, sf_dir, "customer").select("c_custkey", text.alias("value")))
+
+
+# --- round trips: what the writers leave, read again by the readers ---------------------------------------
+
+
+@query(
+    """SELECT 'vivo' AS fuente, 'https://h/' || o_orderkey AS url, 200 AS status, floor(o_totalprice)::BIGINT AS content_length, year(o_orderdate)::INTEGER AS anio, CASE WHEN o_orderkey % 5 <> 0 THEN quarter(o_orderdate)::INTEGER END AS trimestre,
+  o_orderkey % 3 = 0 AS existe, CASE WHEN o_orderkey % 4 = 0 THEN '2020' || o_orderkey END AS sello, CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 1 END AS n_extra FROM orders"""
+)
+def probe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probe records as JSON lines; fields beyond the fixed ones come back in the map of extras."""
+    from tidemark.sources.files import read_probes
+
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    path = f"{Workspace(spark, 'probes').path}/lines"
+    table(spark, sf_dir, "orders").select(
+        F.lit("vivo").alias("fuente"), F.concat(F.lit("https://h/"), k.cast("string")).alias("url"), F.lit(200).alias("status"), F.col("o_totalprice").cast("long").alias("content_length"),
+        F.year(d).alias("anio"), null_if_divides(k, 5, F.quarter(d)).alias("trimestre"), (k % 3 == 0).alias("existe"), F.when(k % 4 == 0, F.concat(F.lit("2020"), k.cast("string"))).alias("wayback_timestamp"),
+        F.col("o_orderstatus").alias("otro"),
+    ).write.json(path)
+    rows = read_probes(spark, path)
+    return rows.select("fuente", "url", "status", "content_length", "anio", "trimestre", "existe", F.try_element_at("extra", F.lit("wayback_timestamp")).alias("sello"), F.size("extra").alias("n_extra"))
+
+
+_LETTERS = """letters AS (SELECT 'https://h/' || o_custkey AS url, CASE o_orderkey % 3 WHEN 0 THEN 404 WHEN 1 THEN 503 END AS status, o_orderstatus AS error,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::INTEGER AS intento FROM orders)"""
+
+
+def _letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.window import Window
+
+    k = F.col("o_orderkey")
+    turn = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    status = F.when(k % 3 == 0, 404).when(k % 3 == 1, 503)
+    return table(spark, sf_dir, "orders").select(F.concat(F.lit("https://h/"), F.col("o_custkey").cast("string")).alias("url"), status.alias("status"), F.col("o_orderstatus").alias("error"), turn.alias("intento"))
+
+
+@query(f"WITH {_LETTERS} SELECT url, max(intento) AS intentos_previos, arg_max(coalesce(status, -1), intento) AS ultimo_status, arg_max(error, intento) AS ultimo_error FROM letters GROUP BY url")
+def failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.discovery import last_failures
+
+    return last_failures(_letters(spark, sf_dir)).withColumn("ultimo_status", F.coalesce("ultimo_status", F.lit(-1)))
+
+
+@query(
+    f"""WITH {_LETTERS}, last AS (SELECT url, max(intento) AS n, arg_max(coalesce(status, -1), intento) AS status FROM letters GROUP BY url)
+SELECT c_custkey, 'https://h/' || c_custkey AS url, coalesce(n, 0) AS intentos_previos FROM customer LEFT JOIN last ON url = 'https://h/' || c_custkey WHERE coalesce(status, 0) <> 404 AND c_custkey % 7 <> 0"""
+)
+def files_to_try_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are neither in the manifest nor known to be gone, with their failures so far."""
+    from tidemark.sources.discovery import to_ingest
+
+    k = F.col("c_custkey")
+    url = F.concat(F.lit("https://h/"), k.cast("string"))
+    files = table(spark, sf_dir, "customer").select(k, url.alias("url"))
+    probes = files.select(k, F.concat("url", F.lit(".csv")).alias("url"), F.lit("vivo").alias("fuente"), F.lit(None).cast("int").alias("anio"), F.lit(None).cast("int").alias("trimestre"), F.lit(True).alias("existe"))
+    done = probes.where(k % 7 == 0).select("url", F.struct("anio", "trimestre").alias("corte_declarado"))
+    failures = _letters(spark, sf_dir).withColumn("url", F.concat("url", F.lit(".csv")))
+    return to_ingest(probes, done, failures).select("c_custkey", F.regexp_replace("url", "[.]csv$", "").alias("url"), "intentos_previos")
+
+
+_SILVER = """judged AS (SELECT 'K' || lpad(o_orderkey::VARCHAR, 9, '0') AS cve_cartera, year(o_orderdate) || 'Q' || quarter(o_orderdate) AS snapshot_id, year(o_orderdate)::DOUBLE + 15 AS anio,
+    (o_orderkey % 103)::DOUBLE AS avance_fisico, o_totalprice - 1000 * (o_orderkey % 40) AS monto FROM orders
+), told AS (SELECT *, avance_fisico <= 100 AS a, monto >= 0 AS m FROM judged)"""
+
+
+def _written_silver(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Orders as judged rows, written by snapshot; the folder and the judged rows."""
+    from tidemark.plans.silver import SilverRun, write_silver
+
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("K"), F.lpad(k.cast("string"), 9, "0")).alias("cve_cartera"), F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string")).alias("snapshot_id"), (F.year(d) + 15).cast("double").alias("anio"),
+        (k % 103).cast("double").alias("avance_fisico"), F.lit(None).cast("double").alias("latitud"), F.lit(None).cast("double").alias("longitud"), (F.col("o_totalprice") - 1000 * (k % 40)).alias("monto_total_inversion"), F.lit(0).alias("_unparsed"),
+    )
+    judged = contract.judge(rows, contract.snapshot_rules())
+    path = Workspace(spark, "silver").path
+    snapshots = [(r["snapshot_id"], "s") for r in rows.select("snapshot_id").distinct().collect()]  # a catalogue's size
+    write_silver(SilverRun(judged, [], snapshots), path)
+    return path, judged
+
+
+@query(f"WITH {_SILVER} SELECT cve_cartera, snapshot_id, anio, avance_fisico, monto AS monto_total_inversion FROM told WHERE a AND m")
+def silver_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.files import read_silver
+
+    path, judged = _written_silver(spark, sf_dir)
+    schema = T.StructType([f for f in judged.schema if f.name in ("cve_cartera", "snapshot_id", "anio", "avance_fisico", "monto_total_inversion")])
+    return read_silver(spark, path, schema, "valid")
+
+
+@query(
+    f"""WITH {_SILVER} SELECT snapshot_id, 's' AS sha256, count(*) AS n_rows, count(*) FILTER (WHERE a AND m) AS n_valid, count(*) FILTER (WHERE NOT (a AND m)) AS n_quarantined,
+  round(count(*) FILTER (WHERE a AND m) * 100.0::DOUBLE / count(*), 1) AS pct_valid, 0::BIGINT AS fechas_no_parseadas, coalesce(nullif(count(*) FILTER (WHERE NOT a), 0), 0) AS avance, coalesce(nullif(count(*) FILTER (WHERE NOT m), 0), 0) AS monto FROM told GROUP BY snapshot_id"""
+)
+def silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.silver import AUDIT
+
+    path, _ = _written_silver(spark, sf_dir)
+    found = lambda rule: F.coalesce(F.try_element_at("motivos", F.lit(rule)), F.lit(0))
+    rows = spark.read.schema(AUDIT).parquet(f"{path}/audit")
+    return rows.select(*[c for c in rows.columns if c != "motivos"], found("avance_fisico_in_range").alias("avance"), found("monto_total_inversion_not_negative").alias("monto"))
+
+
+@query("""SELECT s_suppkey || ',"' || s_name || ' ""x"", y",' || CASE WHEN s_suppkey % 3 <> 0 THEN s_nationkey::VARCHAR ELSE '' END || ',' || CASE WHEN s_suppkey % 2 = 0 THEN 'True' ELSE 'False' END AS linea FROM supplier""")
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as the package writes them: quotes doubled, nulls empty."""
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(k, F.concat("s_name", F.lit(' "x", y')).alias("s_name"), F.when(k % 3 != 0, F.col("s_nationkey")).alias("s_nationkey"), (k % 2 == 0).alias("par"))
+    return package._csv_lines(package.stable_order(rows, ["s_suppkey"])).select(F.regexp_replace("value", "\\r$", "").alias("linea"))
+
+
+@query("SELECT DISTINCT 'https://h/' || o_custkey AS url, year(o_orderdate)::INTEGER AS anio, CASE WHEN o_orderkey % 5 <> 0 THEN quarter(o_orderdate)::INTEGER END AS trimestre FROM orders")
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest records made from orders, streamed in two runs: a snapshot counts once, in whichever file it comes."""
+    from tidemark.streaming.bronze import start_records
+
+    k, d, path = F.col("o_orderkey"), F.col("o_orderdate"), Workspace(spark, "records").path
+    cut = F.struct(F.year(d).alias("anio"), null_if_divides(k, 5, F.quarter(d)).alias("trimestre"))
+    rows = table(spark, sf_dir, "orders").select(k, F.concat(F.lit("https://h/"), F.col("o_custkey").cast("string")).alias("url"), cut.alias("corte_declarado"))
+    for half in (k % 2 == 0, k % 2 == 1):
+        rows.where(half).select("url", "corte_declarado").write.mode("append").json(f"{path}/in")
+        start_records(spark, f"{path}/in", f"{path}/out", f"{path}/check").awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("url", "corte_declarado.anio", "corte_declarado.trimestre")
