@@ -849,6 +849,22 @@ def test_toxicity_of_odd_rows(odd, labels):
     assert toxicity.score_toxicity(odd, labels.where("doc_id > 99")).count() == odd.count()
 
 
+def test_toxicity_logits_equal_those_computed_window_by_window(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) BETWEEN 1 AND 900").orderBy("doc_id").limit(90).collect()
+    model = toxicity.fit([r["text"] for r in docs[50:]], [i % 2 for i in range(len(docs) - 50)], epochs=3)
+    for text in ["", "...", *[r["text"] for r in docs[:50]]]:
+        words_ = [model.embedding[rows].sum(axis=0) for rows in toxicity.word_rows(text)] or [np.zeros(toxicity.WIDTH)]
+        logit = model.bias
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best = -math.inf
+                for i in range(len(words_)):
+                    answer = sum(float(words_[i + j] @ model.filters[k][j][:, f]) for j in range(width) if i + j < len(words_))
+                    best = max(best, answer + float(model.shifts[k][f]))
+                logit += max(best, 0.0) * float(model.top[k * toxicity.FILTERS + f])
+        assert abs(model.logit(toxicity.word_rows(text)) - logit) < 1e-3
+
+
 def test_toxicity_segments_lose_nothing(monkeypatch):
     model = toxicity.fit(["a bad word here", "a good word here"] * 10, [1, 0] * 10, epochs=2)
     rows = toxicity.word_rows("some good words and a bad word here " * 30)
