@@ -25,7 +25,7 @@ import numpy as np
 
 #: Bytes that a sort's queues hold in memory before they spill, the array size from which arrays are files,
 #: and the elements of an array that are handled at a time.
-QUEUE_BYTES, ARRAY_BYTES, PIECE = 1 << 20, 4 << 20, 1 << 20
+QUEUE_BYTES, ARRAY_BYTES, PIECE = 1 << 20, 16 << 20, 1 << 20
 #: Tuples of a range of symbols that are sorted together at most, unless one symbol has more, and the names
 #: of a reduced string up to which recursion ends in memory.
 RANGE, BASE = 1 << 17, 1 << 22
@@ -58,7 +58,7 @@ class Space:
             path = self.path()
             out = np.memmap(path, dtype, "w+", shape=(n,))
             os.unlink(path)  # the mapping keeps the blocks; they go with the array
-            return out
+            return np.asarray(out)  # slices of a plain view are cheap
         return np.empty(n, dtype)
 
     def pieces(self, n: int) -> Iterator[tuple[int, int]]:
