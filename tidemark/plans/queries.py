@@ -869,7 +869,7 @@ def inspect_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_partkey, list_reduce(regexp_split_to_array(trim(regexp_replace(p_name || ' ' || p_brand || '  ' || p_name || ' ' || p_partkey || ' de ' || p_brand, '\s+', ' ', 'g')), ' '),
+    """SELECT p_partkey, list_reduce(regexp_split_to_array(trim(regexp_replace(p_name || ' ' || p_brand || '  ' || p_name || ' ' || p_partkey || ' de ' || p_brand, '\\s+', ' ', 'g')), ' '),
   lambda a, w: CASE WHEN length(string_split(a, '<br>')[-1]) + 1 + length(w) <= 24 THEN a || ' ' || w ELSE a || '<br>' || w END) AS etiqueta FROM part"""
 )
 def wrap_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
