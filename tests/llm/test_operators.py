@@ -505,12 +505,13 @@ def test_repeats_against_brute_force(spark):
     assert texts[2] == "" and texts[11] == dict(rows)[11] and repeats.without_repeats(df).columns == df.columns
 
 
-def test_a_shard_of_production_size_goes_through_queues_on_disk(monkeypatch):
-    """What a task of ``remove_repeats`` does with a full shard: its queues spill, and every repeated window is found."""
+def test_a_shard_larger_than_its_bounds_goes_through_queues_on_disk(monkeypatch):
+    """What a task of ``remove_repeats`` does with a shard beyond its bounds: queues spill, and every repeated window is found."""
     rng = random.Random(15)
     lines = ["".join(rng.choices("abcdefghij ", k=rng.randint(300, 700))) for _ in range(1500)]
     bodies = [" ".join(rng.choices(lines, k=4)).encode() for _ in range(1700)]
     opened, path = [], suffix_sort.Space.path
+    monkeypatch.setattr(repeats, "Space", lambda: suffix_sort.Space(queue_bytes=1 << 20, array_bytes=1 << 24))  # less than a shard needs
     monkeypatch.setattr(suffix_sort.Space, "path", lambda self: (opened.append(1), path(self))[1])
     shard = repeats.ShardText()
     for i, body in enumerate(bodies):
