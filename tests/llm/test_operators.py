@@ -424,6 +424,25 @@ def test_components_of_hubs(spark, tmp_path):
     assert got[9001] == 9000 and {got[i] for i in range(9100, 9141)} == {9100}
 
 
+@pytest.mark.parametrize("hub", [False, True])
+def test_components_come_from_small_plans(spark, monkeypatch, hub):
+    """The driver holds a plan's exchanges and broadcasts at once, so no plan may hold a whole round's."""
+    plans, write = [], Scratch.table
+
+    def table(self, df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, *args, **kwargs)
+
+    monkeypatch.setattr(Scratch, "table", table)
+    edges = [(i, i + 1) for i in range(40) if i % 8] + [(100, i) for i in range(101, 500 if hub else 120)]
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a LONG, b LONG"), Scratch(spark, "plans"), "plans").collect()}
+    nodes = sorted({v for e in edges for v in e})
+    at = {v: i for i, v in enumerate(nodes)}
+    assert got == {v: nodes[r] for v, r in zip(nodes, local_roots(len(nodes), [at[a] for a, _ in edges], [at[b] for _, b in edges]), strict=True)}
+    # BroadcastExchange counts as an exchange too
+    assert max(p.count("Exchange ") for p in plans) <= 8 and max(p.count("BroadcastExchange ") for p in plans) <= 3
+
+
 # --- repeated passages --------------------------------------------------------------------------------
 
 
